@@ -69,9 +69,19 @@ def fit(estimator: Estimator, df: DataFrame, min_partitions: int | None = None)
     ``cacheNodeIds``) cut their lineage every ``checkpointInterval``
     iterations and a lost executor does not replay the whole boosting run.
     A small input is spread over all cores; a large one is left as it is.
+    The spread copy is persisted for the fit: MLlib converts its input to
+    RDDs more than once, and each conversion would otherwise repeat the
+    shuffle. It is released as soon as the model exists.
     """
     checkpoint_root(df.sparkSession)
-    return estimator.fit(spread(df, min_partitions))
+    data = spread(df, min_partitions)
+    if data is df:
+        return estimator.fit(df)
+    data = data.persist()
+    try:
+        return estimator.fit(data)
+    finally:
+        data.unpersist()
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:

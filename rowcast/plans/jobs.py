@@ -29,6 +29,7 @@ from rowcast.operators.features import assemble
 from rowcast.operators.frames import preview
 from rowcast.operators.learners import fit, make_learner, score
 from rowcast.operators.metrics import auc_roc, weighted_f1
+from rowcast.runtime import spread
 from rowcast.sources.delimited import read_delimited, write_csv
 from rowcast.sources.models import load_model, save_model
 
@@ -62,9 +63,14 @@ def prepared(
     features: Sequence[str] = FEATURES,
     features_col: str = "features",
 ) -> DataFrame:
-    """Only the label and the assembled vector: the narrow input a learner needs."""
-    keep = [features_col] + ([label_col] if label_col else [])
-    return assemble(df, features, features_col).select(*keep)
+    """Only the label and the assembled vector: the narrow input a learner needs.
+
+    Columns are pruned first (the scan reads only these), then a small
+    input is spread over the cores before the per-row vector work.
+    """
+    label = [label_col] if label_col else []
+    narrow = spread(df.select(*dict.fromkeys([*features, *label])))
+    return assemble(narrow, features, features_col).select(features_col, *label)
 
 
 def output_rows(

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -39,14 +40,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, seed: int = 17) -> DataFrame:
     """Give a small input at least one partition per core.
 
     A single small file arrives as one partition, and an iterative learner
     would then run every pass on one core. Large inputs already have far
     more splits than cores, so for them this is a no-op (no shuffle).
+
+    Rows go to a seeded random partition: balanced even when many rows are
+    identical (a hash of the row would send all copies to one task), and,
+    unlike round-robin, without sorting every input partition first.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if _has_exchange(df) or df.rdd.getNumPartitions() >= target:
+        return df
+    salt = F.floor(F.rand(seed) * target).cast("int")
+    return df.repartition(target, salt)
+
+
+def _has_exchange(df: DataFrame) -> bool:
+    """Whether the physical plan already shuffles or broadcasts.
+
+    Such an input has shuffle-sized partitions. It must not be probed with
+    ``df.rdd``: under adaptive execution that runs every shuffle stage of
+    the plan just to report a partition count. The plan is inspected
+    without executing it.
+    """
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
