@@ -99,6 +99,8 @@ def auc_roc(
     Labels above 0.5 are positive. Ties share half credit (mid-ranks), so
     the value is the Mann-Whitney statistic ``U / (P·N)``. Only positives
     give 1.0, only negatives 0.0, no rows 0.5 (the evaluator's values).
+    ``-0.0`` and ``0.0`` are one score here, as in SQL grouping; MLlib's
+    evaluator keeps them apart, the only case where the two differ.
 
     The rank of a score needs the count of negatives below it, a prefix sum
     in score order. A global ``ORDER BY`` would move every row to one task,
@@ -130,12 +132,15 @@ def auc_roc(
             probs = [i / n_buckets for i in range(1, n_buckets)]
             cuts = by_score.approxQuantile("s", probs, 1.0 / (4 * n_buckets))
             splits = sorted({c for c in cuts if c is not None and c == c and abs(c) != float("inf")})
-        bucketed = Bucketizer(
-            splits=[float("-inf"), *splits, float("inf")],
-            inputCol="s",
-            outputCol="b",
-            handleInvalid="keep",
-        ).transform(by_score)
+        if splits:
+            bucketed = Bucketizer(
+                splits=[float("-inf"), *splits, float("inf")],
+                inputCol="s",
+                outputCol="b",
+                handleInvalid="keep",
+            ).transform(by_score)
+        else:  # one range (one bucket asked for, or a single distinct score)
+            bucketed = by_score.withColumn("b", F.lit(0.0))
 
         below = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
         within = bucketed.withColumn(

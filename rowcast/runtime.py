@@ -54,8 +54,10 @@ def spread(df: DataFrame, min_partitions: int | None = None, seed: int = 17) ->
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if _has_exchange(df) or df.rdd.getNumPartitions() >= target:
         return df
-    salt = F.floor(F.rand(seed) * target).cast("int")
-    return df.repartition(target, salt)
+    # The random double itself is the key: each row hashes independently.
+    # (A small set of salt values would collide in the hash and leave some
+    # partitions empty.)
+    return df.repartition(target, F.rand(seed))
 
 
 def _has_exchange(df: DataFrame) -> bool:

@@ -1,0 +1,83 @@
+"""The jobs end to end over generated CSV files."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from conftest import GRADE, wine_rows, write_delimited_text
+from rowcast.plans.jobs import (
+    FEATURES,
+    main,
+    refit_and_score_job,
+    release,
+    sample_rows,
+    score_job,
+    train_and_score_job,
+    train_validate_job,
+)
+
+
+def _written(spark, path):
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+def test_train_and_score_binary_gbt(spark, scratch, wine_csv):
+    model, out = f"{scratch}/gbt", f"{scratch}/out"
+    res = train_and_score_job(spark, wine_csv, model, out, kind="gbt", maxIter=5, overwrite=False)
+    auc = res.metrics.first()["auc"]
+    assert 0.5 < auc <= 1.0
+    back = _written(spark, out)
+    assert back.columns == ["prediction", "binary_quality", "features_str"]
+    assert back.count() == 300
+    assert os.path.isdir(model)
+    release(res)
+    # A second run refuses to replace the saved model, after writing its output.
+    with pytest.raises(Exception):
+        train_and_score_job(spark, wine_csv, model, f"{scratch}/out2", kind="gbt",
+                            maxIter=2, overwrite=False)
+
+
+def test_train_and_score_multiclass_forest(spark, scratch, wine_csv):
+    res = train_and_score_job(spark, wine_csv, f"{scratch}/rf", f"{scratch}/o", kind="rf",
+                              binary=False, numTrees=5)
+    assert 0.0 < res.metrics.first()["f1"] <= 1.0
+    assert _written(spark, f"{scratch}/o").columns == ["prediction", GRADE, "features_str"]
+
+
+def test_train_validate_then_score_with_the_saved_model(spark, scratch):
+    train = write_delimited_text(f"{scratch}/train.csv", [*FEATURES, GRADE], wine_rows(300, seed=2))
+    valid = write_delimited_text(f"{scratch}/valid.csv", [*FEATURES, GRADE], wine_rows(100, seed=3))
+    res = train_validate_job(spark, train, valid, f"{scratch}/lr")
+    f1 = res.metrics.first()["f1"]
+    assert 0.0 < f1 <= 1.0
+    scored = score_job(spark, valid, f"{scratch}/lr", f"{scratch}/pred", kind="lr")
+    assert scored.metrics.first()["f1"] == pytest.approx(f1, abs=1e-12)
+    assert _written(spark, f"{scratch}/pred").count() == 100
+    preview = sample_rows(scored)
+    assert preview.count() == 5
+    assert preview.collect() == sorted(scored.predictions.collect())[:5]
+
+
+def test_score_job_without_a_label(spark, scratch):
+    train = write_delimited_text(f"{scratch}/t.csv", [*FEATURES, GRADE], wine_rows(200, seed=4))
+    train_validate_job(spark, train, train, f"{scratch}/lr")
+    bare = write_delimited_text(f"{scratch}/bare.csv", FEATURES, [r[:-1] for r in wine_rows(50, 9)])
+    res = score_job(spark, bare, f"{scratch}/lr", f"{scratch}/p", kind="lr")
+    assert res.metrics is None
+    assert _written(spark, f"{scratch}/p").columns == ["prediction", "features_str"]
+
+
+def test_refit_and_score_replaces_the_grade(spark, scratch, wine_csv):
+    res = refit_and_score_job(spark, wine_csv, f"{scratch}/o", maxIter=3)
+    labels = {r[GRADE] for r in _written(spark, f"{scratch}/o").select(GRADE).collect()}
+    assert labels <= {0, 1}
+    assert 0.0 < res.metrics.first()["f1"] <= 1.0
+
+
+def test_command_line(spark, scratch, wine_csv):
+    assert main(["score", wine_csv], spark=spark) == -1
+    train_validate_job(spark, wine_csv, wine_csv, f"{scratch}/lr")
+    assert main(["score", wine_csv, f"{scratch}/lr", f"{scratch}/cli"], spark=spark) == 0
+    assert _written(spark, f"{scratch}/cli").count() == 300
