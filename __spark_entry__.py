@@ -31,6 +31,7 @@ from rowcast.plans.jobs import fit_and_score, output_rows, train_validate
 from rowcast.runtime import scratch_path
 from rowcast.sources.delimited import read_delimited, write_csv
 from rowcast.sources.models import load_model, save_model
+from rowcast.streaming.score_stream import score_rows, write_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -221,6 +222,24 @@ def q_scaled_rf_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(loaded, data.drop("label")).select(KEY, "prediction")
 
 
+def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 over a stream: the lineitem file read as a file stream, scored by a
+    fitted model in micro-batches, appended to parquet and read back."""
+    li = _separable(spark, sf_dir)
+    model = fit(make_learner("gbt", "label", **GBT_PARAMS), assemble(li, FEATURES))
+    stream = (
+        spark.readStream.schema(_lineitem(spark, sf_dir).schema)
+        .option("pathGlobFilter", "lineitem.parquet")
+        .parquet(sf_dir)
+    )
+    rows = add_threshold_label(stream.select(KEY, *FEATURES), SEPARABLE_SOURCE, "label", SEPARABLE_CUT)
+    out = scratch_path(spark, "stream-scored")
+    query = write_stream(score_rows(rows, model, "label", FEATURES), out,
+                         scratch_path(spark, "stream-ckpt"), fmt="parquet")
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
 def q_train_validate_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1/A1: multinomial LR on the grade, trained on the past, weighted F1
     on the future. A fitted model is not SQL: rows-only check, unit-tested."""
@@ -260,6 +279,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gbt_fit_score": q_gbt_fit_score,
         "save_load_score": q_save_load_score,
         "scaled_rf_roundtrip": q_scaled_rf_roundtrip,
+        "stream_score": q_stream_score,
         "train_validate_f1": q_train_validate_f1,
         "train_self_score_auc": q_train_self_score_auc,
     }
@@ -358,4 +378,5 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem""",
         "scaled_rf_roundtrip": f"""
             SELECT l_orderkey, {_SEPARABLE_PREDICTION} AS prediction FROM lineitem""",
+        "stream_score": _FIT_SCORE,
     }

@@ -1,0 +1,46 @@
+"""The score job over a folder of arriving files."""
+
+from __future__ import annotations
+
+from conftest import GRADE, wine_rows, write_delimited_text
+from rowcast.operators.features import assemble
+from rowcast.operators.learners import build_pipeline, fit, make_learner
+from rowcast.plans.jobs import FEATURES, score_with
+from rowcast.streaming import score_stream
+
+SCHEMA = ", ".join(f"{c} double" for c in FEATURES) + f", {GRADE} int"
+
+
+def test_stream_scores_every_file_once(spark, scratch):
+    train = spark.createDataFrame(wine_rows(200, seed=11), [*FEATURES, GRADE])
+    model = fit(make_learner("lr", GRADE), assemble(train, FEATURES))
+    rows = wine_rows(90, seed=12)
+    for i in range(3):
+        write_delimited_text(f"{scratch}/in/part{i}.csv", [*FEATURES, GRADE], rows[i * 30:(i + 1) * 30])
+    ckpt = f"{scratch}/ckpt"
+    q = score_stream(spark, f"{scratch}/in", SCHEMA, model, f"{scratch}/out",
+                     label_col=GRADE, checkpoint=ckpt)
+    q.awaitTermination(120)
+    out = spark.read.option("header", True).schema(
+        "prediction double, quality int, features_str string").csv(f"{scratch}/out")
+    assert out.count() == 90
+    batch = score_with(model, spark.createDataFrame(rows, [*FEATURES, GRADE])).predictions
+    assert sorted(out.collect()) == sorted(batch.collect())
+    # A restart with the same checkpoint finds nothing new to score.
+    q2 = score_stream(spark, f"{scratch}/in", SCHEMA, model, f"{scratch}/out",
+                      label_col=GRADE, checkpoint=ckpt)
+    q2.awaitTermination(120)
+    assert spark.read.option("header", True).csv(f"{scratch}/out").count() == 90
+
+
+def test_stream_with_a_fitted_pipeline_and_no_label(spark, scratch):
+    train = spark.createDataFrame(wine_rows(200, seed=13), [*FEATURES, GRADE])
+    from rowcast.functions.labels import add_threshold_label
+
+    model = fit(build_pipeline(FEATURES, "y", kind="gbt", maxIter=3), add_threshold_label(train, GRADE, "y"))
+    write_delimited_text(f"{scratch}/in/a.csv", FEATURES, [r[:-1] for r in wine_rows(25, seed=14)])
+    schema = ", ".join(f"{c} double" for c in FEATURES)
+    q = score_stream(spark, f"{scratch}/in", schema, model, f"{scratch}/out", features=None)
+    q.awaitTermination(120)
+    out = spark.read.option("header", True).csv(f"{scratch}/out")
+    assert out.columns == ["prediction", "features_str"] and out.count() == 25
