@@ -209,11 +209,25 @@ def score_job(
     kind: str = "lr",
     schema=None,
 ) -> JobResult:
-    """Load a saved model through its class, score a file, write CSV."""
+    """Load a saved model through its class, score a file, write CSV.
+
+    The weighted F1 (when the input has a label) is read from the written
+    output, not recomputed: one pass scores the input, and the metric reads
+    two narrow columns of a durable result instead of re-parsing the input.
+    """
     model = load_model(model_path, kind)
     df = read_delimited(spark, input_path, schema=schema)
     result = score_with(model, df, features=None if kind == "pipeline" else FEATURES)
+    return _write_then_measure(spark, result, output_path)
+
+
+def _write_then_measure(spark: SparkSession, result: JobResult, output_path: str) -> JobResult:
     write_csv(result.predictions, output_path)
+    written = spark.read.schema(result.predictions.schema).option("header", True).csv(output_path)
+    result.predictions = written
+    if result.metrics is not None:
+        label = [c for c in written.columns if c not in ("prediction", "features_str")][0]
+        result.metrics = weighted_f1(written, label)
     return result
 
 
@@ -233,8 +247,7 @@ def refit_and_score_job(
         read_delimited(spark, input_path, schema=schema), GRADE_COLUMN, GRADE_COLUMN
     )
     result = fit_and_score(df, kind, GRADE_COLUMN, metric="f1", maxIter=maxIter, **params)
-    write_csv(result.predictions, output_path)
-    return result
+    return _write_then_measure(spark, result, output_path)
 
 
 def sample_rows(result: JobResult, n: int = 5) -> DataFrame:

@@ -6,6 +6,8 @@ from the cluster's configuration, never from this code.
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -55,5 +57,32 @@ def write_csv(
 
     Vector columns must be rendered first (:func:`rowcast.vector_text`);
     values containing the separator are quoted by the writer.
+
+    Overwriting a folder that ``df`` itself reads from is refused up front:
+    Spark would delete the folder first and then fail to read it, losing
+    the input.
     """
+    if mode == "overwrite" and reads_from(df, path):
+        raise ValueError(f"refusing to overwrite {path!r}: the DataFrame reads from it")
     df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+
+
+def reads_from(df: DataFrame, path: str) -> bool:
+    """Whether any input file of ``df`` lies at or below ``path``.
+
+    The file list is the one the planner already holds (no new listing);
+    checked only before an overwrite.
+    """
+    spark = df.sparkSession
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    target = fs.makeQualified(hpath).toUri()
+    scheme, auth = target.getScheme() or "", target.getAuthority() or ""
+    root = target.getPath().rstrip("/")
+    for f in df.inputFiles():
+        u = urlparse(f)
+        p = unquote(u.path)
+        if u.scheme == scheme and u.netloc == auth and (p == root or p.startswith(root + "/")):
+            return True
+    return False

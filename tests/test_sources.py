@@ -94,3 +94,15 @@ def test_scan_reads_a_folder_of_part_files(spark, scratch):
     back = read_delimited(spark, f"{scratch}/parts")
     assert back.count() == 50
     assert back.agg(F.sum(GRADE)).first()[0] == df.agg(F.sum(GRADE)).first()[0]
+
+
+def test_overwrite_onto_the_path_being_read_is_refused_and_keeps_the_input(spark, scratch):
+    write_csv(spark.range(5), f"{scratch}/self")
+    src = spark.read.option("header", True).csv(f"{scratch}/self")
+    with pytest.raises(ValueError, match="reads from"):
+        write_csv(src, f"{scratch}/self")
+    with pytest.raises(ValueError):
+        write_csv(src, f"file://{scratch}/self/")
+    assert spark.read.option("header", True).csv(f"{scratch}/self").count() == 5
+    write_csv(src, f"{scratch}/self-copy")  # a sibling with a common prefix is fine
+    assert spark.read.option("header", True).csv(f"{scratch}/self-copy").count() == 5
