@@ -177,6 +177,9 @@ def train_and_score_job(
     result.metrics = result.metrics.cache()
     result.metrics.count()
     write_csv(result.predictions, output_path)
+    release(result)
+    result.predictions = spark.read.schema(result.predictions.schema).option(
+        "header", True).csv(output_path)
     save_model(result.model, model_path, overwrite=overwrite)
     return result
 
@@ -247,7 +250,9 @@ def refit_and_score_job(
         read_delimited(spark, input_path, schema=schema), GRADE_COLUMN, GRADE_COLUMN
     )
     result = fit_and_score(df, kind, GRADE_COLUMN, metric="f1", maxIter=maxIter, **params)
-    return _write_then_measure(spark, result, output_path)
+    result = _write_then_measure(spark, result, output_path)
+    release(result)
+    return result
 
 
 def sample_rows(result: JobResult, n: int = 5) -> DataFrame:

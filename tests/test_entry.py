@@ -54,3 +54,21 @@ def test_query_matches_oracle(spark, con, name):
 def test_rows_only_queries_run(spark, name):
     rows = E.queries()[name](spark, SF).collect()
     assert len(rows) == 1 and 0.0 <= rows[0][0] <= 1.0
+
+
+def test_train_validate_query_equals_plain_mllib(spark):
+    """Brute force for the rows-only query: the same fit with plain MLlib
+    calls on an unspread input, scored and measured by the evaluator."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    cut = F.col("l_shipdate") < F.lit(E.VALIDATION_START).cast("timestamp_ntz")
+    va = VectorAssembler(inputCols=E.FEATURES, outputCol="features")
+    model = LogisticRegression(labelCol=E.GRADE, maxIter=10).fit(va.transform(li.where(cut)))
+    want = MulticlassClassificationEvaluator(labelCol=E.GRADE, metricName="f1").evaluate(
+        model.transform(va.transform(li.where(~cut))))
+    got = E.queries()["train_validate_f1"](spark, SF).first()["f1"]
+    assert got == pytest.approx(want, abs=1e-6)

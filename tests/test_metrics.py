@@ -95,3 +95,22 @@ def test_auc_one_hot_score_holding_a_third_of_rows(spark):
     rows = [(i % 3 == 0, 0.25 if i % 3 else float(i)) for i in range(3000)]
     df = spark.createDataFrame([(int(a), b) for a, b in rows], "y int, s double")
     assert _auc(df, buckets=8) == pytest.approx(_exact_evaluator_auc(df), abs=1e-12)
+
+
+def test_auc_on_gbt_scores_with_many_ties_matches_the_exact_evaluator(spark):
+    """Brute force on real model output: GBT margins are sums of leaf values,
+    so many rows share a score."""
+    from pyspark.sql import functions as F
+
+    from rowcast.functions.labels import add_threshold_label
+    from rowcast.plans.jobs import fit_and_score, release
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    res = fit_and_score(add_threshold_label(li, "l_linenumber", "y", 4), "gbt", "y", feats,
+                        metric="auc", maxIter=5)
+    scored = res.model.transform(res.cached)
+    assert scored.select(F.countDistinct("rawPrediction")).first()[0] < scored.count()
+    want = auc_roc_evaluator(scored, "y", num_bins=0)
+    assert res.metrics.first()["auc"] == pytest.approx(want, abs=1e-12)
+    release(res)
