@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +30,8 @@ def vector_columns(column: str, names: Sequence[str]) -> list[Column]:
     """One double column per vector slot, named by ``names``."""
     arr = vector_to_array(F.col(column))
     return [arr[i].alias(n) for i, n in enumerate(names)]
+
+
+def array_vector(column: str) -> Column:
+    """A numeric array column (e.g. ``array<float>``) as a dense vector."""
+    return array_to_vector(F.col(column).cast("array<double>"))

@@ -35,7 +35,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(E.oracle_sql()) <= set(E.queries())
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"train_validate_f1", "train_self_score_auc"}
+    assert rows_only == {"train_validate_f1", "train_self_score_auc", "embeddings_lr_f1"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
@@ -50,7 +50,7 @@ def test_query_matches_oracle(spark, con, name):
         assert ((x == y) | (x.isna() & y.isna())).all(), c
 
 
-@pytest.mark.parametrize("name", ["train_validate_f1", "train_self_score_auc"])
+@pytest.mark.parametrize("name", ["train_validate_f1", "train_self_score_auc", "embeddings_lr_f1"])
 def test_rows_only_queries_run(spark, name):
     rows = E.queries()[name](spark, SF).collect()
     assert len(rows) == 1 and 0.0 <= rows[0][0] <= 1.0
@@ -72,3 +72,19 @@ def test_train_validate_query_equals_plain_mllib(spark):
         model.transform(va.transform(li.where(~cut))))
     got = E.queries()["train_validate_f1"](spark, SF).first()["f1"]
     assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_embeddings_query_equals_plain_mllib(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    emb = spark.read.parquet(f"{SF}/embeddings.parquet").select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "label")
+    model = LogisticRegression(labelCol="label", maxIter=10).fit(emb)
+    want = MulticlassClassificationEvaluator(labelCol="label", metricName="f1").evaluate(
+        model.transform(emb))
+    got = E.queries()["embeddings_lr_f1"](spark, SF).first()["f1"]
+    assert 0.0 < got < 1.0
+    assert got == pytest.approx(want, abs=1e-6)
