@@ -4,9 +4,9 @@ Each job is a thin sequence of library calls over DataFrames; the
 ``*_job`` variants read and write files. Paths are parameters, a session is
 passed in, and every result (metrics included) comes back as a DataFrame.
 
-Command line (the score job takes three positional paths)::
-
-    spark-submit -m rowcast.plans.jobs score <input> <model> <output> [lr|rf|gbt|pipeline]
+Command line: ``python -m rowcast.plans.jobs <score|train|validate|refit> ...``
+(see ``USAGE``); the score job takes three positional paths and a wrong
+count exits with -1.
 """
 
 from __future__ import annotations
@@ -260,20 +260,39 @@ def sample_rows(result: JobResult, n: int = 5) -> DataFrame:
     return preview(result.predictions, n)
 
 
-USAGE = "usage: rowcast.plans.jobs score <input_csv_path> <model_path> <output_csv_path> [kind]"
+USAGE = """usage: python -m rowcast.plans.jobs <command> ...
+  score    <input_csv> <model> <output_csv> [lr|rf|gbt|pipeline]   load a model, score, write
+  train    <input_csv> <model> <output_csv> [gbt|rf]               fit, score own rows, save
+  validate <train_csv> <valid_csv> <model>  [lr|rf]                fit, F1 on the second file, save
+  refit    <input_csv> <output_csv>                                GBT on the 0/1 grade, score, write"""
+
+# command -> (job, number of required paths, default kind or None)
+COMMANDS = {
+    "score": (score_job, 3, "lr"),
+    "train": (train_and_score_job, 3, "gbt"),
+    "validate": (train_validate_job, 3, "lr"),
+    "refit": (refit_and_score_job, 2, None),
+}
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
+    """Run one job; a wrong argument count prints the usage and returns -1."""
     args = list(sys.argv[1:] if argv is None else argv)
-    if len(args) not in (4, 5) or args[0] != "score":
+    if not args or args[0] not in COMMANDS:
+        print(USAGE, file=sys.stderr)
+        return -1
+    job, n_paths, kind = COMMANDS[args[0]]
+    paths = args[1:]
+    if not (len(paths) == n_paths or (kind is not None and len(paths) == n_paths + 1)):
         print(USAGE, file=sys.stderr)
         return -1
     own = spark is None
-    session = spark or SparkSession.builder.appName("rowcast-score").getOrCreate()
+    session = spark or SparkSession.builder.appName(f"rowcast-{args[0]}").getOrCreate()
     try:
-        result = score_job(session, args[1], args[2], args[3], *(args[4:5]))
+        chosen = paths[n_paths:] or ([kind] if kind else [])
+        result = job(session, *paths[:n_paths], *chosen)
         if result.metrics is not None:
-            print(f"weighted F1: {result.metrics.first()['f1']}")
+            print(f"{result.metrics.columns[0]}: {result.metrics.first()[0]}")
     finally:
         if own:
             session.stop()

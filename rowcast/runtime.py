@@ -21,18 +21,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     MLlib's tree learners and GBT cut their lineage every
     ``checkpointInterval`` iterations, but only once the context has a
-    checkpoint directory, so it is set here from the session's setting.
+    checkpoint directory. A configured ``spark.checkpoint.dir`` is
+    registered by Spark itself at start-up; this only fills the gap when
+    the setting is absent (local runs, tests), with a folder of its own.
+    The setting itself is a core config and cannot be changed at runtime.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get(CHECKPOINT_KEY, None) or spark.conf.get(CHECKPOINT_KEY, None)
-    if not root:
-        # Unset: a local or test session. Pick a folder and record it so later
-        # calls in this session agree.
-        root = tempfile.mkdtemp(prefix="rowcast-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, root)
     if sc.getCheckpointDir() is None:
+        root = sc.getConf().get(CHECKPOINT_KEY, None) or tempfile.mkdtemp(prefix="rowcast-ckpt-")
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

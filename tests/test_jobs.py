@@ -78,6 +78,12 @@ def test_refit_and_score_replaces_the_grade(spark, scratch, wine_csv):
 
 def test_command_line(spark, scratch, wine_csv):
     assert main(["score", wine_csv], spark=spark) == -1
-    train_validate_job(spark, wine_csv, wine_csv, f"{scratch}/lr")
+    assert main([], spark=spark) == -1
+    assert main(["nope", "a", "b", "c"], spark=spark) == -1
+    assert main(["validate", wine_csv, wine_csv, f"{scratch}/lr"], spark=spark) == 0
     assert main(["score", wine_csv, f"{scratch}/lr", f"{scratch}/cli"], spark=spark) == 0
     assert _written(spark, f"{scratch}/cli").count() == 300
+    assert main(["train", wine_csv, f"{scratch}/rf", f"{scratch}/t", "rf"], spark=spark) == 0
+    assert main(["score", wine_csv, f"{scratch}/rf", f"{scratch}/s2", "rf"], spark=spark) == 0
+    assert main(["refit", wine_csv, f"{scratch}/r"], spark=spark) == 0
+    assert _written(spark, f"{scratch}/r").count() == 300

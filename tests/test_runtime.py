@@ -9,12 +9,46 @@ from rowcast.runtime import checkpoint_root, scratch_path, spread
 
 def test_checkpoint_root_reads_the_session_setting(spark):
     root = checkpoint_root(spark)
-    assert root == spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
+    assert root.removeprefix("file:").startswith(configured.removeprefix("file:"))
     assert spark.sparkContext.getCheckpointDir() is not None
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root)
 
 
+UNSET_SCRIPT = r"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+sc = spark.sparkContext
+assert sc.getConf().get("spark.checkpoint.dir", None) is None
+assert sc.getCheckpointDir() is None
+from rowcast.runtime import checkpoint_root, scratch_path
+root = checkpoint_root(spark)
+assert sc.getCheckpointDir() is not None and scratch_path(spark, "x").startswith(root)
+import __spark_entry__ as E
+assert E.queries()["csv_scan_infer"](spark, "/root/testdata/sf0.001").count() == 200
+print("UNSET-OK")
+"""
+
+
+def test_checkpoint_root_when_the_setting_is_absent():
+    """A session without spark.checkpoint.dir (an empty conf folder hides
+    the image's spark-defaults.conf): a folder is chosen and registered."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, SPARK_CONF_DIR=tempfile.mkdtemp(prefix="empty-conf-"))
+    out = subprocess.run([sys.executable, "-c", UNSET_SCRIPT.format(repo=repo)],
+                         capture_output=True, text=True, timeout=300, env=env)
+    assert "UNSET-OK" in out.stdout, out.stderr[-2000:]
+
+
 def test_spread_splits_a_single_partition(spark):
     df = spark.range(1000).coalesce(1)
     out = spread(df, 4)
