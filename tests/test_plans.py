@@ -1,0 +1,56 @@
+"""Physical plans: what reaches the scan, where the shuffles are."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rowcast.operators.features import PopulationScaler
+from rowcast.operators.metrics import weighted_f1
+from rowcast.plans.jobs import prepared
+from rowcast.runtime import spread
+
+LINEITEM = "/root/testdata/sf0.001/lineitem.parquet"
+FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_learner_input_reads_only_its_columns_and_pushes_the_filter(spark):
+    li = spark.read.parquet(LINEITEM)
+    cut = F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp_ntz")
+    df = prepared(li.where(cut), "l_linenumber", FEATURES)
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    read = plan[plan.index("ReadSchema"):].split("\n")[0]
+    assert "l_orderkey" not in read and "l_returnflag" not in read
+    for c in [*FEATURES, "l_linenumber", "l_shipdate"]:
+        assert c in read
+    assert "LessThan(l_shipdate" in plan
+
+
+def test_f1_aggregates_map_side_before_every_shuffle_and_never_joins(spark):
+    li = spark.read.parquet(LINEITEM)
+    rows = li.select("l_linenumber", (F.col("l_quantity") % 8).alias("prediction"))
+    plan = _plan(weighted_f1(rows, "l_linenumber"))
+    assert "partial_count" in plan and "partial_sum" in plan
+    assert "Join" not in plan
+    # every exchange is fed by a partial aggregate, never by raw rows
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange" in line:
+            assert "HashAggregate" in lines[i + 1] and "partial_" in lines[i + 1]
+
+
+def test_scaler_transform_is_codegen_arithmetic_without_shuffle(spark):
+    li = spark.read.parquet(LINEITEM)
+    model = PopulationScaler(inputCols=FEATURES, outputCols=[f"{c}_z" for c in FEATURES]).fit(li)
+    out = model.transform(li).select(*[f"{c}_z" for c in FEATURES])
+    assert "Exchange" not in _plan(out)
+    formatted = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert "* Project" in formatted  # "*" marks whole-stage codegen
+
+
+def test_spread_is_a_no_op_for_inputs_with_enough_splits(spark):
+    many = spark.range(0, 10_000, numPartitions=32)
+    assert spread(many, 8) is many
