@@ -130,7 +130,9 @@ def auc_roc(
         splits: list[float] = []
         if n_buckets > 1:
             probs = [i / n_buckets for i in range(1, n_buckets)]
-            cuts = by_score.approxQuantile("s", probs, 1.0 / (4 * n_buckets))
+            # Error bound a quarter of a range wide keeps ranges within
+            # ~1.5x of each other; the floor bounds the sketch to ~1e5 entries.
+            cuts = by_score.approxQuantile("s", probs, max(1.0 / (4 * n_buckets), 1e-5))
             splits = sorted({c for c in cuts if c is not None and c == c and abs(c) != float("inf")})
         if splits:
             bucketed = Bucketizer(
