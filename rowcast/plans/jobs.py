@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowcast.functions.labels import (
     BINARY_LABEL,
@@ -28,7 +29,7 @@ from rowcast.functions.vectors import with_vector_text
 from rowcast.operators.features import assemble
 from rowcast.operators.frames import preview
 from rowcast.operators.learners import fit, make_learner, score
-from rowcast.operators.metrics import auc_roc, weighted_f1
+from rowcast.operators.metrics import auc_roc, auc_roc_evaluator, weighted_f1
 from rowcast.runtime import spread
 from rowcast.sources.delimited import read_delimited, write_csv
 from rowcast.sources.models import load_model, save_model
@@ -87,20 +88,26 @@ def fit_and_score(
     label_col: str,
     features: Sequence[str] = FEATURES,
     metric: str = "f1",
+    auc_num_bins: int | None = None,
     **params,
 ) -> JobResult:
     """Fit on ``df`` and score the same rows (a train-set metric).
 
     ``metric`` is ``"f1"`` (weighted F1) or ``"auc"`` (area under ROC on
-    the raw prediction). The assembled input is persisted for the fit, the
-    scoring and the metric, and released by :func:`release`.
+    the raw prediction; exact unless ``auc_num_bins`` asks for MLlib's
+    binned curve, e.g. its default 1000). The assembled input is persisted
+    for the fit, the scoring and the metric, and released by :func:`release`.
     """
     data = prepared(df, label_col, features).persist()
     model = fit(make_learner(kind, label_col, **params), data)
     scored = score(model, data)
-    metrics = (
-        auc_roc(scored, label_col) if metric == "auc" else weighted_f1(scored, label_col)
-    )
+    if metric == "auc" and auc_num_bins:
+        value = auc_roc_evaluator(scored, label_col, num_bins=auc_num_bins)
+        metrics = df.sparkSession.range(1).select(F.lit(value).alias("auc"))
+    elif metric == "auc":
+        metrics = auc_roc(scored, label_col)
+    else:
+        metrics = weighted_f1(scored, label_col)
     return JobResult(model, output_rows(scored, label_col), metrics, cached=data)
 
 
@@ -162,8 +169,9 @@ def train_and_score_job(
     """Train on a file, save the model, score the training rows, write CSV.
 
     With ``binary`` the grade becomes a new 0/1 ``binary_quality`` label and
-    the metric is the area under ROC; otherwise the raw grade is the label
-    and the metric is weighted F1. Save happens after the metric, so a
+    the metric is the area under ROC (exact; ``auc_num_bins=1000`` gives
+    MLlib's default binned value instead); otherwise the raw grade is the
+    label and the metric is weighted F1. Save happens after the metric, so a
     refused save (``overwrite=False`` onto an existing model) cannot leave
     a run without output.
     """

@@ -87,3 +87,11 @@ def test_command_line(spark, scratch, wine_csv):
     assert main(["score", wine_csv, f"{scratch}/rf", f"{scratch}/s2", "rf"], spark=spark) == 0
     assert main(["refit", wine_csv, f"{scratch}/r"], spark=spark) == 0
     assert _written(spark, f"{scratch}/r").count() == 300
+
+
+def test_binned_auc_reproduces_the_evaluator_default(spark, scratch, wine_csv):
+    exact = train_and_score_job(spark, wine_csv, f"{scratch}/m1", f"{scratch}/o1", maxIter=3)
+    binned = train_and_score_job(spark, wine_csv, f"{scratch}/m2", f"{scratch}/o2", maxIter=3,
+                                 auc_num_bins=1000)
+    a, b = exact.metrics.first()["auc"], binned.metrics.first()["auc"]
+    assert 0.5 < b <= 1.0 and abs(a - b) < 1e-2
