@@ -38,19 +38,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, seed: int = 17) -> DataFrame:
-    """Give a small input at least one partition per core.
+def spread(
+    df: DataFrame,
+    min_partitions: int | None = None,
+    seed: int = 17,
+    bytes_per_partition: int = 512 * 1024,
+) -> DataFrame:
+    """Give a small input enough partitions to use the cores.
 
     A single small file arrives as one partition, and an iterative learner
     would then run every pass on one core. Large inputs already have far
     more splits than cores, so for them this is a no-op (no shuffle).
 
+    Without ``min_partitions`` the target is one partition per core, but
+    never partitions smaller than ``bytes_per_partition`` by the
+    optimizer's size estimate: on a wide cluster a 10 MB table becomes
+    about 20 partitions, not one per core, which would make every learner
+    pass schedule thousands of near-empty tasks.
+
     Rows go to a seeded random partition: balanced even when many rows are
     identical (a hash of the row would send all copies to one task), and,
     unlike round-robin, without sorting every input partition first.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if _has_exchange(df) or df.rdd.getNumPartitions() >= target:
+    if min_partitions is not None:
+        target = min_partitions
+    else:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        target = min(cores, max(1, -(-_estimated_bytes(df) // bytes_per_partition)))
+    if target <= 1 or _has_exchange(df) or df.rdd.getNumPartitions() >= target:
         return df
     # The random double itself is the key: each row hashes independently.
     # (A small set of salt values would collide in the hash and leave some
@@ -58,6 +73,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, seed: int = 17) ->
     return df.repartition(target, F.rand(seed))
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (planning only, no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _has_exchange(df: DataFrame) -> bool:
     """Whether the physical plan already shuffles or broadcasts.
 

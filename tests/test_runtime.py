@@ -68,3 +68,12 @@ def test_spread_balances_identical_rows(spark):
     df = spark.createDataFrame([(1,)] * 4000, "x int").coalesce(1)
     sizes = spread(df, 8).rdd.glom().map(len).collect()
     assert len(sizes) == 8 and min(sizes) > 300
+
+
+def test_spread_sizes_the_target_by_the_estimate(spark):
+    """Without an explicit target, tiny inputs are not cut into one
+    partition per core; a 1 MB floor gives at most 2 partitions here."""
+    tiny = spark.range(1000).coalesce(1)  # estimated at 8 kB
+    assert spread(tiny) is tiny
+    rows = spark.range(200_000).coalesce(1)  # estimated at 1.6 MB
+    assert spread(rows, bytes_per_partition=1 << 20).rdd.getNumPartitions() == 2
