@@ -79,9 +79,11 @@ def _graded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_scan_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part`` written as ';' CSV, read back with header and inferred types."""
+    """``part`` written as ';' CSV under spaced header names
+    (``p partkey``), read back with header, inferred types and cleaned names."""
+    part = _table(spark, sf_dir, "part")
     path = scratch_path(spark, "part-csv")
-    write_csv(_table(spark, sf_dir, "part"), path, sep=";")
+    write_csv(part.toDF(*[c.replace("_", " ") for c in part.columns]), path, sep=";")
     return read_delimited(spark, path)
 
 
