@@ -164,6 +164,7 @@ def train_and_score_job(
     binary: bool = True,
     overwrite: bool = True,
     schema=None,
+    features: Sequence[str] = FEATURES,
     **params,
 ) -> JobResult:
     """Train on a file, save the model, score the training rows, write CSV.
@@ -181,7 +182,7 @@ def train_and_score_job(
         label, metric = BINARY_LABEL, "auc"
     else:
         label, metric = GRADE_COLUMN, "f1"
-    result = fit_and_score(df, kind, label, metric=metric, **params)
+    result = fit_and_score(df, kind, label, features, metric=metric, **params)
     result.metrics = result.metrics.cache()
     result.metrics.count()
     write_csv(result.predictions, output_path)
@@ -199,6 +200,7 @@ def train_validate_job(
     model_path: str,
     kind: str = "lr",
     schema=None,
+    features: Sequence[str] = FEATURES,
     **params,
 ) -> JobResult:
     """Train on one file, weighted F1 on another, save with overwrite."""
@@ -206,6 +208,7 @@ def train_validate_job(
         read_delimited(spark, train_path, schema=schema),
         read_delimited(spark, valid_path, schema=schema),
         kind,
+        features=features,
         **params,
     )
     save_model(result.model, model_path, overwrite=True)
@@ -219,6 +222,7 @@ def score_job(
     output_path: str,
     kind: str = "lr",
     schema=None,
+    features: Sequence[str] = FEATURES,
 ) -> JobResult:
     """Load a saved model through its class, score a file, write CSV.
 
@@ -228,7 +232,7 @@ def score_job(
     """
     model = load_model(model_path, kind)
     df = read_delimited(spark, input_path, schema=schema)
-    result = score_with(model, df, features=None if kind == "pipeline" else FEATURES)
+    result = score_with(model, df, features=None if kind == "pipeline" else features)
     return _write_then_measure(spark, result, output_path)
 
 
@@ -249,6 +253,7 @@ def refit_and_score_job(
     kind: str = "gbt",
     schema=None,
     maxIter: int = 10,
+    features: Sequence[str] = FEATURES,
     **params,
 ) -> JobResult:
     """Replace the grade by its 0/1 label, fit GBT on the file, score it,
@@ -257,7 +262,9 @@ def refit_and_score_job(
     df = add_threshold_label(
         read_delimited(spark, input_path, schema=schema), GRADE_COLUMN, GRADE_COLUMN
     )
-    result = fit_and_score(df, kind, GRADE_COLUMN, metric="f1", maxIter=maxIter, **params)
+    result = fit_and_score(
+        df, kind, GRADE_COLUMN, features, metric="f1", maxIter=maxIter, **params
+    )
     result = _write_then_measure(spark, result, output_path)
     release(result)
     return result
