@@ -35,7 +35,8 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(E.oracle_sql()) <= set(E.queries())
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"train_validate_f1", "train_self_score_auc", "embeddings_lr_f1"}
+    assert rows_only == {"train_validate_f1", "train_self_score_auc", "embeddings_lr_f1",
+                         "job_validate_lr"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
@@ -50,7 +51,8 @@ def test_query_matches_oracle(spark, con, name):
         assert ((x == y) | (x.isna() & y.isna())).all(), c
 
 
-@pytest.mark.parametrize("name", ["train_validate_f1", "train_self_score_auc", "embeddings_lr_f1"])
+@pytest.mark.parametrize(
+    "name", ["train_validate_f1", "train_self_score_auc", "embeddings_lr_f1", "job_validate_lr"])
 def test_rows_only_queries_run(spark, name):
     rows = E.queries()[name](spark, SF).collect()
     assert len(rows) == 1 and 0.0 <= rows[0][0] <= 1.0
@@ -88,3 +90,23 @@ def test_embeddings_query_equals_plain_mllib(spark):
     got = E.queries()["embeddings_lr_f1"](spark, SF).first()["f1"]
     assert 0.0 < got < 1.0
     assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_validate_job_query_equals_plain_mllib(spark):
+    """Brute force for the rows-only validation job: the same grade and
+    split straight from parquet, plain MLlib fit and evaluator."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").withColumn(
+        "quality", (F.floor(F.col("l_quantity") / 12.5) + 4).cast("int"))
+    cut = F.col("l_shipdate") < F.lit(E.VALIDATION_START).cast("timestamp_ntz")
+    va = VectorAssembler(inputCols=E.FEATURES, outputCol="features")
+    model = LogisticRegression(labelCol="quality", maxIter=10).fit(va.transform(li.where(cut)))
+    want = MulticlassClassificationEvaluator(labelCol="quality", metricName="f1").evaluate(
+        model.transform(va.transform(li.where(~cut))))
+    got = E.queries()["job_validate_lr"](spark, SF).first()["f1"]
+    assert 0.0 < got <= 1.0
+    assert got == pytest.approx(want, abs=1e-6)
