@@ -71,12 +71,17 @@ def reads_from(df: DataFrame, path: str) -> bool:
     """Whether any input file of ``df`` lies at or below ``path``.
 
     The file list is the one the planner already holds (no new listing);
-    checked only before an overwrite.
+    checked only before an overwrite. A target that does not exist yet (a
+    fresh output folder, the usual case) cannot hold input files, so the
+    file list, which crosses to Python one path at a time and can hold
+    millions of paths at scale, is then not fetched at all.
     """
     spark = df.sparkSession
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return False
     target = fs.makeQualified(hpath).toUri()
     scheme, auth = target.getScheme() or "", target.getAuthority() or ""
     root = target.getPath().rstrip("/")

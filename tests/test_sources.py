@@ -106,3 +106,15 @@ def test_overwrite_onto_the_path_being_read_is_refused_and_keeps_the_input(spark
     assert spark.read.option("header", True).csv(f"{scratch}/self").count() == 5
     write_csv(src, f"{scratch}/self-copy")  # a sibling with a common prefix is fine
     assert spark.read.option("header", True).csv(f"{scratch}/self-copy").count() == 5
+
+
+def test_overwrite_check_skips_a_target_that_does_not_exist(spark, scratch):
+    from rowcast.sources.delimited import reads_from
+
+    src = f"{scratch}/src"
+    spark.range(3).write.parquet(src)
+    df = spark.read.parquet(src)
+    assert reads_from(df, src)
+    assert reads_from(df, scratch)  # a folder above the input
+    assert not reads_from(df, f"{scratch}/not-there")
+    assert not reads_from(df, f"{src}-sibling")
