@@ -54,3 +54,26 @@ def test_scaler_transform_is_codegen_arithmetic_without_shuffle(spark):
 def test_spread_is_a_no_op_for_inputs_with_enough_splits(spark):
     many = spark.range(0, 10_000, numPartitions=32)
     assert spread(many, 8) is many
+
+
+def test_score_job_reads_only_features_and_grade_from_the_csv(spark, scratch):
+    """The job path over a ';' file with one column too many: the CSV scan
+    is pruned to the features and the grade, rendering stays in the JVM (no
+    Python UDF), and the only shuffle is the spread of the small input."""
+    from conftest import GRADE, wine_rows, write_delimited_text
+    from rowcast.operators.learners import fit, make_learner
+    from rowcast.plans.jobs import FEATURES as WINE, prepared, score_with
+    from rowcast.sources.delimited import read_delimited
+
+    rows = [(*r, "batch-1") for r in wine_rows(200, seed=4)]
+    path = write_delimited_text(f"{scratch}/wide.csv", [*WINE, GRADE, "batch"], rows)
+    df = read_delimited(spark, path)
+    model = fit(make_learner("lr", GRADE, maxIter=5), prepared(df, GRADE, WINE))
+    out = score_with(model, df, GRADE, WINE).predictions
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    read = plan[plan.index("ReadSchema"):].split("\n")[0]
+    assert "batch" not in read
+    for c in [*WINE, GRADE]:
+        assert c in read
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    assert _plan(out).count("Exchange") <= 1
