@@ -161,7 +161,7 @@ def train_and_score_job(
     model_path: str,
     output_path: str,
     kind: str = "gbt",
-    binary: bool = True,
+    binary: bool | None = None,
     overwrite: bool = True,
     schema=None,
     features: Sequence[str] = FEATURES,
@@ -172,11 +172,15 @@ def train_and_score_job(
     With ``binary`` the grade becomes a new 0/1 ``binary_quality`` label and
     the metric is the area under ROC (exact; ``auc_num_bins=1000`` gives
     MLlib's default binned value instead); otherwise the raw grade is the
-    label and the metric is weighted F1. Save happens after the metric, so a
+    label and the metric is weighted F1. By default GBT (binary labels only)
+    gets the 0/1 label and the other learners the raw grade, as in the
+    reference's two training jobs. Save happens after the metric, so a
     refused save (``overwrite=False`` onto an existing model) cannot leave
     a run without output.
     """
     df = read_delimited(spark, input_path, schema=schema)
+    if binary is None:
+        binary = kind == "gbt"
     if binary:
         df = add_threshold_label(df, GRADE_COLUMN, BINARY_LABEL, GRADE_THRESHOLD)
         label, metric = BINARY_LABEL, "auc"
@@ -277,7 +281,7 @@ def sample_rows(result: JobResult, n: int = 5) -> DataFrame:
 
 USAGE = """usage: python -m rowcast.plans.jobs <command> ...
   score    <input_csv> <model> <output_csv> [lr|rf|gbt|pipeline]   load a model, score, write
-  train    <input_csv> <model> <output_csv> [gbt|rf]               fit, score own rows, save
+  train    <input_csv> <model> <output_csv> [gbt|rf]               fit (gbt: 0/1 label, rf: grade), score own rows, save
   validate <train_csv> <valid_csv> <model>  [lr|rf]                fit, F1 on the second file, save
   refit    <input_csv> <output_csv>                                GBT on the 0/1 grade, score, write"""
 

@@ -84,6 +84,10 @@ def test_command_line(spark, scratch, wine_csv):
     assert main(["score", wine_csv, f"{scratch}/lr", f"{scratch}/cli"], spark=spark) == 0
     assert _written(spark, f"{scratch}/cli").count() == 300
     assert main(["train", wine_csv, f"{scratch}/rf", f"{scratch}/t", "rf"], spark=spark) == 0
+    # The forest's training job keeps the raw grade as its label (the GBT one adds 0/1).
+    trained = _written(spark, f"{scratch}/t")
+    assert trained.columns == ["prediction", GRADE, "features_str"]
+    assert trained.where("prediction > 1").count() > 0
     assert main(["score", wine_csv, f"{scratch}/rf", f"{scratch}/s2", "rf"], spark=spark) == 0
     assert main(["refit", wine_csv, f"{scratch}/r"], spark=spark) == 0
     assert _written(spark, f"{scratch}/r").count() == 300
