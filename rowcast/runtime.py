@@ -23,12 +23,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     ``checkpointInterval`` iterations, but only once the context has a
     checkpoint directory. A configured ``spark.checkpoint.dir`` is
     registered by Spark itself at start-up; this only fills the gap when
-    the setting is absent (local runs, tests), with a folder of its own.
+    the setting is absent in a local session (local runs, tests), with a
+    folder of its own. On a cluster a folder on the driver's disk is not
+    shared with the executors, so there the setting is required.
     The setting itself is a core config and cannot be changed at runtime.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        root = sc.getConf().get(CHECKPOINT_KEY, None) or tempfile.mkdtemp(prefix="rowcast-ckpt-")
+        root = sc.getConf().get(CHECKPOINT_KEY, None)
+        if root is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError(
+                    f"{CHECKPOINT_KEY} is not set: on a cluster it must name shared "
+                    "storage (HDFS, an object store) for lineage cuts and scratch files"
+                )
+            root = tempfile.mkdtemp(prefix="rowcast-ckpt-")
         sc.setCheckpointDir(root)
     return sc.getCheckpointDir().rstrip("/")
 

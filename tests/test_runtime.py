@@ -77,3 +77,33 @@ def test_spread_sizes_the_target_by_the_estimate(spark):
     assert spread(tiny) is tiny
     rows = spark.range(200_000).coalesce(1)  # estimated at 1.6 MB
     assert spread(rows, bytes_per_partition=1 << 20).rdd.getNumPartitions() == 2
+
+
+def test_checkpoint_root_requires_the_setting_on_a_cluster():
+    """On a cluster a driver-local folder is not shared with the executors,
+    so an unset spark.checkpoint.dir is an error there, not a fallback."""
+    import pytest
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "yarn"
+        registered = None
+
+        def getCheckpointDir(self):
+            return self.registered
+
+        def getConf(self):
+            return _Conf()
+
+        def setCheckpointDir(self, path):  # pragma: no cover - must not be reached
+            self.registered = path
+
+    class _Session:
+        sparkContext = _Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Session())
+    assert _Session.sparkContext.registered is None
