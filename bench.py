@@ -30,7 +30,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -59,7 +58,6 @@ def _sink(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    scratch = tempfile.mkdtemp(prefix="rowcast-bench-")
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("rowcast-bench")
@@ -68,7 +66,6 @@ def main() -> None:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
     )
     if os.environ.get("BENCH_EVENT_LOG"):
         # Stage and task times for offline reading; no UI, no server.
