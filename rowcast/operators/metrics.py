@@ -20,6 +20,8 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowcast.runtime import sized_for_cache
+
 
 def _not_null(column: str, what: str) -> Column:
     c = F.col(column)
@@ -115,17 +117,17 @@ def auc_roc(
        negatives in all lower ranges.
 
     The aggregated scores are persisted (memory, then disk) for the few
-    passes over them and released before returning.
+    passes over them, in partitions sized by their estimate (a cached plan
+    keeps every shuffle partition), and released before returning.
     """
     spark = df.sparkSession
     n_buckets = buckets or max(1, 2 * spark.sparkContext.defaultParallelism)
     is_pos = F.when(_not_null(label_col, "label") > 0.5, 1).otherwise(0)
-    by_score = (
+    by_score = sized_for_cache(
         df.select(_score_column(df, score_col).alias("s"), is_pos.alias("y"))
         .groupBy("s")
         .agg(F.sum("y").alias("pos"), (F.count(F.lit(1)) - F.sum("y")).alias("neg"))
-        .persist()
-    )
+    ).persist()
     try:
         splits: list[float] = []
         if n_buckets > 1:

@@ -82,6 +82,37 @@ def spread(
     return df.repartition(target, F.rand(seed))
 
 
+def sized_for_cache(df: DataFrame, min_bytes_per_partition: int = 256 * 1024) -> DataFrame:
+    """``df`` with as many partitions as its estimated size needs, before a persist.
+
+    Adaptive execution merges small shuffle partitions when a result is
+    read, but not inside a cached plan
+    (``spark.sql.optimizer.canChangeCachedPlanOutputPartitioning`` is off by
+    default). A small cached aggregate would keep all
+    ``spark.sql.shuffle.partitions`` partitions, and every pass over it
+    would schedule that many near-empty tasks. ``coalesce`` merges them
+    without another shuffle to one partition per
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of the optimizer's
+    estimate. It keeps at least one per core while partitions stay above
+    ``min_bytes_per_partition``: estimates derived from compressed parquet
+    sizes run well below the cached size, and the passes over the cache
+    should still use every core. It never adds partitions, so a large
+    input keeps its partitioning.
+    """
+    spark = df.sparkSession
+    advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    )
+    est = _estimated_bytes(df)
+    cores = spark.sparkContext.defaultParallelism
+    by_size = -(-est // max(1, advisory))
+    by_cores = min(cores, -(-est // max(1, min_bytes_per_partition)))
+    target = max(1, by_size, by_cores)
+    if target >= 2**31 - 1:  # unknown statistics are estimated as "infinite"
+        return df
+    return df.coalesce(int(target))
+
+
 def _estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` (planning only, no job)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

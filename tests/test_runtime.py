@@ -107,3 +107,30 @@ def test_checkpoint_root_requires_the_setting_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(_Session())
     assert _Session.sparkContext.registered is None
+
+
+def test_sized_for_cache_merges_small_shuffle_output_and_keeps_large(spark):
+    """A small aggregate planned with 200 shuffle partitions is cached in a
+    handful; a partition count the estimate justifies is left alone."""
+    from rowcast.runtime import sized_for_cache
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        small = spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).count()
+        sized = sized_for_cache(small).persist()
+        try:
+            n = sized.rdd.getNumPartitions()
+            assert 1 <= n <= spark.sparkContext.defaultParallelism
+            assert sized.count() == 1000
+        finally:
+            sized.unpersist()
+        # Estimate far above 200 x the advisory size: coalesce cannot add partitions.
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1b")
+        big = spark.range(100_000).groupBy("id").count()
+        logical = sized_for_cache(big)._jdf.queryExecution().logical().toString()
+        target = int(logical.split("Repartition ")[1].split(",")[0])
+        assert target >= 200  # a coalesce to 200+ leaves 200 shuffle partitions as they are
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
