@@ -40,10 +40,21 @@ def test_train_and_score_binary_gbt(spark, scratch, wine_csv):
 
 
 def test_train_and_score_multiclass_forest(spark, scratch, wine_csv):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import VectorAssembler
+
     res = train_and_score_job(spark, wine_csv, f"{scratch}/rf", f"{scratch}/o", kind="rf",
                               binary=False, numTrees=5)
-    assert 0.0 < res.metrics.first()["f1"] <= 1.0
+    f1 = res.metrics.first()["f1"]
+    assert 0.0 < f1 <= 1.0
     assert _written(spark, f"{scratch}/o").columns == ["prediction", GRADE, "features_str"]
+    # The F1 read from the written rows equals the evaluator on the model's own scoring.
+    raw = spark.read.option("header", True).option("inferSchema", True).option("sep", ";").csv(
+        wine_csv)
+    scored = res.model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features")
+                                 .transform(raw))
+    want = MulticlassClassificationEvaluator(labelCol=GRADE, metricName="f1").evaluate(scored)
+    assert f1 == pytest.approx(want, abs=1e-12)
 
 
 def test_train_validate_then_score_with_the_saved_model(spark, scratch):
