@@ -20,7 +20,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 
 from rowcast.operators.features import PopulationScaler, assembler
-from rowcast.runtime import checkpoint_root, spread
+from rowcast.runtime import balanced, checkpoint_root, spread
 
 LEARNERS: dict[str, type] = {
     "lr": LogisticRegression,
@@ -62,19 +62,29 @@ def make_learner(
     return cls(labelCol=label_col, featuresCol=features_col, **args)
 
 
-def fit(estimator: Estimator, df: DataFrame, min_partitions: int | None = None) -> Model:
+def fit(
+    estimator: Estimator,
+    df: DataFrame,
+    min_partitions: int | None = None,
+    check_skew: bool = True,
+) -> Model:
     """Fit ``estimator`` on ``df``.
 
     Registers the shared checkpoint folder first, so GBT (and forests with
     ``cacheNodeIds``) cut their lineage every ``checkpointInterval``
     iterations and a lost executor does not replay the whole boosting run.
-    A small input is spread over all cores; a large one is left as it is.
-    The spread copy is persisted for the fit: MLlib converts its input to
-    RDDs more than once, and each conversion would otherwise repeat the
-    shuffle. It is released as soon as the model exists.
+    A small input is spread over all cores. A large one is left as it is
+    unless one partition holds far more than its share (an unsplittable
+    hot file; see :func:`rowcast.runtime.balanced`, skipped with
+    ``check_skew=False``). The respread copy is persisted for the fit:
+    MLlib converts its input to RDDs more than once, and each conversion
+    would otherwise repeat the shuffle. It is released as soon as the model
+    exists.
     """
     checkpoint_root(df.sparkSession)
     data = spread(df, min_partitions)
+    if data is df and check_skew:
+        data = balanced(df)
     if data is df:
         return estimator.fit(df)
     data = data.persist()

@@ -82,6 +82,40 @@ def spread(
     return df.repartition(target, F.rand(seed))
 
 
+def balanced(
+    df: DataFrame, skew: float = 4.0, min_rows: int = 1_000_000, seed: int = 17
+) -> DataFrame:
+    """Spread rows evenly when one partition holds far more than its share.
+
+    A large input normally arrives in even splits, but an unsplittable file
+    (gzip) or one outsized source becomes a single partition however big it
+    is, and an iterative learner would wait on that task in every pass
+    (MLlib caches its training copy partition by partition, so the skew
+    stays). One aggregate counts the rows per partition. For parquet it is a
+    column-free scan; on a cached input it materialises the cache the fit
+    needs anyway. Only the largest count and the total reach the driver.
+    When the largest partition holds more than ``skew`` times the mean and
+    at least ``min_rows`` rows, rows go to a seeded random partition as in
+    :func:`spread`. Inputs that already shuffle are left alone.
+    """
+    if _has_exchange(df):
+        return df
+    n = df.rdd.getNumPartitions()
+    if n <= 1:
+        return df
+    row = (
+        df.select(F.spark_partition_id().alias("p"))
+        .groupBy("p")
+        .count()
+        .agg(F.max("count").alias("top"), F.sum("count").alias("rows"))
+        .first()
+    )
+    top, rows = int(row["top"] or 0), int(row["rows"] or 0)
+    if top < min_rows or top * n <= skew * rows:
+        return df
+    return df.repartition(n, F.rand(seed))
+
+
 def sized_for_cache(df: DataFrame, min_bytes_per_partition: int = 256 * 1024) -> DataFrame:
     """``df`` with as many partitions as its estimated size needs, before a persist.
 

@@ -134,3 +134,42 @@ def test_sized_for_cache_merges_small_shuffle_output_and_keeps_large(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_balanced_spreads_a_hot_partition_and_leaves_even_input(spark):
+    from rowcast.runtime import balanced
+
+    # One source partition with 300,000 rows beside seven small ones.
+    hot = spark.range(0, 300_000, numPartitions=1).union(
+        spark.range(300_000, 330_000, numPartitions=7))
+    out = balanced(hot, min_rows=1000)
+    sizes = out.rdd.glom().map(len).collect()
+    assert len(sizes) == 8 and sum(sizes) == 330_000
+    assert max(sizes) < 2 * min(sizes)
+    assert sorted(out.agg(F.sum("id")).first()) == [sum(range(330_000))]
+    even = spark.range(0, 40_000, numPartitions=4)
+    assert balanced(even, min_rows=1000) is even
+    assert balanced(hot) is hot  # below the row floor: not worth a shuffle
+
+
+def test_fit_respreads_a_hot_partition(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from rowcast.operators.learners import fit, make_learner
+
+    rows = spark.range(0, 60_000, numPartitions=1).union(
+        spark.range(60_000, 66_000, numPartitions=5))
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        rows.select((F.col("id") % 97).cast("double").alias("x"),
+                    ((F.col("id") % 97) >= 50).cast("int").alias("y")))
+    import rowcast.operators.learners as L
+    seen = {}
+    real = L.balanced
+    L.balanced = lambda df: seen.setdefault("out", real(df, min_rows=1000))
+    try:
+        model = fit(make_learner("gbt", "y", maxIter=3, maxBins=128), data)
+    finally:
+        L.balanced = real
+    assert seen["out"] is not data
+    pred = model.transform(data).where("prediction != y").count()
+    assert pred == 0
