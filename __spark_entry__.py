@@ -413,7 +413,7 @@ _GRADED_ROWS = f"""
            CASE WHEN l_linenumber >= 6 THEN 1 ELSE 0 END AS binary_quality,
            {_FEATURE_TEXT} AS features_str
     FROM lineitem"""
-_WINE_GRADE = "CAST(floor(l_quantity / 12.5) AS INTEGER) + 4"
+_WINE_GRADE = f"CAST(floor(l_quantity / {WINE_GRADE_STEP}) AS INTEGER) + {WINE_GRADE_BASE}"
 _WINE_ROWS = f"""
     SELECT CAST({_WINE_GRADE} AS DOUBLE) AS prediction, {_WINE_GRADE} AS quality,
            {_FEATURE_TEXT} AS features_str
