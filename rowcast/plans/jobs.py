@@ -30,7 +30,7 @@ from rowcast.operators.features import assemble
 from rowcast.operators.frames import preview
 from rowcast.operators.learners import fit, make_learner, score
 from rowcast.operators.metrics import auc_roc, auc_roc_evaluator, weighted_f1
-from rowcast.runtime import spread
+from rowcast.runtime import sized_for_cache, spread
 from rowcast.sources.delimited import read_delimited, write_csv
 from rowcast.sources.models import load_model, save_model
 
@@ -97,8 +97,10 @@ def fit_and_score(
     the raw prediction; exact unless ``auc_num_bins`` asks for MLlib's
     binned curve, e.g. its default 1000). The assembled input is persisted
     for the fit, the scoring and the metric, and released by :func:`release`.
+    An input that arrives from a shuffle (a join, an aggregate) is cached in
+    partitions sized by its estimate, not one per shuffle partition.
     """
-    data = prepared(df, label_col, features).persist()
+    data = sized_for_cache(prepared(df, label_col, features)).persist()
     model = fit(make_learner(kind, label_col, **params), data)
     scored = score(model, data)
     if metric == "auc" and auc_num_bins:

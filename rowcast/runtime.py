@@ -131,8 +131,11 @@ def sized_for_cache(df: DataFrame, min_bytes_per_partition: int = 256 * 1024) ->
     ``min_bytes_per_partition``: estimates derived from compressed parquet
     sizes run well below the cached size, and the passes over the cache
     should still use every core. It never adds partitions, so a large
-    input keeps its partitioning.
+    input keeps its partitioning, and so does a plan without a shuffle
+    (file splits are already sized by ``spark.sql.files.maxPartitionBytes``).
     """
+    if not _has_exchange(df):
+        return df
     spark = df.sparkSession
     advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")

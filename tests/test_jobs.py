@@ -110,3 +110,25 @@ def test_binned_auc_reproduces_the_evaluator_default(spark, scratch, wine_csv):
                                  auc_num_bins=1000)
     a, b = exact.metrics.first()["auc"], binned.metrics.first()["auc"]
     assert 0.5 < b <= 1.0 and abs(a - b) < 1e-2
+
+
+def test_fit_and_score_caches_a_shuffled_input_in_few_partitions(spark):
+    """An input that comes from an aggregate, under the default 200 shuffle
+    partitions: the cached training copy is sized by its estimate."""
+    from pyspark.sql import functions as F
+
+    from rowcast.plans.jobs import fit_and_score
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        base = spark.range(20_000).select(
+            (F.col("id") % 500).alias("k"), (F.col("id") % 7).cast("double").alias("v"))
+        agg = base.groupBy("k").agg(F.avg("v").alias("a"), F.max("v").alias("b"))
+        agg = agg.withColumn("y", (F.col("k") >= 250).cast("int"))
+        res = fit_and_score(agg, "lr", "y", ["a", "b", "k"], maxIter=5)
+        assert res.cached.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert 0.0 <= res.metrics.first()["f1"] <= 1.0
+        release(res)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -127,10 +127,12 @@ def test_sized_for_cache_merges_small_shuffle_output_and_keeps_large(spark):
             sized.unpersist()
         # Estimate far above 200 x the advisory size: coalesce cannot add partitions.
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1b")
-        big = spark.range(100_000).groupBy("id").count()
+        big = spark.range(100_000).groupBy((F.col("id") % 50_000).alias("k")).count()
         logical = sized_for_cache(big)._jdf.queryExecution().logical().toString()
         target = int(logical.split("Repartition ")[1].split(",")[0])
         assert target >= 200  # a coalesce to 200+ leaves 200 shuffle partitions as they are
+        scan = spark.range(100_000, numPartitions=50)
+        assert sized_for_cache(scan) is scan  # no shuffle: file-like splits are kept
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
