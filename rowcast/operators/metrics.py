@@ -13,6 +13,8 @@ third of the table is one row after the partial aggregate, not a hot task.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
@@ -20,7 +22,9 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.runtime import sized_for_cache
+from rowcast.runtime import estimated_shuffle_width, sized_for_cache
+
+_log = logging.getLogger(__name__)
 
 
 def _not_null(column: str, what: str) -> Column:
@@ -123,11 +127,22 @@ def auc_roc(
     spark = df.sparkSession
     n_buckets = buckets or max(1, 2 * spark.sparkContext.defaultParallelism)
     is_pos = F.when(_not_null(label_col, "label") > 0.5, 1).otherwise(0)
-    by_score = sized_for_cache(
+    aggregated = (
         df.select(_score_column(df, score_col).alias("s"), is_pos.alias("y"))
         .groupBy("s")
         .agg(F.sum("y").alias("pos"), (F.count(F.lit(1)) - F.sum("y")).alias("neg"))
-    ).persist()
+    )
+    need, have = estimated_shuffle_width(aggregated)
+    if need > 16 * have:
+        # Adaptive execution merges small partitions but never splits large
+        # ones; the width of this shuffle is the session's to set.
+        _log.warning(
+            "the score aggregate is estimated at %d partitions of the advisory size, "
+            "but spark.sql.shuffle.partitions is %d; set it (or "
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum) to about %d",
+            need, have, need,
+        )
+    by_score = sized_for_cache(aggregated).persist()
     try:
         splits: list[float] = []
         if n_buckets > 1:

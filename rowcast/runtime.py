@@ -116,6 +116,25 @@ def balanced(
     return df.repartition(n, F.rand(seed))
 
 
+def estimated_shuffle_width(df: DataFrame) -> tuple[int, int]:
+    """``(needed, configured)``: partitions of
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` that the optimizer's
+    size estimate of ``df`` calls for (0 when the size is unknown), and
+    ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    est = _estimated_bytes(df)
+    if est >= 2**62:  # unknown statistics are estimated as "infinite"
+        return 0, configured
+    return -(-est // _advisory_bytes(spark)), configured
+
+
+def _advisory_bytes(spark: SparkSession) -> int:
+    return max(1, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    )))
+
+
 def sized_for_cache(df: DataFrame, min_bytes_per_partition: int = 256 * 1024) -> DataFrame:
     """``df`` with as many partitions as its estimated size needs, before a persist.
 
@@ -137,12 +156,10 @@ def sized_for_cache(df: DataFrame, min_bytes_per_partition: int = 256 * 1024) ->
     if not _has_exchange(df):
         return df
     spark = df.sparkSession
-    advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    )
+    advisory = _advisory_bytes(spark)
     est = _estimated_bytes(df)
     cores = spark.sparkContext.defaultParallelism
-    by_size = -(-est // max(1, advisory))
+    by_size = -(-est // advisory)
     by_cores = min(cores, -(-est // max(1, min_bytes_per_partition)))
     target = max(1, by_size, by_cores)
     if target >= 2**31 - 1:  # unknown statistics are estimated as "infinite"

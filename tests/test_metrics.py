@@ -114,3 +114,27 @@ def test_auc_on_gbt_scores_with_many_ties_matches_the_exact_evaluator(spark):
     want = auc_roc_evaluator(scored, "y", num_bins=0)
     assert res.metrics.first()["auc"] == pytest.approx(want, abs=1e-12)
     release(res)
+
+
+def test_auc_warns_when_the_score_shuffle_is_too_narrow(spark, caplog):
+    """Adaptive execution cannot split partitions: a score aggregate far
+    wider than the session's shuffle width is reported, and still exact."""
+    import logging
+
+    from pyspark.sql import functions as F
+
+    # spark.range has real size statistics (local rows would be "unknown").
+    df = spark.range(2000).select((F.col("id") % 2).cast("int").alias("y"),
+                                  F.col("id").cast("double").alias("s"))
+    quiet = spark.createDataFrame([(1, 0.5), (0, 0.2)], "y int, s double")
+    with caplog.at_level(logging.WARNING, logger="rowcast.operators.metrics"):
+        auc_roc(quiet, "y", "s").first()
+    assert "shuffle.partitions" not in caplog.text  # default settings, unknown size: no advice
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16b")
+    try:
+        with caplog.at_level(logging.WARNING, logger="rowcast.operators.metrics"):
+            auc = auc_roc(df, "y", "s").first()["auc"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert "spark.sql.shuffle.partitions" in caplog.text
+    assert auc == pytest.approx(_exact_evaluator_auc(df), abs=1e-12)
