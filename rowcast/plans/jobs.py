@@ -30,7 +30,7 @@ from rowcast.operators.features import assemble
 from rowcast.operators.frames import preview
 from rowcast.operators.learners import fit, make_learner, score
 from rowcast.operators.metrics import auc_roc, auc_roc_evaluator, weighted_f1
-from rowcast.runtime import sized_for_cache, spread
+from rowcast.runtime import _has_exchange, sized_for_cache, spread
 from rowcast.sources.delimited import read_delimited, write_csv
 from rowcast.sources.models import load_model, save_model
 
@@ -100,7 +100,12 @@ def fit_and_score(
     An input that arrives from a shuffle (a join, an aggregate) is cached in
     partitions sized by its estimate, not one per shuffle partition.
     """
-    data = sized_for_cache(prepared(df, label_col, features)).persist()
+    data = prepared(df, label_col, features)
+    if _has_exchange(df):
+        # The caller's input comes from a shuffle; a small input that spread
+        # laid out itself keeps that layout.
+        data = sized_for_cache(data)
+    data = data.persist()
     model = fit(make_learner(kind, label_col, **params), data)
     scored = score(model, data)
     if metric == "auc" and auc_num_bins:
