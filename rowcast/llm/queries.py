@@ -5,14 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowcast.llm import packing, sharding, token_counts
+from rowcast.llm import packing, sharding, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of all documents."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of encoded lengths of all documents with its suffix sums."""
     return token_counts.suffix_sums(token_counts.histogram(_table(spark, sf_dir, "documents")))
@@ -30,6 +39,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op7_token_counts": op7_token_counts,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_sharding": op9_sharding,
