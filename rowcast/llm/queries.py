@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.llm import packing, sharding, simhash, token_counts
+from rowcast.llm import decontam, packing, sharding, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 10 words in all documents."""
+    found = decontam.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    return decontam.digest(found)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of all documents."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -39,6 +45,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op7_token_counts": op7_token_counts,
         "op8_best_fit_packing": op8_best_fit_packing,
@@ -46,5 +53,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_WORDS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"""
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(w), 10) AS n,
+             array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS g
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+n AS (SELECT DISTINCT n FROM p),
+g AS (SELECT r, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, n WHERE len(w) >= n)),
+h AS (SELECT g.r, g.i, g.n, p.item_id FROM g JOIN p USING (n, g)),
+c AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+      FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_benchmark_decontamination": OP2_SQL}
