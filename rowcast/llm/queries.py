@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.llm import decontam, packing, sharding, simhash, token_counts
+from rowcast.llm import decontam, packing, sharding, simhash, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of encoded lengths of all documents with its suffix sums."""
     return token_counts.suffix_sums(token_counts.histogram(_table(spark, sf_dir, "documents")))
@@ -47,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op6_warc": op6_warc,
         "op7_token_counts": op7_token_counts,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_sharding": op9_sharding,
@@ -75,5 +81,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)"""
 
 
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS first_id FROM p)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((CAST('0x' || substr(h, 1 + 5 * (k // 4), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31),
+           1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM m"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": OP2_SQL}
+    return {"op2_benchmark_decontamination": OP2_SQL, "op6_warc": OP6_SQL}
