@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.llm import decontam, packing, sharding, simhash, token_counts, warc
+from rowcast.llm import decontam, license_scan, packing, sharding, simhash, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     return warc.round_trip(_table(spark, sf_dir, "pages"), min_bytes=0)
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op4_license_scans": op4_license_scans,
         "op6_warc": op6_warc,
         "op7_token_counts": op7_token_counts,
         "op8_best_fit_packing": op8_best_fit_packing,
@@ -85,7 +91,7 @@ OP6_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS first_id FROM p)
 SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            1 + ((CAST('0x' || substr(h, 1 + 5 * (k // 4), 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31),
            1)), '') AS payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
