@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.llm import decontam, license_scan, packing, sharding, simhash, token_counts, warc
+from rowcast.llm import ctph, decontam, license_scan, packing, sharding, simhash, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edits and their neighbours."""
+    return ctph.edit_probe(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     return warc.round_trip(_table(spark, sf_dir, "pages"), min_bytes=0)
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_license_scans": op4_license_scans,
+        "op5_document_fingerprints": op5_document_fingerprints,
         "op6_warc": op6_warc,
         "op7_token_counts": op7_token_counts,
         "op8_best_fit_packing": op8_best_fit_packing,
