@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import base64
+import io
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import rowcast
 from rowcast.runtime import scratch_path
 
 # A-Z become a-z; every other ASCII byte that is neither a digit
@@ -31,8 +35,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable for the session's Python workers.
+
+    Their path need not hold the folder the driver imported it from. The
+    package's modules go, zipped, to the shared scratch folder once a session,
+    and Spark hands them to every executor.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_rowcast_shipped", False):
+        return
+    root = Path(rowcast.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, f"{root.name}/{file.relative_to(root)}")
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'modules')}.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(packed.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(path.toString())
+    sc._rowcast_shipped = True
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``doc_id`` and ``text`` (null: empty), whatever else ``docs`` carries."""
+    ship(docs.sparkSession)
     return docs.select(
         docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text")
     )

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import stored, word_bounds, word_bytes
+from rowcast.llm.common import ship, stored, word_bounds, word_bytes
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -63,6 +63,7 @@ def pattern_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int
                    id_col: str = "item_id", text_col: str = "text") -> list[tuple[str, Broadcast]]:
     """The benchmark's windows as named broadcast blocks of bounded size."""
     spark = benchmark.sparkSession
+    ship(spark)
     found = stored(windows(benchmark, window, id_col, text_col), "benchmark-windows")
     weight = F.octet_length("pattern") + 8 + F.size("items") * 16
     total = found.agg(F.sum(weight)).first()[0] or 0

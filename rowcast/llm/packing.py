@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import encoder, id_and_text, stored, tokenizer_path
+from rowcast.llm.common import encoder, id_and_text, ship, stored, tokenizer_path
 
 MAX_LEN = 1024
 END_ID = 2
@@ -161,6 +161,7 @@ def place(parts: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     only its plan, bounded the same way, is broadcast.
     """
     spark = parts.sparkSession
+    ship(spark)
     counts = np.zeros(max_len + 1, dtype=np.int64)
     for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[r["length"]] = r["n"]

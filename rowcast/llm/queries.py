@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.llm import ctph, decontam, license_scan, packing, sharding, simhash, token_counts, warc
+from rowcast.llm import ctph, decontam, interpolation, license_scan, packing, sharding, simhash, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned outside fold 1."""
+    return interpolation.score(_table(spark, sf_dir, "documents"), folds=5, held_out=1, tune=0)
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 10 words in all documents."""
     found = decontam.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
@@ -58,8 +63,21 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), shards=24)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside fold 0."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_license_scans": op4_license_scans,
@@ -68,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_counts": op7_token_counts,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_sharding": op9_sharding,
+        "op10_toxicity": op10_toxicity,
     }
 
 

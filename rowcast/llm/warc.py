@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import stored
+from rowcast.llm.common import ship, stored
 from rowcast.runtime import scratch_path
 
 # Fixed values of the format: version line, line end, end of a record, base32 digits.
@@ -216,6 +216,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
             for n, t in (c.split() for c in CANDIDATES.split(", "))
         ]
     )
+    ship(spark)
     return _pieces(spark, path).mapInArrow(run, CANDIDATES)
 
 
