@@ -13,24 +13,30 @@ local word numbers; a chunk sends each bucket of the hash space one packed
 message with its words (then its bigrams), sorted by a 64-bit hash. A bucket
 adds up what all chunks sent, so a word that is a third of the corpus is one
 entry per chunk. Bigram messages carry the documents of each bigram, and the
-bucket answers with one sum of log probabilities per document. That shuffle is
-read twice, for the weights and for the scores, from the same shuffle files.
+bucket answers with one sum of log probabilities per document.
+
+The exchanges are keyed RDDs of packed messages, because they are read more
+than once: chunks by the word counts, the bigrams and the result, bigram
+messages by the weights and the scores. An RDD reads its shuffle files again
+where a DataFrame would shuffle anew, and twice the corpus's bigrams would not
+fit the disks.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from rowcast.llm.common import fold, id_and_text, stored
+from rowcast.llm.common import fold, id_and_text
 
 CHUNK_TOKENS = 1 << 20
 END = b"\n"  # the end token; no word holds a line end
@@ -54,10 +60,11 @@ def _pack(*columns: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def _unpack(blob: bytes) -> list[np.ndarray]:
+def _unpack(blob: bytes, columns: int = 1 << 30) -> list[np.ndarray]:
+    """The columns of :func:`_pack`, or the first few of them."""
     grow = zstandard.ZstdDecompressor()
     out, at = [], 0
-    while at < len(blob):
+    while at < len(blob) and len(out) < columns:
         n, width, size = (int(x) for x in np.frombuffer(blob, dtype="<u8", count=3, offset=at))
         planes = np.frombuffer(grow.decompress(blob[at + 24 : at + 24 + size], max_output_size=max(1, n * width)), np.uint8)
         column = np.zeros((n, 8), dtype=np.uint8)
@@ -72,12 +79,18 @@ def _steps(sorted_values: np.ndarray) -> np.ndarray:
     return np.diff(sorted_values, prepend=np.uint64(0))
 
 
-def _pair_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """A well-mixed hash of two hashes."""
+def _pair_hash(context: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    """A well-mixed hash of two hashes, of so many bits."""
     x = context * np.uint64(0x9E3779B97F4A7C15) + (word ^ (word >> np.uint64(29)))
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    return (x ^ (x >> np.uint64(32))) >> np.uint64(64 - bits)
+
+
+def _pair_bits(n_tokens: int) -> int:
+    """Hash bits with which less than one pair in 64 corpora of so many
+    different bigrams is expected to collide; all 64 for the largest."""
+    return min(64, 2 * max(1, n_tokens).bit_length() + 5)
 
 
 # -------------------------------------------------------------------- chunks
@@ -146,88 +159,104 @@ def _read_chunk(body: bytes) -> tuple[np.ndarray, ...]:
 
 
 def _word_messages(n_buckets: int, held_out: int, tune: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk, body in zip(batch.column("chunk"), batch.column("body")):
-                folds_in, lengths, tokens, hashes = _read_chunk(body.as_py())
-                f = np.repeat(folds_in, lengths)
-                learn = np.bincount(tokens[f != held_out], minlength=len(hashes))
-                kept = np.bincount(tokens[(f != held_out) & (f != tune)], minlength=len(hashes))
-                order, runs = _by_bucket(hashes, n_buckets)
-                blobs = [_pack(_steps(hashes[o]), learn[o], kept[o]) for o in (order[a:b] for _, a, b in runs)]
-                yield pa.record_batch(
-                    [pa.array([r[0] for r in runs], pa.int32()), pa.array([chunk.as_py()] * len(runs)), pa.array(blobs, pa.binary())],
-                    names=["bucket", "chunk", "blob"],
-                )
+    """``bucket, (chunk, blob)``: a chunk's words with their counts in the
+    training folds and in those less the tuning fold."""
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple[int, tuple[str, bytes]]]:
+        for chunk, (_, body) in rows:
+            folds_in, lengths, tokens, hashes = _read_chunk(body)
+            f = np.repeat(folds_in, lengths)
+            learn = np.bincount(tokens[f != held_out], minlength=len(hashes))
+            kept = np.bincount(tokens[(f != held_out) & (f != tune)], minlength=len(hashes))
+            order, runs = _by_bucket(hashes, n_buckets)
+            for bucket, a, b in runs:
+                o = order[a:b]
+                yield bucket, (chunk, _pack(_steps(hashes[o]), learn[o], kept[o]))
 
     return run
 
 
-def _add_words(messages: pd.DataFrame) -> pd.DataFrame:
-    """All counts of one bucket's words, answered to every chunk in its order;
-    an unnamed row gives the bucket's distinct words and totals."""
-    parts = [_unpack(b) for b in messages["blob"]]
-    hashes = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-    words, which = np.unique(hashes, return_inverse=True)
-    learn = np.bincount(which, weights=np.concatenate([p[1] for p in parts])).astype(np.uint64)
-    kept = np.bincount(which, weights=np.concatenate([p[2] for p in parts])).astype(np.uint64)
-    cut = np.cumsum([len(p[0]) for p in parts])[:-1]
-    blobs = [_pack(learn[w], kept[w]) for w in np.split(which, cut)]
-    rows = pd.DataFrame({"chunk": messages["chunk"], "bucket": messages["bucket"], "blob": blobs})
-    rows[["n_words", "n_learn", "n_kept"]] = 0
-    total = pd.DataFrame(
-        {"chunk": [None], "bucket": [-1], "blob": [None], "n_words": [int((learn > 0).sum())],
-         "n_learn": [int(learn.sum())], "n_kept": [int(kept.sum())]}
-    )
-    return pd.concat([rows, total], ignore_index=True)
+def _gathered(rows: Iterator[tuple[int, tuple]]) -> Iterator[tuple[int, list[tuple]]]:
+    """A task's messages by bucket, each let go once it is used."""
+    found: dict[int, list[tuple]] = {}
+    for bucket, message in rows:
+        found.setdefault(bucket, []).append(message)
+    while found:
+        yield found.popitem()
 
 
-def _pair_messages(n_buckets: int, held_out: int, tune: int, totals: dict[str, int]):
-    """A chunk with the counts of its words, as bigram messages and one message
-    of its documents' unigram figures."""
-    n, v = totals["n_learn"], totals["n_words"]
+def _summed(columns: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For messages of (hash steps, count, count): which hash each entry has,
+    and both counts summed by hash."""
+    which = np.unique(np.concatenate([np.cumsum(c[0], dtype=np.uint64) for c in columns]), return_inverse=True)[1]
+    one = np.bincount(which, weights=np.concatenate([c[1] for c in columns]))
+    two = np.bincount(which, weights=np.concatenate([c[2] for c in columns]))
+    return which, one, two
 
-    def run(chunk_rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for chunk, body in zip(chunk_rows["chunk"], chunk_rows["body"]):
-            folds_in, lengths, tokens, hashes = _read_chunk(body)
-            order, _ = _by_bucket(hashes, n_buckets)
-            told = [_unpack(b) for b in answers.sort_values("bucket")["blob"]]
-            learn, kept = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
-            learn[order] = np.concatenate([t[0] for t in told]).astype(np.int64)
-            kept[order] = np.concatenate([t[1] for t in told]).astype(np.int64)
-
-            first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            base = np.add.reduceat(np.log10((learn[tokens] + 0.5) / (n + 0.5 * (v + 1))), first)
-            known = np.add.reduceat((learn[tokens] > 0).astype(np.int64), first)
-            figures = _pack(lengths, known, base.view(np.uint64))
-            out.append((int(hashes[len(hashes) // 2] % np.uint64(n_buckets)), chunk, True, figures))
-
-            # A document's first word follows the end token of the one before.
-            before = np.concatenate([[0], tokens[:-1]])
-            doc = np.repeat(np.arange(len(lengths)), lengths)
-            code = before * len(hashes) + tokens
-            pairs, which = np.unique(code, return_inverse=True)
-            f = np.repeat(folds_in, lengths)
-            n_kept = np.bincount(which[(f != held_out) & (f != tune)], minlength=len(pairs))
-            n_tune = np.bincount(which[f == tune], minlength=len(pairs))
-            context, word = pairs // len(hashes), pairs % len(hashes)
-            pair_hash = _pair_hash(hashes[context], hashes[word])
-            by_pair = np.argsort(which, kind="stable")
-            size = np.bincount(which, minlength=len(pairs))
-            start = np.concatenate([[0], np.cumsum(size)])
-            order, runs = _by_bucket(pair_hash, n_buckets)
-            for bucket, a, b in runs:
-                o = order[a:b]
-                # Places of these pairs, pair by pair.
-                take = np.repeat(start[o], size[o]) + np.arange(size[o].sum()) - np.repeat(np.cumsum(size[o]) - size[o], size[o])
-                tuned = o[n_tune[o] > 0]
-                blob = _pack(
+
+def _add_words(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple[int, bytes]]]:
+    """All counts of a bucket's words, answered to every chunk in its order;
+    an answer to no chunk gives the distinct words and the totals."""
+    for bucket, messages in _gathered(rows):
+        parts = [_unpack(blob) for _, blob in messages]
+        which, learn, kept = _summed(parts)
+        at = 0
+        for (chunk, _), p in zip(messages, parts):
+            own = which[at : at + len(p[0])]
+            at += len(p[0])
+            yield chunk, (bucket, _pack(learn[own], kept[own]))
+        yield "", (bucket, _pack(np.array([(learn > 0).sum(), learn.sum(), kept.sum()])))
+
+
+def _pair_messages(n_buckets: int, held_out: int, tune: int, totals: dict[str, int]):
+    """A chunk with the counts of its words, as bigram messages ``bucket,
+    (chunk, blob, False)`` and one of its documents' unigram figures."""
+    n, v, bits = totals["n_learn"], totals["n_words"], _pair_bits(totals["n_tokens"])
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple[int, tuple[str, bytes, bool]]]:
+        for chunk, (bodies, answers) in rows:
+            for _, body in bodies:
+                yield from one(chunk, body, [blob for _, blob in sorted(answers, key=lambda a: a[0])])
+
+    def one(chunk: str, body: bytes, answers: list[bytes]) -> Iterator[tuple[int, tuple[str, bytes, bool]]]:
+        folds_in, lengths, tokens, hashes = _read_chunk(body)
+        order, _ = _by_bucket(hashes, n_buckets)
+        told = [_unpack(blob) for blob in answers]
+        learn, kept = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        learn[order] = np.concatenate([t[0] for t in told]).astype(np.int64)
+        kept[order] = np.concatenate([t[1] for t in told]).astype(np.int64)
+
+        first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        base = np.add.reduceat(np.log10((learn + 0.5) / (n + 0.5 * (v + 1)))[tokens], first)
+        known = np.add.reduceat((learn > 0)[tokens].astype(np.int64), first)
+        yield zlib.crc32(chunk.encode()) % n_buckets, (chunk, _pack(lengths, known, base.view(np.uint64)), True)
+
+        # A document's first word follows the end token of the one before.
+        code = np.concatenate([[0], tokens[:-1]]) * len(hashes) + tokens
+        pairs, which = np.unique(code, return_inverse=True)
+        f = np.repeat(folds_in, lengths)
+        n_kept = np.bincount(which[(f != held_out) & (f != tune)], minlength=len(pairs))
+        n_tune = np.bincount(which[f == tune], minlength=len(pairs))
+        size = np.bincount(which, minlength=len(pairs))
+        start = np.concatenate([[0], np.cumsum(size)])
+        doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[np.argsort(which, kind="stable")]
+        del code, which, f
+        context, word = pairs // len(hashes), pairs % len(hashes)
+        pair_hash = _pair_hash(hashes[context], hashes[word], bits)
+        order, runs = _by_bucket(pair_hash, n_buckets)
+        for bucket, a, b in runs:
+            o = order[a:b]
+            tuned = o[n_tune[o] > 0]
+            # Places of these pairs, pair by pair.
+            take = np.repeat(start[o] - (np.cumsum(size[o]) - size[o]), size[o]) + np.arange(size[o].sum())
+            yield bucket, (
+                chunk,
+                _pack(
                     _steps(pair_hash[o]), n_kept[o], n_tune[o], learn[context[o]], learn[word[o]],
-                    kept[context[tuned]], kept[word[tuned]], size[o], doc[by_pair[take]], np.array([len(lengths)]),
-                )
-                out.append((bucket, chunk, False, blob))
-        return pd.DataFrame(out, columns=["bucket", "chunk", "figures", "blob"])
+                    kept[context[tuned]], kept[word[tuned]], size[o], doc[take], np.array([len(lengths)]),
+                ),
+                False,
+            )
 
     return run
 
@@ -241,32 +270,19 @@ def _context_bucket(count: np.ndarray) -> np.ndarray:
     return np.minimum(exponent, MAX_BUCKET)
 
 
-def _buckets(rows: Iterator[Row]) -> Iterator[tuple[list[str], list[list[np.ndarray]], np.ndarray, np.ndarray]]:
-    """Per bucket: chunks, their columns, and the summed counts of all pairs."""
-    gathered: dict[int, list[tuple[str, bytes]]] = {}
-    for r in rows:
-        gathered.setdefault(r["bucket"], []).append((r["chunk"], bytes(r["blob"])))
-    while gathered:
-        _, got = gathered.popitem()
-        parts = [_unpack(b) for _, b in got]
-        hashes = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        _, which = np.unique(hashes, return_inverse=True)
-        kept = np.bincount(which, weights=np.concatenate([p[1] for p in parts]))
-        tune = np.bincount(which, weights=np.concatenate([p[2] for p in parts]))
-        yield [c for c, _ in got], parts, kept[which], tune[which]
-
-
 def _events(totals: dict[str, int]):
     """Held-out bigrams counted by context bucket and by the two estimates, on a
     logarithmic grid: what the weights depend on, and of bounded size."""
     n_kept = max(1, totals["n_kept"])
 
-    def run(rows: Iterator[Row]) -> Iterator[tuple[tuple[int, int, int], float]]:
+    def run(rows: Iterator[tuple]) -> Iterator[tuple[tuple[int, int, int], float]]:
         table: dict[tuple[int, int, int], float] = {}
-        for _, parts, kept, _ in _buckets(r for r in rows if not r["figures"]):
+        for _, messages in _gathered(r for r in rows if not r[1][2]):
+            parts = [_unpack(blob) for _, blob, _ in messages]
+            which, kept, _ = _summed(parts)
             at = 0
             for p in parts:
-                own = kept[at : at + len(p[0])]
+                own = kept[which[at : at + len(p[0])]]
                 at += len(p[0])
                 held = p[2] > 0
                 c, w = p[5].astype(float), p[6].astype(float)
@@ -322,36 +338,42 @@ def _sums(totals: dict[str, int], weights: Broadcast):
     """Per chunk the sums of its documents' log10 probabilities in this task's buckets."""
     n, v = max(1, totals["n_learn"]), totals["n_words"]
 
-    def run(rows: Iterator[Row]) -> Iterator[tuple[str, tuple[np.ndarray, bytes | None]]]:
+    def run(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple[np.ndarray, bytes | None]]]:
         figures = []
 
-        def pairs() -> Iterator[Row]:
+        def pairs() -> Iterator[tuple]:
             for r in rows:
-                if r["figures"]:
-                    figures.append((r["chunk"], bytes(r["blob"])))
+                if r[1][2]:
+                    figures.append(r[1])
                 else:
                     yield r
 
-        for names, parts, kept, tune in _buckets(pairs()):
+        sums: dict[str, np.ndarray] = {}
+        for _, messages in _gathered(pairs()):
+            parts = [_unpack(blob) for _, blob, _ in messages]
+            which, kept, tune = _summed(parts)
             both, at = kept + tune, 0
-            for chunk, p in zip(names, parts):
-                own = both[at : at + len(p[0])]
+            for (chunk, _, _), p in zip(messages, parts):
+                own = both[which[at : at + len(p[0])]]
                 at += len(p[0])
                 c, w = p[3].astype(float), p[4].astype(float)
                 mix = weights.value[_context_bucket(c)]
                 # A bigram of held-out documents alone has no count of its own.
                 value = mix[:, 0] * own / np.maximum(c, 1) + mix[:, 1] * w / n + mix[:, 2] / (v + 1)
                 each = np.repeat(np.log10(value), p[7].astype(np.int64))
-                yield chunk, (np.bincount(p[8].astype(np.int64), weights=each, minlength=int(p[9][0])), None)
-        for chunk, blob in figures:
-            yield chunk, (np.zeros(1), blob)
+                total = np.bincount(p[8].astype(np.int64), weights=each, minlength=int(p[9][0]))
+                sums[chunk] = sums[chunk] + total if chunk in sums else total
+        for chunk, total in sums.items():
+            yield chunk, (total, None)
+        for chunk, blob, _ in figures:
+            yield chunk, (np.zeros(0), blob)
 
     return run
 
 
 def _add(a: tuple, b: tuple) -> tuple:
-    x, y = (a[0], b[0]) if len(a[0]) >= len(b[0]) else (b[0], a[0])
-    return (x + y if len(x) == len(y) else x), a[1] or b[1]
+    x, y = a[0], b[0]
+    return (x + y if len(x) == len(y) else x if len(x) else y), a[1] or b[1]
 
 
 # --------------------------------------------------------------------- score
@@ -369,49 +391,44 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, tune: int = 0, chu
     """
     spark = docs.sparkSession
     n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    id_type = docs.schema[id_col].dataType.simpleString()
-    made = stored(chunks(docs, folds, held_out, id_col, text_col, chunk_tokens), "lm-chunks")
-    counted = stored(
-        made.mapInArrow(_word_messages(n_buckets, held_out, tune), "bucket int, chunk string, blob binary")
-        .groupBy("bucket")
-        .applyInPandas(_add_words, "chunk string, bucket int, blob binary, n_words long, n_learn long, n_kept long"),
-        "lm-words",
+    made = chunks(docs, folds, held_out, id_col, text_col, chunk_tokens)
+    by_chunk = made.rdd.map(lambda r: (r["chunk"], (r["ids"], bytes(r["body"])))).partitionBy(n_buckets)
+    counted = (
+        by_chunk.mapPartitions(_word_messages(n_buckets, held_out, tune))
+        .partitionBy(n_buckets)
+        .mapPartitions(_add_words)
     )
-    row = counted.where("chunk is null").agg(*[F.sum(c).alias(c) for c in ("n_words", "n_learn", "n_kept")]).first()
-    totals = {c: int(row[c] or 0) for c in ("n_words", "n_learn", "n_kept")}
+    totals = dict.fromkeys(("n_words", "n_learn", "n_kept", "n_tokens"), 0)
+    for row in counted.filter(lambda r: not r[0]).map(lambda r: _unpack(r[1][1])[0].astype(int).tolist()).collect():
+        for key, value in zip(("n_words", "n_learn", "n_kept"), row):
+            totals[key] += value
+    totals["n_tokens"] = by_chunk.map(lambda r: int(_unpack(r[1][1], 2)[1].sum())).fold(0, lambda a, b: a + b)
 
-    answers = counted.where("chunk is not null").select(F.col("chunk").alias("to"), "bucket", "blob")
+    answers = counted.filter(lambda r: r[0]).partitionBy(n_buckets)
     messages = (
-        made.select("chunk", "body")
-        .groupBy("chunk")
-        .cogroup(answers.groupBy("to"))
-        .applyInPandas(
-            _pair_messages(n_buckets, held_out, tune, totals), "bucket int, chunk string, figures boolean, blob binary"
-        )
-        .repartition(n_buckets, "bucket")
-    ).rdd  # one shuffle, read by both jobs below
+        by_chunk.cogroup(answers, n_buckets)
+        .mapPartitions(_pair_messages(n_buckets, held_out, tune, totals))
+        .partitionBy(n_buckets)
+    )
     events = messages.mapPartitions(_events(totals)).reduceByKey(lambda a, b: a + b, 8).collect()
     weights = spark.sparkContext.broadcast(learn_weights(sorted(events), totals["n_words"]))
     sums = messages.mapPartitions(_sums(totals, weights)).reduceByKey(_add, n_buckets)
 
-    def told(item: tuple) -> Row:
-        chunk, (total, blob) = item
+    def told(item: tuple) -> Iterator[tuple]:
+        (ids, _), (total, blob) = item[1]
         lengths, known, base = _unpack(blob)
-        return Row(to=chunk, n_tokens=lengths.astype(int).tolist(), n_known=known.astype(int).tolist(),
-                   base_score=base.view(np.float64).tolist(), score=total.tolist())
-
-    rows = spark.createDataFrame(
-        sums.map(told), "to string, n_tokens array<long>, n_known array<long>, base_score array<double>, score array<double>"
-    )
-    zipped = made.select("chunk", "ids").join(rows, F.col("chunk") == F.col("to")).select(
-        F.explode(F.arrays_zip("ids", "n_tokens", "n_known", "base_score", "score")).alias("d")
-    )
-    return zipped.select(
-        F.col("d.ids").cast(id_type).alias("doc_id"),
-        (fold(F.col("d.ids"), folds) == held_out).alias("held_out"),
-        F.col("d.n_tokens").alias("n_tokens"),
-        F.col("d.n_known").alias("n_known"),
+        yield from zip(ids, lengths.astype(int).tolist(), known.astype(int).tolist(),
+                       base.view(np.float64).tolist(), total.tolist())
+
+    id_type = made.schema["ids"].dataType.elementType
+    schema = StructType().add("doc_id", id_type).add("n_tokens", "long").add("n_known", "long").add(
+        "base_score", "double").add("score", "double")
+    return spark.createDataFrame(by_chunk.join(sums, n_buckets).flatMap(told), schema).select(
+        "doc_id",
+        (fold(F.col("doc_id"), folds) == held_out).alias("held_out"),
+        "n_tokens",
+        "n_known",
         F.lit(totals["n_learn"]).cast("long").alias("train_tokens"),
-        F.col("d.base_score").alias("base_score"),
-        F.col("d.score").alias("score"),
+        "base_score",
+        "score",
     )
