@@ -10,21 +10,19 @@ all training documents.
 
 Counts never travel word by word. A task turns its documents into chunks of
 local word numbers; a chunk sends each bucket of the hash space one packed
-message with its words (then its bigrams), sorted by a 64-bit hash. A bucket
-adds up what all chunks sent, so a word that is a third of the corpus is one
-entry per chunk. Bigram messages carry the documents of each bigram, and the
-bucket answers with one sum of log probabilities per document.
+message with its words (then its bigrams), sorted by hash. A bucket adds up
+what all chunks sent and answers each with the sums in its own order, so a
+word that is a third of the corpus is one entry per chunk. With the answers a
+chunk scores its documents alone.
 
 The exchanges are keyed RDDs of packed messages, because they are read more
-than once: chunks by the word counts, the bigrams and the result, bigram
-messages by the weights and the scores. An RDD reads its shuffle files again
-where a DataFrame would shuffle anew, and twice the corpus's bigrams would not
-fit the disks.
+than once: chunks by the word counts, the bigrams, the weights and the scores.
+An RDD reads its shuffle files again where a DataFrame would shuffle anew, and
+several copies of the corpus would not fit the disks.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +36,8 @@ from pyspark.sql.types import StructType
 
 from rowcast.llm.common import fold, id_and_text
 
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 19
+BUCKET_BYTES = 16 << 20  # text per bucket of the hash space: what a task holds at a time
 END = b"\n"  # the end token; no word holds a line end
 MAX_BUCKET = 40  # context buckets: unseen, 1, 2-3, 4-7, ...
 GRID = 16  # steps per factor of two in the table of held-out events
@@ -88,9 +87,9 @@ def _pair_hash(context: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _pair_bits(n_tokens: int) -> int:
-    """Hash bits with which less than one pair in 64 corpora of so many
-    different bigrams is expected to collide; all 64 for the largest."""
-    return min(64, 2 * max(1, n_tokens).bit_length() + 5)
+    """Hash bits with which at most one pair among so many different bigrams is
+    expected to collide; all 64 from four billion tokens on."""
+    return min(64, 2 * max(1, n_tokens).bit_length() - 1)
 
 
 # -------------------------------------------------------------------- chunks
@@ -194,7 +193,7 @@ def _summed(columns: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np
     return which, one, two
 
 
-def _add_words(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple[int, bytes]]]:
+def _add_words(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple[str, int, bytes]]]:
     """All counts of a bucket's words, answered to every chunk in its order;
     an answer to no chunk gives the distinct words and the totals."""
     for bucket, messages in _gathered(rows):
@@ -204,63 +203,66 @@ def _add_words(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple[int, bytes]]]
         for (chunk, _), p in zip(messages, parts):
             own = which[at : at + len(p[0])]
             at += len(p[0])
-            yield chunk, (bucket, _pack(learn[own], kept[own]))
-        yield "", (bucket, _pack(np.array([(learn > 0).sum(), learn.sum(), kept.sum()])))
+            yield chunk, ("words", bucket, _pack(learn[own], kept[own]))
+        yield "", ("totals", bucket, _pack(np.array([(learn > 0).sum(), learn.sum(), kept.sum()])))
 
 
-def _pair_messages(n_buckets: int, held_out: int, tune: int, totals: dict[str, int]):
-    """A chunk with the counts of its words, as bigram messages ``bucket,
-    (chunk, blob, False)`` and one of its documents' unigram figures."""
-    n, v, bits = totals["n_learn"], totals["n_words"], _pair_bits(totals["n_tokens"])
+class _Chunk:
+    """A chunk with the answers to its words."""
 
-    def run(rows: Iterator[tuple]) -> Iterator[tuple[int, tuple[str, bytes, bool]]]:
-        for chunk, (bodies, answers) in rows:
-            for _, body in bodies:
-                yield from one(chunk, body, [blob for _, blob in sorted(answers, key=lambda a: a[0])])
+    def __init__(self, body: bytes, answers: list[tuple[str, int, bytes]], n_buckets: int, bits: int):
+        self.folds, self.lengths, self.tokens, self.hashes = _read_chunk(body)
+        order, _ = _by_bucket(self.hashes, n_buckets)
+        self.learn, self.kept = _placed(order, answers, "words")
+        # A document's first word follows the end token of the one before.
+        code = np.concatenate([[0], self.tokens[:-1]]) * len(self.hashes) + self.tokens
+        pairs, self.which = np.unique(code, return_inverse=True)
+        self.context, self.word = pairs // len(self.hashes), pairs % len(self.hashes)
+        pair_hash = _pair_hash(self.hashes[self.context], self.hashes[self.word], bits)
+        self.pair_hash, (self.order, self.runs) = pair_hash, _by_bucket(pair_hash, n_buckets)
 
-    def one(chunk: str, body: bytes, answers: list[bytes]) -> Iterator[tuple[int, tuple[str, bytes, bool]]]:
-        folds_in, lengths, tokens, hashes = _read_chunk(body)
-        order, _ = _by_bucket(hashes, n_buckets)
-        told = [_unpack(blob) for blob in answers]
-        learn, kept = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
-        learn[order] = np.concatenate([t[0] for t in told]).astype(np.int64)
-        kept[order] = np.concatenate([t[1] for t in told]).astype(np.int64)
+    def count(self, where: np.ndarray) -> np.ndarray:
+        """How often each pair occurs in the documents that ``where`` marks."""
+        return np.bincount(self.which[np.repeat(where, self.lengths)], minlength=len(self.context))
 
-        first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        base = np.add.reduceat(np.log10((learn + 0.5) / (n + 0.5 * (v + 1)))[tokens], first)
-        known = np.add.reduceat((learn > 0)[tokens].astype(np.int64), first)
-        yield zlib.crc32(chunk.encode()) % n_buckets, (chunk, _pack(lengths, known, base.view(np.uint64)), True)
 
-        # A document's first word follows the end token of the one before.
-        code = np.concatenate([[0], tokens[:-1]]) * len(hashes) + tokens
-        pairs, which = np.unique(code, return_inverse=True)
-        f = np.repeat(folds_in, lengths)
-        n_kept = np.bincount(which[(f != held_out) & (f != tune)], minlength=len(pairs))
-        n_tune = np.bincount(which[f == tune], minlength=len(pairs))
-        size = np.bincount(which, minlength=len(pairs))
-        start = np.concatenate([[0], np.cumsum(size)])
-        doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[np.argsort(which, kind="stable")]
-        del code, which, f
-        context, word = pairs // len(hashes), pairs % len(hashes)
-        pair_hash = _pair_hash(hashes[context], hashes[word], bits)
-        order, runs = _by_bucket(pair_hash, n_buckets)
-        for bucket, a, b in runs:
-            o = order[a:b]
-            tuned = o[n_tune[o] > 0]
-            # Places of these pairs, pair by pair.
-            take = np.repeat(start[o] - (np.cumsum(size[o]) - size[o]), size[o]) + np.arange(size[o].sum())
-            yield bucket, (
-                chunk,
-                _pack(
-                    _steps(pair_hash[o]), n_kept[o], n_tune[o], learn[context[o]], learn[word[o]],
-                    kept[context[tuned]], kept[word[tuned]], size[o], doc[take], np.array([len(lengths)]),
-                ),
-                False,
-            )
+def _placed(order: np.ndarray, answers: list[tuple[str, int, bytes]], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The two columns of one kind of answers, put back in the chunk's order."""
+    told = [_unpack(blob) for k, _, blob in sorted(answers, key=lambda a: a[1]) if k == kind]
+    one, two = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+    one[order] = np.concatenate([t[0] for t in told]).astype(np.int64)
+    two[order] = np.concatenate([t[1] for t in told]).astype(np.int64)
+    return one, two
+
+
+def _pair_messages(n_buckets: int, held_out: int, tune: int, bits: int):
+    """A chunk's bigrams with their counts in the training folds less the
+    tuning fold, and in the tuning fold: ``bucket, (chunk, blob)``."""
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple[int, tuple[str, bytes]]]:
+        for chunk, (bodies, answers) in rows:
+            for _, body in bodies:
+                c = _Chunk(body, list(answers), n_buckets, bits)
+                kept, tuned = c.count((c.folds != held_out) & (c.folds != tune)), c.count(c.folds == tune)
+                for bucket, a, b in c.runs:
+                    o = c.order[a:b]
+                    yield bucket, (chunk, _pack(_steps(c.pair_hash[o]), kept[o], tuned[o]))
 
     return run
 
 
+def _add_pairs(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple[str, int, bytes]]]:
+    """Both counts of a bucket's bigrams, answered to every chunk in its order."""
+    for bucket, messages in _gathered(rows):
+        parts = [_unpack(blob) for _, blob in messages]
+        which, kept, tuned = _summed(parts)
+        at = 0
+        for (chunk, _), p in zip(messages, parts):
+            own = which[at : at + len(p[0])]
+            at += len(p[0])
+            yield chunk, ("pairs", bucket, _pack(kept[own], tuned[own]))
+
+
 # ------------------------------------------------------------------- weights
 
 
@@ -270,29 +272,26 @@ def _context_bucket(count: np.ndarray) -> np.ndarray:
     return np.minimum(exponent, MAX_BUCKET)
 
 
-def _events(totals: dict[str, int]):
+def _events(n_buckets: int, tune: int, bits: int, totals: dict[str, int]):
     """Held-out bigrams counted by context bucket and by the two estimates, on a
     logarithmic grid: what the weights depend on, and of bounded size."""
     n_kept = max(1, totals["n_kept"])
+    none = np.iinfo(np.int32).min
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple[tuple[int, int, int], float]]:
         table: dict[tuple[int, int, int], float] = {}
-        for _, messages in _gathered(r for r in rows if not r[1][2]):
-            parts = [_unpack(blob) for _, blob, _ in messages]
-            which, kept, _ = _summed(parts)
-            at = 0
-            for p in parts:
-                own = kept[which[at : at + len(p[0])]]
-                at += len(p[0])
-                held = p[2] > 0
-                c, w = p[5].astype(float), p[6].astype(float)
-                none = np.iinfo(np.int32).min
-                two = np.where(own[held] > 0, np.round(GRID * np.log2(np.maximum(own[held], 1) / np.maximum(c, 1))), none)
-                one = np.where(w > 0, np.round(GRID * np.log2(np.maximum(w, 1) / n_kept)), none)
-                keys = np.stack([_context_bucket(c), two, one], axis=1).astype(np.int64)
+        for _, (bodies, answers) in rows:
+            for _, body in bodies:
+                c = _Chunk(body, list(answers), n_buckets, bits)
+                pair, _ = _placed(c.order, answers, "pairs")
+                held = np.flatnonzero(n := c.count(c.folds == tune))
+                context, word, pair = c.kept[c.context[held]], c.kept[c.word[held]], pair[held]
+                two = np.where(pair > 0, np.round(GRID * np.log2(np.maximum(pair, 1) / np.maximum(context, 1))), none)
+                one = np.where(word > 0, np.round(GRID * np.log2(np.maximum(word, 1) / n_kept)), none)
+                keys = np.stack([_context_bucket(context), two, one], axis=1).astype(np.int64)
                 cells, where = np.unique(keys, axis=0, return_inverse=True)
-                n = np.bincount(where.reshape(-1), weights=p[2][held].astype(float))
-                for cell, k in zip(map(tuple, cells.tolist()), n.tolist()):
+                sums = np.bincount(where.reshape(-1), weights=n[held], minlength=len(cells))
+                for cell, k in zip(map(tuple, cells.tolist()), sums.tolist()):
                     table[cell] = table.get(cell, 0.0) + k
         yield from table.items()
 
@@ -334,48 +333,31 @@ def learn_weights(events: list[tuple[tuple[int, int, int], float]], n_words: int
     return weights
 
 
-def _sums(totals: dict[str, int], weights: Broadcast):
-    """Per chunk the sums of its documents' log10 probabilities in this task's buckets."""
+def _scores(n_buckets: int, bits: int, totals: dict[str, int], weights: Broadcast):
+    """``id, tokens, known tokens, base score, score`` of a chunk's documents."""
     n, v = max(1, totals["n_learn"]), totals["n_words"]
 
-    def run(rows: Iterator[tuple]) -> Iterator[tuple[str, tuple[np.ndarray, bytes | None]]]:
-        figures = []
-
-        def pairs() -> Iterator[tuple]:
-            for r in rows:
-                if r[1][2]:
-                    figures.append(r[1])
-                else:
-                    yield r
-
-        sums: dict[str, np.ndarray] = {}
-        for _, messages in _gathered(pairs()):
-            parts = [_unpack(blob) for _, blob, _ in messages]
-            which, kept, tune = _summed(parts)
-            both, at = kept + tune, 0
-            for (chunk, _, _), p in zip(messages, parts):
-                own = both[which[at : at + len(p[0])]]
-                at += len(p[0])
-                c, w = p[3].astype(float), p[4].astype(float)
-                mix = weights.value[_context_bucket(c)]
-                # A bigram of held-out documents alone has no count of its own.
-                value = mix[:, 0] * own / np.maximum(c, 1) + mix[:, 1] * w / n + mix[:, 2] / (v + 1)
-                each = np.repeat(np.log10(value), p[7].astype(np.int64))
-                total = np.bincount(p[8].astype(np.int64), weights=each, minlength=int(p[9][0]))
-                sums[chunk] = sums[chunk] + total if chunk in sums else total
-        for chunk, total in sums.items():
-            yield chunk, (total, None)
-        for chunk, blob, _ in figures:
-            yield chunk, (np.zeros(0), blob)
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, (bodies, answers) in rows:
+            for ids, body in bodies:
+                c = _Chunk(body, list(answers), n_buckets, bits)
+                kept, tuned = _placed(c.order, answers, "pairs")
+                context, word = c.learn[c.context], c.learn[c.word]
+                mix = weights.value[_context_bucket(context)]
+                value = mix[:, 0] * (kept + tuned) / np.maximum(context, 1) + mix[:, 1] * word / n + mix[:, 2] / (v + 1)
+                first = np.concatenate([[0], np.cumsum(c.lengths)[:-1]])
+                base = np.log10((c.learn + 0.5) / (totals["n_learn"] + 0.5 * (v + 1)))
+                yield from zip(
+                    ids,
+                    c.lengths.tolist(),
+                    np.add.reduceat((c.learn > 0)[c.tokens].astype(np.int64), first).tolist(),
+                    np.add.reduceat(base[c.tokens], first).tolist(),
+                    np.add.reduceat(np.log10(value)[c.which], first).tolist(),
+                )
 
     return run
 
 
-def _add(a: tuple, b: tuple) -> tuple:
-    x, y = a[0], b[0]
-    return (x + y if len(x) == len(y) else x if len(x) else y), a[1] or b[1]
-
-
 # --------------------------------------------------------------------- score
 
 
@@ -390,40 +372,39 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, tune: int = 0, chu
     training documents every token is unseen.
     """
     spark = docs.sparkSession
-    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text_bytes = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
+    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // BUCKET_BYTES))
     made = chunks(docs, folds, held_out, id_col, text_col, chunk_tokens)
     by_chunk = made.rdd.map(lambda r: (r["chunk"], (r["ids"], bytes(r["body"])))).partitionBy(n_buckets)
     counted = (
         by_chunk.mapPartitions(_word_messages(n_buckets, held_out, tune))
         .partitionBy(n_buckets)
         .mapPartitions(_add_words)
+        .partitionBy(n_buckets)
     )
-    totals = dict.fromkeys(("n_words", "n_learn", "n_kept", "n_tokens"), 0)
-    for row in counted.filter(lambda r: not r[0]).map(lambda r: _unpack(r[1][1])[0].astype(int).tolist()).collect():
-        for key, value in zip(("n_words", "n_learn", "n_kept"), row):
+    totals = dict.fromkeys(("n_words", "n_learn", "n_kept"), 0)
+    for row in counted.filter(lambda r: not r[0]).map(lambda r: _unpack(r[1][2])[0].astype(int).tolist()).collect():
+        for key, value in zip(totals, row):
             totals[key] += value
-    totals["n_tokens"] = by_chunk.map(lambda r: int(_unpack(r[1][1], 2)[1].sum())).fold(0, lambda a, b: a + b)
+    bits = _pair_bits(text_bytes // 2 + 1)  # no more tokens than that, ends apart
 
-    answers = counted.filter(lambda r: r[0]).partitionBy(n_buckets)
-    messages = (
+    answers = counted.filter(lambda r: r[0])
+    answers = answers.union(
         by_chunk.cogroup(answers, n_buckets)
-        .mapPartitions(_pair_messages(n_buckets, held_out, tune, totals))
+        .mapPartitions(_pair_messages(n_buckets, held_out, tune, bits))
+        .partitionBy(n_buckets)
+        .mapPartitions(_add_pairs)
         .partitionBy(n_buckets)
     )
-    events = messages.mapPartitions(_events(totals)).reduceByKey(lambda a, b: a + b, 8).collect()
+    told = by_chunk.cogroup(answers, n_buckets)
+    events = told.mapPartitions(_events(n_buckets, tune, bits, totals)).reduceByKey(lambda a, b: a + b, 8).collect()
     weights = spark.sparkContext.broadcast(learn_weights(sorted(events), totals["n_words"]))
-    sums = messages.mapPartitions(_sums(totals, weights)).reduceByKey(_add, n_buckets)
-
-    def told(item: tuple) -> Iterator[tuple]:
-        (ids, _), (total, blob) = item[1]
-        lengths, known, base = _unpack(blob)
-        yield from zip(ids, lengths.astype(int).tolist(), known.astype(int).tolist(),
-                       base.view(np.float64).tolist(), total.tolist())
+    scored = told.mapPartitions(_scores(n_buckets, bits, totals, weights))
 
     id_type = made.schema["ids"].dataType.elementType
     schema = StructType().add("doc_id", id_type).add("n_tokens", "long").add("n_known", "long").add(
         "base_score", "double").add("score", "double")
-    return spark.createDataFrame(by_chunk.join(sums, n_buckets).flatMap(told), schema).select(
+    return spark.createDataFrame(scored, schema).select(
         "doc_id",
         (fold(F.col("doc_id"), folds) == held_out).alias("held_out"),
         "n_tokens",
