@@ -10,7 +10,12 @@ The driver tables carry none of the reference's wine columns, so
 l_discount, l_tax`` are the features and ``l_linenumber`` (1..7) is the
 grade. For the learners the label ``l_quantity >= 25`` is separable by the
 features, so a correctly fitted model reproduces it exactly and the oracle
-is the label itself (tests separately prove the model is really used).
+is the label itself (tests separately prove the model is really used). The
+queries with the reference's own tree settings (100 trees, 100 iterations, all
+else at its default) use four features that rise or fall with one value of 25
+steps, so that every tree of a random forest can be exact. Metrics of a fitted
+model are taken against another column than it learned, so their value is one
+that SQL can give and is not 1.
 """
 
 from __future__ import annotations
@@ -66,14 +71,19 @@ SEPARABLE_SOURCE, SEPARABLE_CUT = "l_quantity", 25
 # Tree settings under which the separable label is learned exactly: the
 # quantity has 50 values, so 64 bins give every value its own threshold.
 GBT_PARAMS = {"maxIter": 10, "maxBins": 64}
-RF_PARAMS = {"numTrees": 5, "maxBins": 64, "featureSubsetStrategy": "all", "bootstrap": False}
 LR_PARAMS = {"maxIter": 100}
+# Features for the tree learners at the reference's settings: each is a
+# strictly rising or falling function of a step of 0..24, and never zero.
+STEP = "CAST(floor((l_quantity - 1) / 2) AS INT)"
+STEP_FEATURES = {"rise one": f"{STEP} + 1", "rise two": f"3 * {STEP} + 1",
+                 "rise three": f"({STEP} + 1) * ({STEP} + 1)", "fall one": f"100 - {STEP}"}
+STEP_NAMES = [n.replace(" ", "_") for n in STEP_FEATURES]
+STEP_GRADE = f"CAST(floor({STEP} / 5) AS INT) + 4"
+# One feature on which three ordered classes lie far apart.
+THIRD = "CASE WHEN l_quantity <= 16 THEN 0 WHEN l_quantity <= 33 THEN 1 ELSE 2 END"
+THIRD_FEATURE = f"20 * ({THIRD}) + CAST(l_quantity AS INT) % 3 + 1"
 # Time split for train / validate: the past trains, the future validates.
 VALIDATION_START = "2000-01-01"
-# Grade of the wine-layout file the job queries read: 4..8, rising with the
-# quantity, so the jobs' ``quality >= 6`` is exactly ``l_quantity >= 25`` and
-# a depth-5 forest learns the grade itself exactly.
-WINE_GRADE_STEP, WINE_GRADE_BASE = 12.5, 4
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,21 +108,33 @@ def _graded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _wine_layout_csv(spark: SparkSession, sf_dir: str, where=None) -> str:
+def _past(past: bool):
+    """The time split; a row without a ship date validates."""
+    before = F.coalesce(F.col("l_shipdate") < F.lit(VALIDATION_START).cast("timestamp_ntz"), F.lit(False))
+    return before if past else ~before
+
+
+def _grade_csv(spark: SparkSession, rows: DataFrame, features: dict[str, str], grade: str) -> str:
     """The reference's input layout, derived from ``lineitem``: a ';' file
-    whose header has spaces (``l quantity``) and an integer ``quality``
-    grade last. ``where`` keeps a subset of the rows (a time split).
-    Written under the shared scratch folder; returns its path."""
-    grade = F.floor(F.col(SEPARABLE_SOURCE) / WINE_GRADE_STEP).cast("int") + WINE_GRADE_BASE
-    li = _lineitem(spark, sf_dir)
-    if where is not None:
-        li = li.where(where)
-    rows = li.select(*FEATURES, grade.alias("quality"))
+    whose header has spaces (``rise one``) and an integer ``quality`` grade
+    last. Written under the shared scratch folder; returns its path."""
     path = scratch_path(spark, "wine-layout")
-    write_csv(rows.toDF(*[c.replace("_", " ") for c in FEATURES], "quality"), path, sep=";")
+    columns = [F.expr(e).alias(n) for n, e in features.items()]
+    write_csv(rows.select(*columns, F.expr(grade).alias("quality")), path, sep=";")
     return path
 
 
+def _step_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Grade 4..8, rising with the step of 0..24: ``quality >= 6`` is ``step >= 10``."""
+    return _grade_csv(spark, _lineitem(spark, sf_dir), STEP_FEATURES, STEP_GRADE)
+
+
+def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = [F.expr(e).alias(n.replace(" ", "_")) for n, e in STEP_FEATURES.items()]
+    rows = _lineitem(spark, sf_dir).select(KEY, *columns, F.expr(STEP).alias("step"))
+    return add_threshold_label(rows, "step", "label", 12)
+
+
 # ------------------------------------------------------------------ queries
 
 
@@ -229,9 +251,30 @@ def q_lr_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_score(spark, sf_dir, "lr", LR_PARAMS)
 
 
-def q_rf_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random forest fitted and applied."""
-    return _fit_score(spark, sf_dir, "rf", RF_PARAMS)
+def _fit_score_steps(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    data = assemble(_steps(spark, sf_dir), STEP_NAMES)
+    model = fit(make_learner(kind, "label"), data)
+    return score(model, data).select(KEY, "prediction", "label")
+
+
+def q_rf100_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random forest of 100 trees, every other parameter at its default."""
+    return _fit_score_steps(spark, sf_dir, "rf")
+
+
+def q_gbt100_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gradient-boosted trees, 100 iterations, all else at its default."""
+    return _fit_score_steps(spark, sf_dir, "gbt")
+
+
+def q_lr_multinomial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multinomial logistic regression (maxIter=10) on three classes."""
+    rows = _lineitem(spark, sf_dir).select(
+        KEY, F.expr(THIRD_FEATURE).alias("x"), F.expr(THIRD).alias("label")
+    )
+    data = assemble(rows, ["x"])
+    model = fit(make_learner("lr", "label"), data)
+    return score(model, data).select(KEY, "prediction", "label")
 
 
 def q_gbt_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,9 +296,8 @@ def q_save_load_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scaled_rf_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scaler, assembler and forest fitted as one unit, saved,
     reloaded and applied to rows without a label."""
-    data = _separable(spark, sf_dir)
-    stages = build_pipeline(FEATURES, "label", kind="rf", scale=True, **RF_PARAMS)
-    model = fit(stages, data)
+    data = _steps(spark, sf_dir)
+    model = fit(build_pipeline(STEP_NAMES, "label", kind="rf", scale=True), data)
     path = scratch_path(spark, "scaled-rf")
     save_model(model, path)
     loaded = load_model(path, "pipeline")
@@ -281,54 +323,65 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_train_validate_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L1/A1: multinomial LR on the grade, trained on the past, weighted F1
-    on the future. A fitted model is not SQL: rows-only check, unit-tested."""
+    """L1/A1: multinomial LR (maxIter=10) on three classes, trained on the
+    past; weighted F1 on the future, against a third of the line numbers."""
     li = _lineitem(spark, sf_dir)
-    cut = F.col("l_shipdate") < F.lit(VALIDATION_START).cast("timestamp_ntz")
-    result = train_validate(li.where(cut), li.where(~cut), "lr", GRADE, FEATURES, maxIter=10)
-    return result.metrics
+    x = F.expr(THIRD_FEATURE).alias("x")
+    result = train_validate(
+        li.where(_past(True)).select(x, F.expr(THIRD).alias("class")),
+        li.where(_past(False)).select(x, (F.col(GRADE) % 3).alias("class")),
+        "lr", "class", ["x"],
+    )
+    return result.metrics.select(F.round("f1", 9).alias("f1"))
 
 
 def q_train_self_score_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L3/A2: GBT on the 0/1 grade label, area under ROC on its own rows
-    (the reference's training job). Rows-only check."""
-    li = add_threshold_label(_lineitem(spark, sf_dir), GRADE, "binary_quality")
-    result = fit_and_score(li, "gbt", "binary_quality", FEATURES, metric="auc", maxIter=10)
-    release(result)  # the exact AUC is computed eagerly; the cached input is done
-    return result.metrics
+    """L3/A2: GBT (100 iterations) on whether a line was returned, from one
+    0/1 feature; area under ROC on its own rows (the reference's training
+    job). The scores of the feature's two values rank the rows."""
+    li = _lineitem(spark, sf_dir).select(
+        (F.col(SEPARABLE_SOURCE) >= SEPARABLE_CUT).cast("int").alias("many"),
+        (F.col("l_returnflag") == "R").cast("int").alias("returned"),
+    )
+    result = fit_and_score(li, "gbt", "returned", ["many"], metric="auc")
+    release(result)  # the exact AUC is computed eagerly; the cached rows are done
+    return result.metrics.select(F.round("auc", 9).alias("auc"))
 
 
 def q_embeddings_lr_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L1/L6/A1 on a ready vector: multinomial LR (maxIter=10) over the 64
-    embedding values with 10 classes, weighted F1 on its own rows.
-    Rows-only check; a brute-force test compares it with plain MLlib."""
+    """L1/L6/A1 on a ready vector: LR (maxIter=10) over 64 values learns the
+    sign of the first embedding value, given with the 63 others in small;
+    weighted F1 of its prediction against the parity of the row's label."""
+    value = F.col("embedding")
+    sign = F.when(value[0] >= 0, 1.0).otherwise(-1.0)
+    rest = F.transform(F.slice(value, 2, 63), lambda v: v.cast("double") * 0.001)
     emb = _table(spark, sf_dir, "embeddings").select(
-        array_vector("embedding").alias("features"), "label"
-    )
-    model = fit(make_learner("lr", "label", maxIter=10), emb)
-    return weighted_f1(score(model, emb), "label")
+        F.concat(F.array(sign), rest).alias("values"),
+        (value[0] >= 0).cast("int").alias("positive"),
+        (F.col("label") % 2).alias("parity"),
+    ).select(array_vector("values").alias("features"), "positive", "parity")
+    model = fit(make_learner("lr", "positive"), emb)
+    return weighted_f1(score(model, emb), "parity").select(F.round("f1", 9).alias("f1"))
 
 
 def q_job_train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3/J4 with S1, P1, P2, F1, L3, L6, A2, P8, S4, S5: the training job on a
-    ';' file. Names cleaned, 0/1 label added beside the grade, GBT fitted,
-    AUC on its own rows, rows written as CSV, then the model saved refusing
-    to overwrite. Returns the written rows, read back."""
+    ';' file. Names cleaned, 0/1 label added beside the grade, GBT (100
+    iterations) fitted, AUC on its own rows, rows written as CSV, then the
+    model saved refusing to overwrite. Returns the written rows, read back."""
     result = train_and_score_job(
-        spark, _wine_layout_csv(spark, sf_dir), scratch_path(spark, "gbt-model"),
-        scratch_path(spark, "gbt-rows"), kind="gbt", binary=True, overwrite=False,
-        features=FEATURES, **GBT_PARAMS,
+        spark, _step_csv(spark, sf_dir), scratch_path(spark, "gbt-model"),
+        scratch_path(spark, "gbt-rows"), kind="gbt", overwrite=False, features=STEP_NAMES,
     )
     return result.predictions
 
 
 def q_job_train_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J3/J4 with L2: the forest training job on the raw grade (weighted F1
-    on its own rows). Returns the written rows, read back."""
+    """J3/J4 with L2: the forest training job (100 trees) on the raw grade,
+    weighted F1 on its own rows. Returns the written rows, read back."""
     result = train_and_score_job(
-        spark, _wine_layout_csv(spark, sf_dir), scratch_path(spark, "rf-model"),
-        scratch_path(spark, "rf-rows"), kind="rf", binary=False, features=FEATURES,
-        **RF_PARAMS,
+        spark, _step_csv(spark, sf_dir), scratch_path(spark, "rf-model"),
+        scratch_path(spark, "rf-rows"), kind="rf", features=STEP_NAMES,
     )
     return result.predictions
 
@@ -337,13 +390,22 @@ def q_job_score_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 with S7, L6, A1: the forest saved by the training job, loaded
     through its class by the score job, applied to the file, rows written
     and weighted F1 measured from them. Returns the written rows."""
-    csv = _wine_layout_csv(spark, sf_dir)
+    csv = _step_csv(spark, sf_dir)
     model = scratch_path(spark, "rf-model")
-    train_and_score_job(spark, csv, model, scratch_path(spark, "rf-rows"), kind="rf",
-                        binary=False, features=FEATURES, **RF_PARAMS)
-    result = score_job(spark, csv, model, scratch_path(spark, "scored"), kind="rf",
-                       features=FEATURES)
-    return result.predictions
+    train_and_score_job(spark, csv, model, scratch_path(spark, "rf-rows"), kind="rf", features=STEP_NAMES)
+    return score_job(spark, csv, model, scratch_path(spark, "scored"), kind="rf", features=STEP_NAMES).predictions
+
+
+def q_job_score_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 with P3: a saved GBT applied by the score job. The grade becomes the
+    0/1 label the model knows; rows in the short form with the measured F1."""
+    csv = _step_csv(spark, sf_dir)
+    model = scratch_path(spark, "gbt-model")
+    train_and_score_job(spark, csv, model, scratch_path(spark, "gbt-rows"), kind="gbt",
+                        features=STEP_NAMES, maxIter=10)
+    result = score_job(spark, csv, model, scratch_path(spark, "scored"), kind="gbt",
+                       features=STEP_NAMES, with_features=False)
+    return result.predictions.crossJoin(F.broadcast(result.metrics))
 
 
 def q_job_refit_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,8 +413,7 @@ def q_job_refit_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     0/1 label, GBT (maxIter=10) fitted on the file and applied to it,
     weighted F1, rows written. Returns the written rows."""
     result = refit_and_score_job(
-        spark, _wine_layout_csv(spark, sf_dir), scratch_path(spark, "refit-rows"),
-        features=FEATURES, **GBT_PARAMS,
+        spark, _step_csv(spark, sf_dir), scratch_path(spark, "refit-rows"), features=STEP_NAMES,
     )
     return result.predictions
 
@@ -360,14 +421,26 @@ def q_job_refit_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_job_validate_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 with L1, A1, S6: the validation job. Two ';' files (ship dates
     before 2000 train, the rest validate), multinomial LR (maxIter=10) on
-    the raw grade, weighted F1 on the second file, model saved with
-    overwrite. Rows-only; a brute-force test compares it with plain MLlib."""
-    cut = F.col("l_shipdate") < F.lit(VALIDATION_START).cast("timestamp_ntz")
+    three classes, weighted F1 on the second file, whose grade is a third of
+    the line numbers, model saved with overwrite."""
+    li = _lineitem(spark, sf_dir)
+    feature = {"one value": THIRD_FEATURE}
     result = train_validate_job(
-        spark, _wine_layout_csv(spark, sf_dir, cut), _wine_layout_csv(spark, sf_dir, ~cut),
-        scratch_path(spark, "lr-model"), kind="lr", features=FEATURES, maxIter=10,
+        spark,
+        _grade_csv(spark, li.where(_past(True)), feature, THIRD),
+        _grade_csv(spark, li.where(_past(False)), feature, "l_linenumber % 3"),
+        scratch_path(spark, "lr-model"), kind="lr", features=["one_value"],
     )
-    return result.metrics
+    return result.metrics.select(F.round("f1", 9).alias("f1"))
+
+
+def q_csv_scan_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with a schema: ``part`` written as ';' CSV with its columns reversed,
+    read by name with given types, without an inference pass."""
+    part = _table(spark, sf_dir, "part")
+    path = scratch_path(spark, "part-csv")
+    write_csv(part.select(*reversed(part.columns)), path, sep=";")
+    return read_delimited(spark, path, schema=part.schema).select(*part.columns)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -375,6 +448,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     training-data operators if they are installed."""
     named = {
         "csv_scan_infer": q_csv_scan_infer,
+        "csv_scan_schema": q_csv_scan_schema,
         "clean_columns": q_clean_columns,
         "label_new": q_label_new,
         "label_inplace": q_label_inplace,
@@ -389,8 +463,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weighted_f1": q_weighted_f1,
         "auc_roc": q_auc_roc,
         "lr_fit_score": q_lr_fit_score,
-        "rf_fit_score": q_rf_fit_score,
+        "lr_multinomial": q_lr_multinomial,
+        "rf100_fit_score": q_rf100_fit_score,
         "gbt_fit_score": q_gbt_fit_score,
+        "gbt100_fit_score": q_gbt100_fit_score,
         "save_load_score": q_save_load_score,
         "scaled_rf_roundtrip": q_scaled_rf_roundtrip,
         "stream_score": q_stream_score,
@@ -400,6 +476,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "job_train_gbt": q_job_train_gbt,
         "job_train_rf": q_job_train_rf,
         "job_score_saved": q_job_score_saved,
+        "job_score_gbt": q_job_score_gbt,
         "job_refit_gbt": q_job_refit_gbt,
         "job_validate_lr": q_job_validate_lr,
     }
@@ -429,11 +506,31 @@ _GRADED_ROWS = f"""
            CASE WHEN l_linenumber >= 6 THEN 1 ELSE 0 END AS binary_quality,
            {_FEATURE_TEXT} AS features_str
     FROM lineitem"""
-_WINE_GRADE = f"CAST(floor(l_quantity / {WINE_GRADE_STEP}) AS INTEGER) + {WINE_GRADE_BASE}"
-_WINE_ROWS = f"""
-    SELECT CAST({_WINE_GRADE} AS DOUBLE) AS prediction, {_WINE_GRADE} AS quality,
-           {_FEATURE_TEXT} AS features_str
+_STEP_TEXT = " || ',' || ".join(f"CAST(CAST({e} AS DOUBLE) AS VARCHAR)" for e in STEP_FEATURES.values())
+_STEP_ROWS = f"""
+    SELECT CAST({{0}} AS DOUBLE) AS prediction, {{0}} AS {{1}}, '[' || {_STEP_TEXT} || ']' AS features_str
+    FROM lineitem"""
+_STEP_SCORE = f"""
+    SELECT l_orderkey, CAST(CASE WHEN {STEP} >= 12 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+           CASE WHEN {STEP} >= 12 THEN 1 ELSE 0 END AS label
     FROM lineitem"""
+_STEP_LABEL = f"CASE WHEN {STEP_GRADE} >= 6 THEN 1 ELSE 0 END"
+
+
+def _f1_sql(rows: str) -> str:
+    """Weighted F1 of ``p`` against ``y`` in ``rows``, rounded."""
+    return f"""
+        WITH t AS ({rows}),
+             l AS (SELECT y AS k, count(*) AS n, count(*) FILTER (WHERE y = p) AS tp FROM t GROUP BY 1),
+             q AS (SELECT p AS k, count(*) AS n FROM t GROUP BY 1)
+        SELECT ROUND(sum(l.n * (2.0::DOUBLE * tp / (l.n + coalesce(q.n, 0)))) / sum(l.n), 9) AS f1
+        FROM l LEFT JOIN q USING (k)"""
+
+
+_VALIDATE_F1 = _f1_sql(
+    f"SELECT l_linenumber % 3 AS y, {THIRD} AS p FROM lineitem "
+    f"WHERE l_shipdate IS NULL OR l_shipdate >= TIMESTAMP '{VALIDATION_START}'"
+)
 _FIT_SCORE = f"""
     SELECT {_SEPARABLE_PREDICTION} AS prediction, {_SEPARABLE_LABEL} AS label,
            {_FEATURE_TEXT} AS features_str
@@ -480,15 +577,8 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY quality, binary_quality, features_str
             LIMIT 5""",
         "scale": f"SELECT l_orderkey, {scaled} FROM lineitem",
-        "weighted_f1": """
-            WITH t AS (SELECT CAST(l_linenumber AS DOUBLE) AS y, l_quantity % 8 AS p
-                       FROM lineitem),
-                 l AS (SELECT y AS k, count(*) AS n, count(*) FILTER (WHERE y = p) AS tp
-                       FROM t GROUP BY 1),
-                 q AS (SELECT p AS k, count(*) AS n FROM t GROUP BY 1)
-            SELECT ROUND(sum(l.n * (2.0::DOUBLE * tp / (l.n + coalesce(q.n, 0))))
-                         / sum(l.n), 9) AS f1
-            FROM l LEFT JOIN q USING (k)""",
+        "weighted_f1": _f1_sql(
+            "SELECT CAST(l_linenumber AS DOUBLE) AS y, l_quantity % 8 AS p FROM lineitem"),
         "auc_roc": """
             WITH t AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
                               l_extendedprice AS s
@@ -501,24 +591,35 @@ def oracle_sql() -> dict[str, str]:
                          / (CAST(sum(y) AS DOUBLE) * (count(*) - sum(y))), 9) AS auc
             FROM r""",
         "lr_fit_score": _FIT_SCORE,
-        "rf_fit_score": _FIT_SCORE,
+        "lr_multinomial": f"""
+            SELECT l_orderkey, CAST({THIRD} AS DOUBLE) AS prediction, {THIRD} AS label FROM lineitem""",
+        "rf100_fit_score": _STEP_SCORE,
+        "gbt100_fit_score": _STEP_SCORE,
         "gbt_fit_score": _FIT_SCORE,
         "save_load_score": f"""
             SELECT {_SEPARABLE_PREDICTION} AS prediction, {_FEATURE_TEXT} AS features_str
             FROM lineitem""",
-        "scaled_rf_roundtrip": f"""
-            SELECT l_orderkey, {_SEPARABLE_PREDICTION} AS prediction FROM lineitem""",
+        "scaled_rf_roundtrip": f"SELECT l_orderkey, prediction FROM ({_STEP_SCORE}) r",
         "stream_score": _FIT_SCORE,
-        "job_train_gbt": f"""
-            SELECT {_SEPARABLE_PREDICTION} AS prediction, {_SEPARABLE_LABEL} AS binary_quality,
-                   {_FEATURE_TEXT} AS features_str
-            FROM lineitem""",
-        "job_train_rf": _WINE_ROWS,
-        "job_score_saved": _WINE_ROWS,
-        "job_refit_gbt": f"""
-            SELECT {_SEPARABLE_PREDICTION} AS prediction, {_SEPARABLE_LABEL} AS quality,
-                   {_FEATURE_TEXT} AS features_str
+        "train_validate_f1": _VALIDATE_F1,
+        "job_validate_lr": _VALIDATE_F1,
+        "train_self_score_auc": f"""
+            WITH t AS (SELECT l_returnflag = 'R' AS y, l_quantity >= {SEPARABLE_CUT} AS g FROM lineitem)
+            SELECT ROUND(0.5 + abs(CAST(count(*) FILTER (WHERE y AND g) AS DOUBLE) / count(*) FILTER (WHERE y)
+                         - CAST(count(*) FILTER (WHERE NOT y AND g) AS DOUBLE) / count(*) FILTER (WHERE NOT y)) / 2,
+                         9) AS auc
+            FROM t""",
+        "embeddings_lr_f1": _f1_sql(
+            "SELECT label % 2 AS y, CASE WHEN embedding[1] >= 0 THEN 1 ELSE 0 END AS p FROM embeddings"),
+        "job_train_gbt": _STEP_ROWS.format(_STEP_LABEL, "binary_quality"),
+        "job_train_rf": _STEP_ROWS.format(STEP_GRADE, "quality"),
+        "job_score_saved": _STEP_ROWS.format(STEP_GRADE, "quality"),
+        "job_score_gbt": f"""
+            SELECT CAST({_STEP_LABEL} AS DOUBLE) AS prediction, {_STEP_LABEL} AS quality,
+                   CAST(1 AS DOUBLE) AS f1
             FROM lineitem""",
+        "job_refit_gbt": _STEP_ROWS.format(_STEP_LABEL, "quality"),
+        "csv_scan_schema": "SELECT * FROM part",
     }
     if llm_queries is not None:
         named.update(llm_queries.oracle_sql())

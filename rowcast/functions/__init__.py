@@ -1,16 +1 @@
 """Column expressions: name cleaning, threshold labels, vectors as text."""
-
-from rowcast.functions.labels import add_threshold_label, threshold_label
-from rowcast.functions.names import clean_columns, clean_name
-from rowcast.functions.vectors import array_vector, vector_columns, vector_text, with_vector_text
-
-__all__ = [
-    "add_threshold_label",
-    "array_vector",
-    "clean_columns",
-    "clean_name",
-    "threshold_label",
-    "vector_columns",
-    "vector_text",
-    "with_vector_text",
-]

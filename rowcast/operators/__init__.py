@@ -1,23 +1 @@
 """Operators: feature stages, learners, metrics, projections and preview."""
-
-from rowcast.operators.features import PopulationScaler, PopulationScalerModel, assemble, assembler
-from rowcast.operators.frames import drop_columns, preview, project
-from rowcast.operators.learners import build_pipeline, fit, make_learner, score
-from rowcast.operators.metrics import auc_roc, confusion_counts, weighted_f1
-
-__all__ = [
-    "PopulationScaler",
-    "PopulationScalerModel",
-    "assemble",
-    "assembler",
-    "auc_roc",
-    "build_pipeline",
-    "confusion_counts",
-    "drop_columns",
-    "fit",
-    "make_learner",
-    "preview",
-    "project",
-    "score",
-    "weighted_f1",
-]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -46,7 +47,8 @@ class PopulationScaler(Estimator, _ScalerParams, DefaultParamsReadable, DefaultP
     ``stddev_pop``, combined map-side, so only one row of ``2 * k`` numbers
     reaches the driver whatever the input size. It works on scalar columns
     before assembly, so the transform is plain arithmetic inside whole-stage
-    codegen.
+    codegen. A column that holds NaN or an infinity has no mean to centre by
+    and raises in ``fit``.
     """
 
     @keyword_only
@@ -66,6 +68,9 @@ class PopulationScaler(Estimator, _ScalerParams, DefaultParamsReadable, DefaultP
         row = dataset.agg(*aggs).first()
         means = [float(row[f"m{i}"] or 0.0) for i in range(len(cols))]
         stds = [float(row[f"s{i}"] or 0.0) for i in range(len(cols))]
+        unusable = [c for c, m, s in zip(cols, means, stds) if not (math.isfinite(m) and math.isfinite(s))]
+        if unusable:
+            raise ValueError(f"columns {unusable} hold NaN or infinite values and cannot be scaled")
         model = PopulationScalerModel(
             inputCols=cols, outputCols=self.getOutputCols(), means=means, stds=stds
         )
@@ -102,7 +107,7 @@ class PopulationScalerModel(Model, _ScalerParams, DefaultParamsReadable, Default
             self.getInputCols(), self.getOutputCols(), self.getMeans(), self.getStds()
         ):
             c = F.col(src).cast("double")
-            if s > 0.0:
+            if s != 0.0:
                 out[dst] = (c - F.lit(m)) / F.lit(s)
             else:
                 out[dst] = F.when(c.isNotNull(), F.lit(0.0))

@@ -3,8 +3,7 @@
 These are MLlib's distributed estimators. Each pass over the data is a
 tree-aggregate of per-partition statistics (gradients, or split histograms
 per tree node), so only model-sized objects travel to the driver and back.
-MLlib persists its training input itself (memory, then disk), so callers
-do not need to cache before :func:`fit`.
+MLlib persists its own copy of the training input (memory, then disk).
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 
 from rowcast.operators.features import PopulationScaler, assembler
-from rowcast.runtime import balanced, checkpoint_root, spread
+from rowcast.runtime import checkpoint_root
 
 LEARNERS: dict[str, type] = {
     "lr": LogisticRegression,
@@ -62,36 +61,19 @@ def make_learner(
     return cls(labelCol=label_col, featuresCol=features_col, **args)
 
 
-def fit(
-    estimator: Estimator,
-    df: DataFrame,
-    min_partitions: int | None = None,
-    check_skew: bool = True,
-) -> Model:
-    """Fit ``estimator`` on ``df``.
+def fit(estimator: Estimator, df: DataFrame) -> Model:
+    """Fit ``estimator`` on ``df``, rows where they are.
 
     Registers the shared checkpoint folder first, so GBT (and forests with
     ``cacheNodeIds``) cut their lineage every ``checkpointInterval``
     iterations and a lost executor does not replay the whole boosting run.
-    A small input is spread over all cores. A large one is left as it is
-    unless one partition holds far more than its share (an unsplittable
-    hot file; see :func:`rowcast.runtime.balanced`, skipped with
-    ``check_skew=False``). The respread copy is persisted for the fit:
-    MLlib converts its input to RDDs more than once, and each conversion
-    would otherwise repeat the shuffle. It is released as soon as the model
-    exists.
+    A forest depends on which rows lie in which partition; lay the input out
+    with :func:`rowcast.runtime.laid_out` to repeat one elsewhere. MLlib reads
+    its input more than once before it caches its own copy, so persist an
+    input that is dear to compute.
     """
     checkpoint_root(df.sparkSession)
-    data = spread(df, min_partitions)
-    if data is df and check_skew:
-        data = balanced(df)
-    if data is df:
-        return estimator.fit(df)
-    data = data.persist()
-    try:
-        return estimator.fit(data)
-    finally:
-        data.unpersist()
+    return estimator.fit(df)
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:

@@ -13,8 +13,6 @@ third of the table is one row after the partial aggregate, not a hot task.
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
@@ -22,13 +20,10 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.runtime import estimated_shuffle_width, sized_for_cache
-
-_log = logging.getLogger(__name__)
-
 
-def _not_null(column: str, what: str) -> Column:
-    c = F.col(column)
+def _not_null(column: str, what: str, value: Column | None = None) -> Column:
+    """The column (or ``value``, read from it); NULL raises."""
+    c = F.col(column) if value is None else value
     return F.when(c.isNull(), F.raise_error(F.lit(f"{what} column '{column}' holds NULL"))).otherwise(c)
 
 
@@ -41,7 +36,7 @@ def confusion_counts(
     """
     return df.groupBy(
         _not_null(label_col, "label").cast("double").alias("label"),
-        F.col(prediction_col).cast("double").alias("prediction"),
+        _not_null(prediction_col, "prediction").cast("double").alias("prediction"),
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -90,8 +85,19 @@ def weighted_f1(
 def _score_column(df: DataFrame, score_col: str) -> Column:
     """A double score: slot 1 of a raw-prediction vector, or a double column."""
     if isinstance(df.schema[score_col].dataType, VectorUDT):
-        return vector_to_array(F.col(score_col))[1]
-    return F.col(score_col).cast("double")
+        return _not_null(score_col, "score", vector_to_array(F.col(score_col))[1])
+    return _not_null(score_col, "score").cast("double")
+
+
+def _area_parts(n_lower: Column) -> list[Column]:
+    """Aggregates over score ranges (columns ``p``, ``n``): pairs of a positive
+    with a negative of a lower range, then positives and negatives.
+
+    The pairs are counted in double: a bigint product overflows from about
+    six billion balanced rows on.
+    """
+    pairs = F.col("p").cast("double") * n_lower.cast("double")
+    return [F.sum(pairs).alias("u"), F.sum("p").alias("p"), F.sum("n").alias("n")]
 
 
 def auc_roc(
@@ -121,8 +127,8 @@ def auc_roc(
        negatives in all lower ranges.
 
     The aggregated scores are persisted (memory, then disk) for the few
-    passes over them, in partitions sized by their estimate (a cached plan
-    keeps every shuffle partition), and released before returning.
+    passes over them and released before returning. A NULL label or score
+    raises. Both shuffles take their width from the session.
     """
     spark = df.sparkSession
     n_buckets = buckets or max(1, 2 * spark.sparkContext.defaultParallelism)
@@ -132,17 +138,7 @@ def auc_roc(
         .groupBy("s")
         .agg(F.sum("y").alias("pos"), (F.count(F.lit(1)) - F.sum("y")).alias("neg"))
     )
-    need, have = estimated_shuffle_width(aggregated)
-    if need > 16 * have:
-        # Adaptive execution merges small partitions but never splits large
-        # ones; the width of this shuffle is the session's to set.
-        _log.warning(
-            "the score aggregate is estimated at %d partitions of the advisory size, "
-            "but spark.sql.shuffle.partitions is %d; set it (or "
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum) to about %d",
-            need, have, need,
-        )
-    by_score = sized_for_cache(aggregated).persist()
+    by_score = aggregated.persist()
     try:
         splits: list[float] = []
         if n_buckets > 1:
@@ -177,11 +173,7 @@ def auc_roc(
         lower = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
         across = ranges.withColumn(
             "n_lower", F.coalesce(F.sum("n").over(lower), F.lit(0))
-        ).agg(
-            F.sum(F.col("p") * F.col("n_lower")).cast("double").alias("u"),
-            F.sum("p").alias("p"),
-            F.sum("n").alias("n"),
-        )
+        ).agg(*_area_parts(F.col("n_lower")))
         row = within.unionByName(across).agg(
             F.sum("u").alias("u"), F.sum("p").alias("p"), F.sum("n").alias("n")
         ).first()

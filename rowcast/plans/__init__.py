@@ -1,25 +1 @@
-"""Jobs built from the library: train, validate, score."""
-
-from rowcast.plans.jobs import (
-    FEATURES,
-    JobResult,
-    fit_and_score,
-    refit_and_score_job,
-    score_job,
-    score_with,
-    train_and_score_job,
-    train_validate,
-    train_validate_job,
-)
-
-__all__ = [
-    "FEATURES",
-    "JobResult",
-    "fit_and_score",
-    "refit_and_score_job",
-    "score_job",
-    "score_with",
-    "train_and_score_job",
-    "train_validate",
-    "train_validate_job",
-]
+"""The jobs, as functions and from the command line."""

@@ -13,11 +13,13 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from rowcast.functions.labels import (
     BINARY_LABEL,
@@ -25,13 +27,14 @@ from rowcast.functions.labels import (
     GRADE_THRESHOLD,
     add_threshold_label,
 )
+from rowcast.functions.names import clean_name
 from rowcast.functions.vectors import with_vector_text
 from rowcast.operators.features import assemble
 from rowcast.operators.frames import preview
 from rowcast.operators.learners import fit, make_learner, score
 from rowcast.operators.metrics import auc_roc, auc_roc_evaluator, weighted_f1
-from rowcast.runtime import _has_exchange, sized_for_cache, spread
-from rowcast.sources.delimited import read_delimited, write_csv
+from rowcast.runtime import Layout, laid_out
+from rowcast.sources.delimited import INPUT_SEPARATOR, paths_overlap, read_delimited, write_csv
 from rowcast.sources.models import load_model, save_model
 
 # Fixed values of the reference jobs: the measurement columns, in order.
@@ -49,13 +52,41 @@ FEATURES = [
     "alcohol",
 ]
 
+# Where the refit job reads (fixed value) and writes when nothing is said.
+DEFAULT_INPUT, DEFAULT_OUTPUT = "/app/TestDataset.csv", "predictions"
+
+
+def grade_schema(features: Sequence[str] = FEATURES, label_col: str = GRADE_COLUMN) -> StructType:
+    """The jobs' known types: measurements are doubles, the grade an integer."""
+    measures = [StructField(name, DoubleType()) for name in features]
+    return StructType([*measures, StructField(label_col, IntegerType())])
+
+
+def read_grades(
+    spark: SparkSession,
+    path: str,
+    features: Sequence[str] = FEATURES,
+    label_col: str = GRADE_COLUMN,
+    label_required: bool = True,
+) -> DataFrame:
+    """The jobs' input: typed by its header, without an inference pass.
+
+    Only the header line is read before the scan; a malformed value raises.
+    """
+    schema = grade_schema(features, label_col)
+    if not label_required:
+        header = spark.read.option("header", True).option("sep", INPUT_SEPARATOR).csv(path).columns
+        if label_col not in map(clean_name, header):
+            schema = StructType(schema.fields[:-1])
+    return read_delimited(spark, path, schema=schema)
+
 
 @dataclass
 class JobResult:
     model: Model
     predictions: DataFrame  # prediction, [label], features_str
     metrics: DataFrame | None  # one row, or None when no label is present
-    cached: DataFrame | None = None  # persisted input, released by release()
+    cached: list[DataFrame] = field(default_factory=list)  # persisted, released by release()
 
 
 def prepared(
@@ -63,23 +94,30 @@ def prepared(
     label_col: str | None,
     features: Sequence[str] = FEATURES,
     features_col: str = "features",
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Only the label and the assembled vector: the narrow input a learner needs.
 
-    Columns are pruned first (the scan reads only these), then a small
-    input is spread over the cores before the per-row vector work.
+    Columns are pruned first (the scan reads only these). Rows stay where they
+    are, without a shuffle, unless a ``layout`` is asked for.
     """
     label = [label_col] if label_col else []
-    narrow = spread(df.select(*dict.fromkeys([*features, *label])))
+    narrow = laid_out(df.select(*dict.fromkeys([*features, *label])), layout)
     return assemble(narrow, features, features_col).select(features_col, *label)
 
 
 def output_rows(
-    scored: DataFrame, label_col: str | None, features_col: str = "features"
+    scored: DataFrame,
+    label_col: str | None,
+    features_col: str = "features",
+    with_features: bool = True,
 ) -> DataFrame:
-    """``prediction``, the label if present, and the vector as text."""
-    cols = ["prediction"] + ([label_col] if label_col else []) + ["features_str"]
-    return with_vector_text(scored, features_col).select(*cols)
+    """``prediction``, the label if present, and the vector as text (the short
+    form leaves the text out)."""
+    cols = ["prediction"] + ([label_col] if label_col else [])
+    if not with_features:
+        return scored.select(*cols)
+    return with_vector_text(scored, features_col).select(*cols, "features_str")
 
 
 def fit_and_score(
@@ -89,6 +127,7 @@ def fit_and_score(
     features: Sequence[str] = FEATURES,
     metric: str = "f1",
     auc_num_bins: int | None = None,
+    layout: Layout | None = None,
     **params,
 ) -> JobResult:
     """Fit on ``df`` and score the same rows (a train-set metric).
@@ -96,26 +135,32 @@ def fit_and_score(
     ``metric`` is ``"f1"`` (weighted F1) or ``"auc"`` (area under ROC on
     the raw prediction; exact unless ``auc_num_bins`` asks for MLlib's
     binned curve, e.g. its default 1000). The assembled input is persisted
-    for the fit, the scoring and the metric, and released by :func:`release`.
-    An input that arrives from a shuffle (a join, an aggregate) is cached in
-    partitions sized by its estimate, not one per shuffle partition.
+    for the fit and the scoring. For the AUC the scored rows (prediction,
+    label, text, raw score) are persisted too, so the model is applied once.
+    :func:`release` frees both; a failure frees them at once.
     """
-    data = prepared(df, label_col, features)
-    if _has_exchange(df):
-        # The caller's input comes from a shuffle; a small input that spread
-        # laid out itself keeps that layout.
-        data = sized_for_cache(data)
-    data = data.persist()
-    model = fit(make_learner(kind, label_col, **params), data)
-    scored = score(model, data)
-    if metric == "auc" and auc_num_bins:
-        value = auc_roc_evaluator(scored, label_col, num_bins=auc_num_bins)
-        metrics = df.sparkSession.range(1).select(F.lit(value).alias("auc"))
-    elif metric == "auc":
-        metrics = auc_roc(scored, label_col)
-    else:
-        metrics = weighted_f1(scored, label_col)
-    return JobResult(model, output_rows(scored, label_col), metrics, cached=data)
+    data = prepared(df, label_col, features, layout=layout).persist()
+    held = [data]
+    try:
+        model = fit(make_learner(kind, label_col, **params), data)
+        scored = score(model, data)
+        if metric == "auc":
+            raw = vector_to_array("rawPrediction")[1].alias("raw_score")
+            kept = with_vector_text(scored).select("prediction", label_col, "features_str", raw).persist()
+            held.append(kept)
+            return JobResult(model, kept.drop("raw_score"), _area(kept, label_col, "raw_score", auc_num_bins), held)
+        return JobResult(model, output_rows(scored, label_col), weighted_f1(scored, label_col), held)
+    except BaseException:
+        for frame in held:
+            frame.unpersist()
+        raise
+
+
+def _area(scored: DataFrame, label_col: str, score_col: str, num_bins: int | None) -> DataFrame:
+    if not num_bins:
+        return auc_roc(scored, label_col, score_col)
+    value = auc_roc_evaluator(scored, label_col, score_col, num_bins=num_bins)
+    return scored.sparkSession.range(1).select(F.lit(value).alias("auc"))
 
 
 def train_validate(
@@ -124,39 +169,55 @@ def train_validate(
     kind: str = "lr",
     label_col: str = GRADE_COLUMN,
     features: Sequence[str] = FEATURES,
+    metric: str = "f1",
+    layout: Layout | None = None,
     **params,
 ) -> JobResult:
-    """Fit on one table, score another, weighted F1 on the second."""
-    train = prepared(train_df, label_col, features)
-    model = fit(make_learner(kind, label_col, **params), train)
+    """Fit on one table, score another, and measure on the second: weighted F1,
+    or with ``metric="auc"`` the area under ROC of a 0/1 label.
+
+    The training input is persisted for the fit: MLlib reads it more than once
+    before it caches its own copy.
+    """
+    train = prepared(train_df, label_col, features, layout=layout).persist()
+    try:
+        model = fit(make_learner(kind, label_col, **params), train)
+    finally:
+        train.unpersist()
     scored = score(model, prepared(valid_df, label_col, features))
-    return JobResult(model, output_rows(scored, label_col), weighted_f1(scored, label_col))
+    metrics = auc_roc(scored, label_col) if metric == "auc" else weighted_f1(scored, label_col)
+    return JobResult(model, output_rows(scored, label_col), metrics)
 
 
 def score_with(
     model: Model,
     df: DataFrame,
     label_col: str | None = GRADE_COLUMN,
-    features: Sequence[str] = FEATURES,
+    features: Sequence[str] | None = FEATURES,
+    threshold: float | None = None,
+    with_features: bool = True,
 ) -> JobResult:
     """Score with a fitted model; the label is optional.
 
-    A fitted pipeline assembles its own features, so ``features=None``
-    passes the rows through unchanged.
+    With ``threshold`` the label is first replaced by 0/1 (at or above it), as
+    a model trained on 0/1 labels needs for its F1. A fitted pipeline
+    assembles its own features, so ``features=None`` passes the rows through
+    unchanged.
     """
     if label_col is not None and label_col not in df.columns:
         label_col = None
+    if label_col is not None and threshold is not None:
+        df = add_threshold_label(df, label_col, label_col, threshold)
     data = df if features is None else prepared(df, label_col, features)
     scored = score(model, data)
     metrics = weighted_f1(scored, label_col) if label_col else None
-    return JobResult(model, output_rows(scored, label_col), metrics)
+    return JobResult(model, output_rows(scored, label_col, with_features=with_features), metrics)
 
 
 def release(result: JobResult) -> None:
-    """Unpersist the input a job cached."""
-    if result.cached is not None:
-        result.cached.unpersist()
-        result.cached = None
+    """Unpersist what a job cached."""
+    while result.cached:
+        result.cached.pop().unpersist()
 
 
 # ---------------------------------------------------------------- file jobs
@@ -170,8 +231,8 @@ def train_and_score_job(
     kind: str = "gbt",
     binary: bool | None = None,
     overwrite: bool = True,
-    schema=None,
     features: Sequence[str] = FEATURES,
+    layout: Layout | None = None,
     **params,
 ) -> JobResult:
     """Train on a file, save the model, score the training rows, write CSV.
@@ -185,7 +246,8 @@ def train_and_score_job(
     written, so a refused save (``overwrite=False`` onto an existing model)
     cannot leave a run without output.
     """
-    df = read_delimited(spark, input_path, schema=schema)
+    refuse_overlap(spark, [input_path], [output_path, model_path])
+    df = read_grades(spark, input_path, features)
     if binary is None:
         binary = kind == "gbt"
     if binary:
@@ -193,40 +255,43 @@ def train_and_score_job(
         label, metric = BINARY_LABEL, "auc"
     else:
         label, metric = GRADE_COLUMN, "f1"
-    result = fit_and_score(df, kind, label, features, metric=metric, **params)
-    if metric == "f1":
-        # Scored once: F1 reads two narrow columns of the written rows
-        # instead of applying the model (100 trees per row) a second time.
-        result = _write_then_measure(spark, result, output_path)
-    else:
-        # The AUC needs the raw score, which the output does not carry; it
-        # was measured from the cached input before the write.
-        result.metrics = result.metrics.cache()
-        result.metrics.count()
-        write_csv(result.predictions, output_path)
-        result.predictions = spark.read.schema(result.predictions.schema).option(
-            "header", True).csv(output_path)
-    release(result)
+    result = fit_and_score(df, kind, label, features, metric=metric, layout=layout, **params)
+    try:
+        # F1 is read from two narrow columns of the written rows; the AUC's raw
+        # score is not among them, it was measured from the persisted rows.
+        result = _written(spark, result, output_path, measure=metric == "f1")
+    finally:
+        release(result)
     save_model(result.model, model_path, overwrite=overwrite)
     return result
 
 
+def refuse_overlap(spark: SparkSession, inputs: Sequence[str], outputs: Sequence[str]) -> None:
+    """Raise before anything is read if writing an output would delete an input."""
+    for a in inputs:
+        for b in outputs:
+            if paths_overlap(spark, a, b):
+                raise ValueError(f"refusing to write {b!r}: the job reads from {a!r}")
+
+
 def train_validate_job(
     spark: SparkSession,
     train_path: str,
     valid_path: str,
     model_path: str,
     kind: str = "lr",
-    schema=None,
     features: Sequence[str] = FEATURES,
+    layout: Layout | None = None,
     **params,
 ) -> JobResult:
     """Train on one file, weighted F1 on another, save with overwrite."""
+    refuse_overlap(spark, [train_path, valid_path], [model_path])
     result = train_validate(
-        read_delimited(spark, train_path, schema=schema),
-        read_delimited(spark, valid_path, schema=schema),
+        read_grades(spark, train_path, features),
+        read_grades(spark, valid_path, features),
         kind,
         features=features,
+        layout=layout,
         **params,
     )
     save_model(result.model, model_path, overwrite=True)
@@ -239,26 +304,40 @@ def score_job(
     model_path: str,
     output_path: str,
     kind: str = "lr",
-    schema=None,
     features: Sequence[str] = FEATURES,
+    binary: bool | None = None,
+    with_features: bool = True,
 ) -> JobResult:
     """Load a saved model through its class, score a file, write CSV.
 
+    With ``binary`` (the default for GBT, which knows only 0/1 labels) the
+    grade is replaced by its 0/1 label before it is compared and written.
+    ``with_features=False`` writes the short form without the vector's text.
     The weighted F1 (when the input has a label) is read from the written
     output, not recomputed: one pass scores the input, and the metric reads
     two narrow columns of a durable result instead of re-parsing the input.
     """
+    refuse_overlap(spark, [input_path, model_path], [output_path])
     model = load_model(model_path, kind)
-    df = read_delimited(spark, input_path, schema=schema)
-    result = score_with(model, df, features=None if kind == "pipeline" else features)
-    return _write_then_measure(spark, result, output_path)
+    df = read_grades(spark, input_path, features, label_required=False)
+    if binary is None:
+        binary = kind == "gbt"
+    result = score_with(
+        model,
+        df,
+        features=None if kind == "pipeline" else features,
+        threshold=GRADE_THRESHOLD if binary else None,
+        with_features=with_features,
+    )
+    return _written(spark, result, output_path)
 
 
-def _write_then_measure(spark: SparkSession, result: JobResult, output_path: str) -> JobResult:
+def _written(spark: SparkSession, result: JobResult, output_path: str, measure: bool = True) -> JobResult:
+    """Write the rows, return them read back; F1 from what was written."""
     write_csv(result.predictions, output_path)
     written = spark.read.schema(result.predictions.schema).option("header", True).csv(output_path)
     result.predictions = written
-    if result.metrics is not None:
+    if measure and result.metrics is not None:
         label = [c for c in written.columns if c not in ("prediction", "features_str")][0]
         result.metrics = weighted_f1(written, label)
     return result
@@ -266,26 +345,26 @@ def _write_then_measure(spark: SparkSession, result: JobResult, output_path: str
 
 def refit_and_score_job(
     spark: SparkSession,
-    input_path: str,
-    output_path: str,
+    input_path: str = DEFAULT_INPUT,
+    output_path: str = DEFAULT_OUTPUT,
     kind: str = "gbt",
-    schema=None,
     maxIter: int = 10,
     features: Sequence[str] = FEATURES,
+    layout: Layout | None = None,
     **params,
 ) -> JobResult:
     """Replace the grade by its 0/1 label, fit GBT on the file, score it,
     weighted F1, write CSV. Named apart from :func:`score_job` because it
     never loads a model."""
-    df = add_threshold_label(
-        read_delimited(spark, input_path, schema=schema), GRADE_COLUMN, GRADE_COLUMN
-    )
+    refuse_overlap(spark, [input_path], [output_path])
+    df = add_threshold_label(read_grades(spark, input_path, features), GRADE_COLUMN, GRADE_COLUMN)
     result = fit_and_score(
-        df, kind, GRADE_COLUMN, features, metric="f1", maxIter=maxIter, **params
+        df, kind, GRADE_COLUMN, features, metric="f1", layout=layout, maxIter=maxIter, **params
     )
-    result = _write_then_measure(spark, result, output_path)
-    release(result)
-    return result
+    try:
+        return _written(spark, result, output_path)
+    finally:
+        release(result)
 
 
 def sample_rows(result: JobResult, n: int = 5) -> DataFrame:
@@ -297,7 +376,7 @@ USAGE = """usage: python -m rowcast.plans.jobs <command> ...
   score    <input_csv> <model> <output_csv> [lr|rf|gbt|pipeline]   load a model, score, write
   train    <input_csv> <model> <output_csv> [gbt|rf]               fit (gbt: 0/1 label, rf: grade), score own rows, save
   validate <train_csv> <valid_csv> <model>  [lr|rf]                fit, F1 on the second file, save
-  refit    <input_csv> <output_csv>                                GBT on the 0/1 grade, score, write"""
+  refit    [<input_csv> <output_csv>]                              GBT on the 0/1 grade, score, write"""
 
 # command -> (job, number of required paths, default kind or None)
 COMMANDS = {
@@ -316,7 +395,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         return -1
     job, n_paths, kind = COMMANDS[args[0]]
     paths = args[1:]
-    if not (len(paths) == n_paths or (kind is not None and len(paths) == n_paths + 1)):
+    defaults = args[0] == "refit" and not paths
+    if not (defaults or len(paths) == n_paths or (kind is not None and len(paths) == n_paths + 1)):
         print(USAGE, file=sys.stderr)
         return -1
     own = spark is None

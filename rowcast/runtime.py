@@ -1,4 +1,4 @@
-"""Session-level helpers: the shared scratch folder and input parallelism.
+"""Session-level helpers: the shared scratch folder and a fixed row layout.
 
 Intermediate files (CSV round trips, saved models, lineage cuts) go to the
 folder the cluster names in ``spark.checkpoint.dir``. It is read from the
@@ -7,11 +7,13 @@ session; only when it is unset (local runs, tests) is a folder chosen here.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -23,16 +25,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     ``checkpointInterval`` iterations, but only once the context has a
     checkpoint directory. A configured ``spark.checkpoint.dir`` is
     registered by Spark itself at start-up; this only fills the gap when
-    the setting is absent in a local session (local runs, tests), with a
-    folder of its own. On a cluster a folder on the driver's disk is not
-    shared with the executors, so there the setting is required.
+    the setting is absent in a one-JVM local session (local runs, tests),
+    with a folder of its own. On a cluster a folder on the driver's disk is
+    not shared with the executors, so there the setting is required.
     The setting itself is a core config and cannot be changed at runtime.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         root = sc.getConf().get(CHECKPOINT_KEY, None)
         if root is None:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
                 raise RuntimeError(
                     f"{CHECKPOINT_KEY} is not set: on a cluster it must name shared "
                     "storage (HDFS, an object store) for lineage cuts and scratch files"
@@ -47,137 +49,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(
-    df: DataFrame,
-    min_partitions: int | None = None,
-    seed: int = 17,
-    bytes_per_partition: int = 512 * 1024,
-) -> DataFrame:
-    """Give a small input enough partitions to use the cores.
+@dataclass(frozen=True)
+class Layout:
+    """Where a learner's rows lie: by hash of ``keys`` in ``partitions`` parts.
 
-    A single small file arrives as one partition, and an iterative learner
-    would then run every pass on one core. Large inputs already have far
-    more splits than cores, so for them this is a no-op (no shuffle).
-
-    Without ``min_partitions`` the target is one partition per core, but
-    never partitions smaller than ``bytes_per_partition`` by the
-    optimizer's size estimate: on a wide cluster a 10 MB table becomes
-    about 20 partitions, not one per core, which would make every learner
-    pass schedule thousands of near-empty tasks.
-
-    Rows go to a seeded random partition: balanced even when many rows are
-    identical (a hash of the row would send all copies to one task), and,
-    unlike round-robin, without sorting every input partition first.
-    """
-    if min_partitions is not None:
-        target = min_partitions
-    else:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        target = min(cores, max(1, -(-_estimated_bytes(df) // bytes_per_partition)))
-    if target <= 1 or _has_exchange(df) or df.rdd.getNumPartitions() >= target:
-        return df
-    # The random double itself is the key: each row hashes independently.
-    # (A small set of salt values would collide in the hash and leave some
-    # partitions empty.)
-    return df.repartition(target, F.rand(seed))
-
-
-def balanced(
-    df: DataFrame, skew: float = 4.0, min_rows: int = 1_000_000, seed: int = 17
-) -> DataFrame:
-    """Spread rows evenly when one partition holds far more than its share.
-
-    A large input normally arrives in even splits, but an unsplittable file
-    (gzip) or one outsized source becomes a single partition however big it
-    is, and an iterative learner would wait on that task in every pass
-    (MLlib caches its training copy partition by partition, so the skew
-    stays). One aggregate counts the rows per partition. For parquet it is a
-    column-free scan; on a cached input it materialises the cache the fit
-    needs anyway. Only the largest count and the total reach the driver.
-    When the largest partition holds more than ``skew`` times the mean and
-    at least ``min_rows`` rows, rows go to a seeded random partition as in
-    :func:`spread`. Inputs that already shuffle are left alone.
-    """
-    if _has_exchange(df):
-        return df
-    n = df.rdd.getNumPartitions()
-    if n <= 1:
-        return df
-    row = (
-        df.select(F.spark_partition_id().alias("p"))
-        .groupBy("p")
-        .count()
-        .agg(F.max("count").alias("top"), F.sum("count").alias("rows"))
-        .first()
-    )
-    top, rows = int(row["top"] or 0), int(row["rows"] or 0)
-    if top < min_rows or top * n <= skew * rows:
-        return df
-    return df.repartition(n, F.rand(seed))
-
-
-def estimated_shuffle_width(df: DataFrame) -> tuple[int, int]:
-    """``(needed, configured)``: partitions of
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` that the optimizer's
-    size estimate of ``df`` calls for (0 when the size is unknown), and
-    ``spark.sql.shuffle.partitions``."""
-    spark = df.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    est = _estimated_bytes(df)
-    if est >= 2**62:  # unknown statistics are estimated as "infinite"
-        return 0, configured
-    return -(-est // _advisory_bytes(spark)), configured
-
-
-def _advisory_bytes(spark: SparkSession) -> int:
-    return max(1, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    )))
-
-
-def sized_for_cache(df: DataFrame, min_bytes_per_partition: int = 256 * 1024) -> DataFrame:
-    """``df`` with as many partitions as its estimated size needs, before a persist.
-
-    Adaptive execution merges small shuffle partitions when a result is
-    read, but not inside a cached plan
-    (``spark.sql.optimizer.canChangeCachedPlanOutputPartitioning`` is off by
-    default). A small cached aggregate would keep all
-    ``spark.sql.shuffle.partitions`` partitions, and every pass over it
-    would schedule that many near-empty tasks. ``coalesce`` merges them
-    without another shuffle to one partition per
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of the optimizer's
-    estimate. It keeps at least one per core while partitions stay above
-    ``min_bytes_per_partition``: estimates derived from compressed parquet
-    sizes run well below the cached size, and the passes over the cache
-    should still use every core. It never adds partitions, so a large
-    input keeps its partitioning, and so does a plan without a shuffle
-    (file splits are already sized by ``spark.sql.files.maxPartitionBytes``).
+    MLlib's tree learners draw their samples partition by partition and row by
+    row, so a forest is repeatable only over the same rows in the same places.
+    With a layout the places follow from the rows alone, not from the files,
+    the cores or the machine. ``keys`` defaults to all columns: only rows equal
+    in every column then share a partition for sure. Give a key that spreads
+    (an id) where few distinct rows make up the table.
     """
-    if not _has_exchange(df):
-        return df
-    spark = df.sparkSession
-    advisory = _advisory_bytes(spark)
-    est = _estimated_bytes(df)
-    cores = spark.sparkContext.defaultParallelism
-    by_size = -(-est // advisory)
-    by_cores = min(cores, -(-est // max(1, min_bytes_per_partition)))
-    target = max(1, by_size, by_cores)
-    if target >= 2**31 - 1:  # unknown statistics are estimated as "infinite"
-        return df
-    return df.coalesce(int(target))
-
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (planning only, no job)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    partitions: int
+    keys: Sequence[str] | None = None
 
 
-def _has_exchange(df: DataFrame) -> bool:
-    """Whether the physical plan already shuffles or broadcasts.
-
-    Such an input has shuffle-sized partitions. It must not be probed with
-    ``df.rdd``: under adaptive execution that runs every shuffle stage of
-    the plan just to report a partition count. The plan is inspected
-    without executing it.
-    """
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+def laid_out(df: DataFrame, layout: Layout | None) -> DataFrame:
+    """``df`` in its layout, sorted by all columns; as read without one."""
+    if layout is None:
+        return df
+    keys = list(layout.keys or df.columns)
+    return df.repartition(layout.partitions, *keys).sortWithinPartitions(*df.columns)

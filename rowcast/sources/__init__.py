@@ -1,6 +1 @@
-"""Sources and sinks: delimited files and MLlib model folders."""
-
-from rowcast.sources.delimited import read_delimited, write_csv
-from rowcast.sources.models import load_model, save_model
-
-__all__ = ["load_model", "read_delimited", "save_model", "write_csv"]
+"""Delimited files and model folders."""

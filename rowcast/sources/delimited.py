@@ -6,12 +6,10 @@ from the cluster's configuration, never from this code.
 
 from __future__ import annotations
 
-from urllib.parse import unquote, urlparse
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from rowcast.functions.names import clean_columns
+from rowcast.functions.names import clean_columns, clean_name
 
 # Fixed value of the reference jobs: inputs are semicolon separated.
 INPUT_SEPARATOR = ";"
@@ -29,15 +27,22 @@ def read_delimited(
     """Read a delimited file (or folder of files) with a header row.
 
     Without ``schema`` the column types are inferred, which costs one extra
-    pass over the input; at scale pass ``schema`` (or a ``sampling_ratio``
-    below 1, accepting that a rare malformed value may then go unseen).
+    pass over the input (a ``sampling_ratio`` below 1 shortens it, accepting
+    that a rare malformed value may then go unseen). With ``schema`` only the
+    header line is read first: its columns take the types of the schema's
+    fields of the same (cleaned) name, in the file's order, and columns the
+    schema lacks are text. A schema field the header lacks, a value that is
+    not of its type and a further file with another header all raise.
     Duplicate header names are suffixed by the reader (``a0``, ``a1``).
     Column names are cleaned with :func:`clean_columns` unless ``clean`` is
     false.
     """
     reader = spark.read.option("header", header).option("sep", sep)
     if schema is not None:
-        reader = reader.schema(schema)
+        if header:
+            schema = _in_header_order(reader.csv(path).columns, _parsed(spark, schema))
+            reader = reader.option("enforceSchema", False)
+        reader = reader.schema(schema).option("mode", "FAILFAST")
     else:
         reader = reader.option("inferSchema", True)
         if sampling_ratio is not None:
@@ -46,6 +51,20 @@ def read_delimited(
     return clean_columns(df) if clean else df
 
 
+def _parsed(spark: SparkSession, schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
+def _in_header_order(columns: list[str], schema: StructType) -> StructType:
+    """The header's columns with the types of the schema's fields of that name."""
+    types = {clean_name(f.name): f.dataType for f in schema.fields}
+    names = [clean_name(c) for c in columns]
+    if missing := [n for n in types if n not in names]:
+        raise ValueError(f"the header lacks the columns {missing}")
+    fields = [StructField(c, types.get(n, StringType())) for c, n in zip(columns, names)]
+    return StructType(fields)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -68,26 +87,33 @@ def write_csv(
 
 
 def reads_from(df: DataFrame, path: str) -> bool:
-    """Whether any input file of ``df`` lies at or below ``path``.
+    """Whether overwriting ``path`` would delete files ``df`` reads.
 
-    The file list is the one the planner already holds (no new listing);
-    checked only before an overwrite. A target that does not exist yet (a
-    fresh output folder, the usual case) cannot hold input files, so the
-    file list, which crosses to Python one path at a time and can hold
-    millions of paths at scale, is then not fetched at all.
+    Compares the root paths of the file relations in the analysed plan, where
+    a cached input still shows the files it came from; no file is listed.
     """
     spark = df.sparkSession
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    target = fs.makeQualified(hpath).toUri()
-    scheme, auth = target.getScheme() or "", target.getAuthority() or ""
-    root = target.getPath().rstrip("/")
-    for f in df.inputFiles():
-        u = urlparse(f)
-        p = unquote(u.path)
-        if u.scheme == scheme and u.netloc == auth and (p == root or p.startswith(root + "/")):
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() != "HadoopFsRelation":
+            continue
+        roots = relation.location().rootPaths()
+        if any(paths_overlap(spark, roots.apply(k).toString(), path) for k in range(roots.size())):
             return True
     return False
+
+
+def paths_overlap(spark: SparkSession, a: str, b: str) -> bool:
+    """Whether one path is the other or lies below it."""
+    full = []
+    for p in (a, b):
+        hpath = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        uri = fs.makeQualified(hpath).toUri()
+        full.append((uri.getScheme(), uri.getAuthority(), uri.getPath().rstrip("/") + "/"))
+    (s1, h1, p1), (s2, h2, p2) = full
+    return s1 == s2 and h1 == h2 and (p1.startswith(p2) or p2.startswith(p1))

@@ -1,5 +1 @@
-"""Structured Streaming: the score job over arriving files."""
-
-from rowcast.streaming.score_stream import score_rows, score_stream, scored_stream, write_stream
-
-__all__ = ["score_rows", "score_stream", "scored_stream", "write_stream"]
+"""The score job over arriving files."""

@@ -3,9 +3,9 @@
 Same computation as :func:`rowcast.plans.jobs.score_job`, run incrementally:
 each micro-batch of new files is cleaned, assembled, scored and appended to
 a CSV folder. Scoring is a per-row projection, so the query holds no state;
-its progress (which files are done) is kept in a checkpoint folder under the
-shared ``spark.checkpoint.dir``, so a restarted query resumes where it
-stopped and no file is scored twice.
+its progress (which files are done) is kept in a checkpoint folder that
+belongs to the output folder, so a restarted query resumes where it stopped:
+no file is scored twice and none is left out.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql.types import StructType
 from rowcast.functions.names import clean_columns
 from rowcast.plans.jobs import FEATURES, output_rows
 from rowcast.operators.features import assemble
-from rowcast.runtime import scratch_path
 from rowcast.sources.delimited import INPUT_SEPARATOR
 
 
@@ -39,7 +38,9 @@ def scored_stream(
     A stream cannot infer types, so ``schema`` is required. A fitted
     pipeline assembles its own features (pass ``features=None``).
     """
-    reader = spark.readStream.schema(schema).option("header", True).option("sep", sep)
+    # A file with other headers, or a value of another type, stops the query.
+    reader = spark.readStream.schema(schema).option("header", True).option("sep", sep).option(
+        "enforceSchema", False).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return score_rows(clean_columns(reader.csv(input_dir)), model, label_col, features)
@@ -83,7 +84,12 @@ def score_stream(
     checkpoint: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the query; with ``available_now`` it scores what is there and stops."""
+    """Start the query; with ``available_now`` it scores what is there and stops.
+
+    ``checkpoint`` defaults to ``_checkpoint`` inside the output folder, which
+    readers of the folder skip. An output folder keeps a log of the batches
+    written to it, so it must always be used with the same checkpoint.
+    """
     out = scored_stream(spark, input_dir, schema, model, label_col, features)
-    ckpt = checkpoint or scratch_path(spark, "score-stream")
+    ckpt = checkpoint or f"{output_dir.rstrip('/')}/_checkpoint"
     return write_stream(out, output_dir, ckpt, "csv", available_now)

@@ -32,14 +32,16 @@ def test_entry_smoke(spark):
     assert df.columns == ["f1"] and len(rows) == 1 and 0.0 <= rows[0].f1 <= 1.0
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
+# The training-data operators have tests of their own.
+OWN = [n for n in E.queries() if not n.startswith("op") and n != "pipeline"]
+
+
+def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) <= set(E.queries())
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"train_validate_f1", "train_self_score_auc", "embeddings_lr_f1",
-                         "job_validate_lr"}
+    assert set(OWN) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF).toPandas()
     want = con.execute(E.oracle_sql()[name]).df()
@@ -51,62 +53,57 @@ def test_query_matches_oracle(spark, con, name):
         assert ((x == y) | (x.isna() & y.isna())).all(), c
 
 
-@pytest.mark.parametrize(
-    "name", ["train_validate_f1", "train_self_score_auc", "embeddings_lr_f1", "job_validate_lr"])
-def test_rows_only_queries_run(spark, name):
-    rows = E.queries()[name](spark, SF).collect()
-    assert len(rows) == 1 and 0.0 <= rows[0][0] <= 1.0
-
-
-def test_train_validate_query_equals_plain_mllib(spark):
-    """Brute force for the rows-only query: the same fit with plain MLlib
-    calls on an unspread input, scored and measured by the evaluator."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+def _mllib_rows(spark):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.sql import functions as F
 
-    li = spark.read.parquet(f"{SF}/lineitem.parquet")
-    cut = F.col("l_shipdate") < F.lit(E.VALIDATION_START).cast("timestamp_ntz")
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").withColumn("returned", (F.col("l_returnflag") == "R").cast("int"))
     va = VectorAssembler(inputCols=E.FEATURES, outputCol="features")
-    model = LogisticRegression(labelCol=E.GRADE, maxIter=10).fit(va.transform(li.where(cut)))
-    want = MulticlassClassificationEvaluator(labelCol=E.GRADE, metricName="f1").evaluate(
-        model.transform(va.transform(li.where(~cut))))
-    got = E.queries()["train_validate_f1"](spark, SF).first()["f1"]
-    assert got == pytest.approx(want, abs=1e-6)
+    cut = F.col("l_shipdate") < F.lit(E.VALIDATION_START).cast("timestamp_ntz")
+    return li, va.transform(li.where(cut)), va.transform(li.where(~cut)), cut
 
 
-def test_embeddings_query_equals_plain_mllib(spark):
+def test_multinomial_train_validate_equals_plain_mllib(spark):
+    """The reference's settings on a grade that no model can learn: the same
+    fit with plain MLlib calls, measured by the evaluator."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.sql import functions as F
 
-    emb = spark.read.parquet(f"{SF}/embeddings.parquet").select(
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "label")
-    model = LogisticRegression(labelCol="label", maxIter=10).fit(emb)
-    want = MulticlassClassificationEvaluator(labelCol="label", metricName="f1").evaluate(
-        model.transform(emb))
-    got = E.queries()["embeddings_lr_f1"](spark, SF).first()["f1"]
-    assert 0.0 < got < 1.0
-    assert got == pytest.approx(want, abs=1e-6)
+    from rowcast.plans.jobs import train_validate
 
+    li, one, two, cut = _mllib_rows(spark)
+    model = LogisticRegression(labelCol=E.GRADE, maxIter=10).fit(one)
+    want = MulticlassClassificationEvaluator(labelCol=E.GRADE, metricName="f1").evaluate(model.transform(two))
+    got = train_validate(li.where(cut), li.where(~cut), "lr", E.GRADE, E.FEATURES).metrics.first()["f1"]
+    assert 0.0 < got < 1.0 and got == pytest.approx(want, abs=1e-6)
 
-def test_validate_job_query_equals_plain_mllib(spark):
-    """Brute force for the rows-only validation job: the same grade and
-    split straight from parquet, plain MLlib fit and evaluator."""
+
+def test_gbt_self_score_equals_plain_mllib(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    from rowcast.plans.jobs import fit_and_score, release
+
+    li, one, _, cut = _mllib_rows(spark)
+    model = GBTClassifier(labelCol="returned", maxIter=5, seed=42).fit(one)
+    want = BinaryClassificationEvaluator(labelCol="returned", numBins=0).evaluate(model.transform(one))
+    result = fit_and_score(li.where(cut), "gbt", "returned", E.FEATURES, metric="auc", maxIter=5)
+    release(result)
+    assert 0.5 < want < 1.0 and result.metrics.first()["auc"] == pytest.approx(want, abs=1e-9)
+
+
+def test_embeddings_fit_equals_plain_mllib(spark):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import array_to_vector
     from pyspark.sql import functions as F
 
-    li = spark.read.parquet(f"{SF}/lineitem.parquet").withColumn(
-        "quality", (F.floor(F.col("l_quantity") / 12.5) + 4).cast("int"))
-    cut = F.col("l_shipdate") < F.lit(E.VALIDATION_START).cast("timestamp_ntz")
-    va = VectorAssembler(inputCols=E.FEATURES, outputCol="features")
-    model = LogisticRegression(labelCol="quality", maxIter=10).fit(va.transform(li.where(cut)))
-    want = MulticlassClassificationEvaluator(labelCol="quality", metricName="f1").evaluate(
-        model.transform(va.transform(li.where(~cut))))
-    got = E.queries()["job_validate_lr"](spark, SF).first()["f1"]
-    assert 0.0 < got <= 1.0
-    assert got == pytest.approx(want, abs=1e-6)
+    from rowcast.operators.learners import fit, make_learner, score
+    from rowcast.operators.metrics import weighted_f1
+
+    emb = spark.read.parquet(f"{SF}/embeddings.parquet").select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "label")
+    want = MulticlassClassificationEvaluator(labelCol="label", metricName="f1").evaluate(
+        LogisticRegression(labelCol="label", maxIter=10).fit(emb).transform(emb))
+    got = weighted_f1(score(fit(make_learner("lr", "label"), emb), emb), "label").first()["f1"]
+    assert 0.0 < got < 1.0 and got == pytest.approx(want, abs=1e-6)

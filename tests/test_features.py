@@ -67,3 +67,15 @@ def test_scaler_saves_and_loads(spark, scratch):
     assert back.getMeans() == model.getMeans() and back.getStds() == model.getStds()
     a = model.transform(df).select("alcohol_z").collect()
     assert back.transform(df).select("alcohol_z").collect() == a
+
+
+def test_scaler_refuses_nan_and_keeps_a_constant_column_at_zero(spark):
+    import pytest
+
+    from rowcast.operators.features import PopulationScaler
+
+    rows = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (float("nan"), 5.0)], "a double, b double")
+    with pytest.raises(ValueError, match="'a'"):
+        PopulationScaler(inputCols=["a", "b"], outputCols=["x", "y"]).fit(rows)
+    model = PopulationScaler(inputCols=["b"], outputCols=["y"]).fit(rows)
+    assert [r.y for r in model.transform(rows).collect()] == [0.0, 0.0, 0.0]

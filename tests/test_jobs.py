@@ -34,7 +34,7 @@ def test_train_and_score_binary_gbt(spark, scratch, wine_csv):
     assert os.path.isdir(model)
     release(res)
     # A second run refuses to replace the saved model, after writing its output.
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="already exists"):
         train_and_score_job(spark, wine_csv, model, f"{scratch}/out2", kind="gbt",
                             maxIter=2, overwrite=False)
 
@@ -112,23 +112,67 @@ def test_binned_auc_reproduces_the_evaluator_default(spark, scratch, wine_csv):
     assert 0.5 < b <= 1.0 and abs(a - b) < 1e-2
 
 
-def test_fit_and_score_caches_a_shuffled_input_in_few_partitions(spark):
-    """An input that comes from an aggregate, under the default 200 shuffle
-    partitions: the cached training copy is sized by its estimate."""
-    from pyspark.sql import functions as F
-
-    from rowcast.plans.jobs import fit_and_score
-
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
-    try:
-        base = spark.range(20_000).select(
-            (F.col("id") % 500).alias("k"), (F.col("id") % 7).cast("double").alias("v"))
-        agg = base.groupBy("k").agg(F.avg("v").alias("a"), F.max("v").alias("b"))
-        agg = agg.withColumn("y", (F.col("k") >= 250).cast("int"))
-        res = fit_and_score(agg, "lr", "y", ["a", "b", "k"], maxIter=5)
-        assert res.cached.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
-        assert 0.0 <= res.metrics.first()["f1"] <= 1.0
-        release(res)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+def _persistent(spark):
+    return spark.sparkContext._jsc.getPersistentRDDs().size()
+
+
+def test_jobs_refuse_their_own_input_and_leave_it_intact(spark, wine_csv, scratch):
+    with pytest.raises(ValueError, match="refusing"):
+        refit_and_score_job(spark, wine_csv, wine_csv, maxIter=2)
+    with pytest.raises(ValueError, match="refusing"):
+        train_and_score_job(spark, wine_csv, f"{scratch}/m", wine_csv, kind="rf", numTrees=2)
+    with pytest.raises(ValueError, match="refusing"):
+        train_and_score_job(spark, f"file:{wine_csv}", wine_csv, f"{scratch}/o", kind="rf", numTrees=2)
+    train_validate_job(spark, wine_csv, wine_csv, f"{scratch}/lr")
+    with pytest.raises(ValueError, match="refusing"):
+        score_job(spark, wine_csv, f"{scratch}/lr", wine_csv)
+    with pytest.raises(ValueError, match="refusing"):
+        score_job(spark, wine_csv, f"{scratch}/lr", f"{scratch}/lr")
+    assert spark.read.option("header", True).option("sep", ";").csv(wine_csv).count() == 300
+
+
+def test_a_saved_gbt_is_measured_against_the_label_it_learned(spark, scratch, wine_csv):
+    trained = train_and_score_job(spark, wine_csv, f"{scratch}/g", f"{scratch}/o", kind="gbt", maxIter=5)
+    from rowcast.operators.metrics import weighted_f1
+
+    want = weighted_f1(trained.predictions, "binary_quality").first()["f1"]
+    res = score_job(spark, wine_csv, f"{scratch}/g", f"{scratch}/s", kind="gbt")
+    assert want > 0.5 and res.metrics.first()["f1"] == pytest.approx(want, abs=1e-12)
+    assert {r[GRADE] for r in res.predictions.select(GRADE).distinct().collect()} == {0, 1}
+    raw = score_job(spark, wine_csv, f"{scratch}/g", f"{scratch}/raw", kind="gbt", binary=False)
+    assert raw.metrics.first()["f1"] == 0.0  # 0/1 predictions against grades of 3 to 8
+    short = score_job(spark, wine_csv, f"{scratch}/g", f"{scratch}/short", kind="gbt", with_features=False)
+    assert _written(spark, f"{scratch}/short").columns == ["prediction", GRADE]
+    assert short.metrics.first()["f1"] == pytest.approx(want, abs=1e-12)
+
+
+def test_command_line_scores_a_gbt_by_its_label(spark, scratch, wine_csv, capsys):
+    assert main(["train", wine_csv, f"{scratch}/g", f"{scratch}/t"], spark=spark) == 0
+    capsys.readouterr()
+    assert main(["score", wine_csv, f"{scratch}/g", f"{scratch}/s", "gbt"], spark=spark) == 0
+    assert float(capsys.readouterr().out.split("f1: ")[1]) > 0.9
+
+
+def test_validation_by_area_on_a_held_out_table(spark, wine_csv):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    from rowcast.functions.labels import add_threshold_label
+    from rowcast.plans.jobs import prepared, read_grades, train_validate
+
+    rows = add_threshold_label(read_grades(spark, wine_csv), GRADE, "y")
+    one, two = rows.where("alcohol < 11"), rows.where("alcohol >= 11")
+    res = train_validate(one, two, "gbt", "y", metric="auc", maxIter=3)
+    scored = res.model.transform(prepared(two, "y"))
+    want = BinaryClassificationEvaluator(labelCol="y", numBins=0).evaluate(scored)
+    assert res.metrics.first()["auc"] == pytest.approx(want, abs=1e-9)
+
+
+def test_nothing_stays_persisted(spark, scratch, wine_csv):
+    before = _persistent(spark)
+    train_and_score_job(spark, wine_csv, f"{scratch}/m", f"{scratch}/o", kind="gbt", maxIter=2)
+    train_and_score_job(spark, wine_csv, f"{scratch}/m2", f"{scratch}/o2", kind="rf", numTrees=2)
+    train_validate_job(spark, wine_csv, wine_csv, f"{scratch}/lr")
+    refit_and_score_job(spark, wine_csv, f"{scratch}/r", maxIter=2)
+    with pytest.raises(Exception, match="(?i)label"):  # GBT takes only 0/1 labels
+        train_and_score_job(spark, wine_csv, f"{scratch}/m3", f"{scratch}/o3", kind="gbt", binary=False)
+    assert _persistent(spark) == before

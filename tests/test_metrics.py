@@ -109,32 +109,32 @@ def test_auc_on_gbt_scores_with_many_ties_matches_the_exact_evaluator(spark):
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     res = fit_and_score(add_threshold_label(li, "l_linenumber", "y", 4), "gbt", "y", feats,
                         metric="auc", maxIter=5)
-    scored = res.model.transform(res.cached)
+    scored = res.model.transform(res.cached[0])
     assert scored.select(F.countDistinct("rawPrediction")).first()[0] < scored.count()
     want = auc_roc_evaluator(scored, "y", num_bins=0)
     assert res.metrics.first()["auc"] == pytest.approx(want, abs=1e-12)
     release(res)
 
 
-def test_auc_warns_when_the_score_shuffle_is_too_narrow(spark, caplog):
-    """Adaptive execution cannot split partitions: a score aggregate far
-    wider than the session's shuffle width is reported, and still exact."""
-    import logging
-
+def test_area_counts_pairs_beyond_a_bigint(spark):
+    """Per-range totals as of 2e10 rows: P * N is far above 2**63."""
     from pyspark.sql import functions as F
 
-    # spark.range has real size statistics (local rows would be "unknown").
-    df = spark.range(2000).select((F.col("id") % 2).cast("int").alias("y"),
-                                  F.col("id").cast("double").alias("s"))
-    quiet = spark.createDataFrame([(1, 0.5), (0, 0.2)], "y int, s double")
-    with caplog.at_level(logging.WARNING, logger="rowcast.operators.metrics"):
-        auc_roc(quiet, "y", "s").first()
-    assert "shuffle.partitions" not in caplog.text  # default settings, unknown size: no advice
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16b")
-    try:
-        with caplog.at_level(logging.WARNING, logger="rowcast.operators.metrics"):
-            auc = auc_roc(df, "y", "s").first()["auc"]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert "spark.sql.shuffle.partitions" in caplog.text
-    assert auc == pytest.approx(_exact_evaluator_auc(df), abs=1e-12)
+    from rowcast.operators.metrics import _area_parts
+
+    many = 10_000_000_000
+    rows = spark.createDataFrame([(many, 0, many), (0, many, 0)], "p long, n long, n_lower long")
+    r = rows.agg(*_area_parts(F.col("n_lower"))).first()
+    assert r.u == float(many) * float(many) and (r.p, r.n) == (many, many)
+
+
+def test_null_scores_and_predictions_raise(spark):
+    import pytest
+
+    from rowcast.operators.metrics import auc_roc, weighted_f1
+
+    rows = spark.createDataFrame([(1, 0.5), (0, None), (1, 0.2)], "y int, prediction double")
+    with pytest.raises(Exception, match="score column 'prediction' holds NULL"):
+        auc_roc(rows, "y", "prediction").collect()
+    with pytest.raises(Exception, match="prediction column 'prediction' holds NULL"):
+        weighted_f1(rows, "y").collect()

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from rowcast.operators.features import PopulationScaler
 from rowcast.operators.metrics import weighted_f1
 from rowcast.plans.jobs import prepared
-from rowcast.runtime import spread
 
 LINEITEM = "/root/testdata/sf0.001/lineitem.parquet"
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -51,23 +50,17 @@ def test_scaler_transform_is_codegen_arithmetic_without_shuffle(spark):
     assert "* Project" in formatted  # "*" marks whole-stage codegen
 
 
-def test_spread_is_a_no_op_for_inputs_with_enough_splits(spark):
-    many = spark.range(0, 10_000, numPartitions=32)
-    assert spread(many, 8) is many
-
-
 def test_score_job_reads_only_features_and_grade_from_the_csv(spark, scratch):
     """The job path over a ';' file with one column too many: the CSV scan
     is pruned to the features and the grade, rendering stays in the JVM (no
-    Python UDF), and the only shuffle is the spread of the small input."""
+    Python UDF), and nothing is shuffled."""
     from conftest import GRADE, wine_rows, write_delimited_text
     from rowcast.operators.learners import fit, make_learner
-    from rowcast.plans.jobs import FEATURES as WINE, prepared, score_with
-    from rowcast.sources.delimited import read_delimited
+    from rowcast.plans.jobs import FEATURES as WINE, prepared, read_grades, score_with
 
     rows = [(*r, "batch-1") for r in wine_rows(200, seed=4)]
     path = write_delimited_text(f"{scratch}/wide.csv", [*WINE, GRADE, "batch"], rows)
-    df = read_delimited(spark, path)
+    df = read_grades(spark, path)
     model = fit(make_learner("lr", GRADE, maxIter=5), prepared(df, GRADE, WINE))
     out = score_with(model, df, GRADE, WINE).predictions
     plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
@@ -76,4 +69,31 @@ def test_score_job_reads_only_features_and_grade_from_the_csv(spark, scratch):
     for c in [*WINE, GRADE]:
         assert c in read
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
-    assert _plan(out).count("Exchange") <= 1
+    assert "Exchange" not in _plan(out)
+
+
+def test_known_types_need_no_inference_pass(spark, scratch):
+    """Reading by header takes one small job for the header line; inference
+    takes another over the whole file."""
+    from conftest import GRADE, wine_rows, write_delimited_text
+    from rowcast.plans.jobs import FEATURES as WINE, read_grades
+    from rowcast.sources.delimited import read_delimited
+
+    path = write_delimited_text(f"{scratch}/w.csv", [*WINE, GRADE], wine_rows(50))
+    sc = spark.sparkContext
+
+    def jobs(name, read):
+        sc.setJobGroup(name, name)
+        try:
+            read()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(sc.statusTracker().getJobIdsForGroup(name))
+
+    assert jobs("typed", lambda: read_grades(spark, path)) == 1
+    assert jobs("inferred", lambda: read_delimited(spark, path)) == 2
+
+
+def test_training_and_validation_inputs_are_not_shuffled(spark):
+    li = spark.read.parquet(LINEITEM)
+    assert "Exchange" not in _plan(prepared(li, "l_linenumber", FEATURES))

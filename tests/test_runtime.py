@@ -1,10 +1,15 @@
-"""Session helpers: shared scratch folder, spreading small inputs."""
+"""Session helpers: shared scratch folder, fixed row layouts."""
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
+import pytest
 from pyspark.sql import functions as F
 
-from rowcast.runtime import checkpoint_root, scratch_path, spread
+from rowcast.runtime import Layout, checkpoint_root, laid_out, scratch_path
 
 
 def test_checkpoint_root_reads_the_session_setting(spark):
@@ -49,47 +54,17 @@ def test_checkpoint_root_when_the_setting_is_absent():
     assert "UNSET-OK" in out.stdout, out.stderr[-2000:]
 
 
-def test_spread_splits_a_single_partition(spark):
-    df = spark.range(1000).coalesce(1)
-    out = spread(df, 4)
-    assert out.rdd.getNumPartitions() == 4
-    assert sorted(r.id for r in out.collect()) == list(range(1000))
-
-
-def test_spread_leaves_shuffled_input_alone_without_running_it(spark):
-    df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
-    sc = spark.sparkContext
-    before = set(sc.statusTracker().getJobIdsForGroup())
-    assert spread(df, 64) is df
-    assert set(sc.statusTracker().getJobIdsForGroup()) == before
-
-
-def test_spread_balances_identical_rows(spark):
-    df = spark.createDataFrame([(1,)] * 4000, "x int").coalesce(1)
-    sizes = spread(df, 8).rdd.glom().map(len).collect()
-    assert len(sizes) == 8 and min(sizes) > 300
-
-
-def test_spread_sizes_the_target_by_the_estimate(spark):
-    """Without an explicit target, tiny inputs are not cut into one
-    partition per core; a 1 MB floor gives at most 2 partitions here."""
-    tiny = spark.range(1000).coalesce(1)  # estimated at 8 kB
-    assert spread(tiny) is tiny
-    rows = spark.range(200_000).coalesce(1)  # estimated at 1.6 MB
-    assert spread(rows, bytes_per_partition=1 << 20).rdd.getNumPartitions() == 2
-
-
-def test_checkpoint_root_requires_the_setting_on_a_cluster():
+@pytest.mark.parametrize("master_url", ["yarn", "spark://h:7077", "local-cluster[2,1,1024]"])
+def test_checkpoint_root_requires_the_setting_on_a_cluster(master_url):
     """On a cluster a driver-local folder is not shared with the executors,
     so an unset spark.checkpoint.dir is an error there, not a fallback."""
-    import pytest
 
     class _Conf:
         def get(self, key, default=None):
             return default
 
     class _Context:
-        master = "yarn"
+        master = master_url
         registered = None
 
         def getCheckpointDir(self):
@@ -109,69 +84,51 @@ def test_checkpoint_root_requires_the_setting_on_a_cluster():
     assert _Session.sparkContext.registered is None
 
 
-def test_sized_for_cache_merges_small_shuffle_output_and_keeps_large(spark):
-    """A small aggregate planned with 200 shuffle partitions is cached in a
-    handful; a partition count the estimate justifies is left alone."""
-    from rowcast.runtime import sized_for_cache
-
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
-    try:
-        small = spark.range(10_000).groupBy((F.col("id") % 1000).alias("k")).count()
-        sized = sized_for_cache(small).persist()
-        try:
-            n = sized.rdd.getNumPartitions()
-            assert 1 <= n <= spark.sparkContext.defaultParallelism
-            assert sized.count() == 1000
-        finally:
-            sized.unpersist()
-        # Estimate far above 200 x the advisory size: coalesce cannot add partitions.
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1b")
-        big = spark.range(100_000).groupBy((F.col("id") % 50_000).alias("k")).count()
-        logical = sized_for_cache(big)._jdf.queryExecution().logical().toString()
-        target = int(logical.split("Repartition ")[1].split(",")[0])
-        assert target >= 200  # a coalesce to 200+ leaves 200 shuffle partitions as they are
-        scan = spark.range(100_000, numPartitions=50)
-        assert sized_for_cache(scan) is scan  # no shuffle: file-like splits are kept
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-
-
-def test_balanced_spreads_a_hot_partition_and_leaves_even_input(spark):
-    from rowcast.runtime import balanced
-
-    # One source partition with 300,000 rows beside seven small ones.
-    hot = spark.range(0, 300_000, numPartitions=1).union(
-        spark.range(300_000, 330_000, numPartitions=7))
-    out = balanced(hot, min_rows=1000)
-    sizes = out.rdd.glom().map(len).collect()
-    assert len(sizes) == 8 and sum(sizes) == 330_000
-    assert max(sizes) < 2 * min(sizes)
-    assert sorted(out.agg(F.sum("id")).first()) == [sum(range(330_000))]
-    even = spark.range(0, 40_000, numPartitions=4)
-    assert balanced(even, min_rows=1000) is even
-    assert balanced(hot) is hot  # below the row floor: not worth a shuffle
-
-
-def test_fit_respreads_a_hot_partition(spark):
-    from pyspark.ml.feature import VectorAssembler
-
-    from rowcast.operators.learners import fit, make_learner
-
-    rows = spark.range(0, 60_000, numPartitions=1).union(
-        spark.range(60_000, 66_000, numPartitions=5))
-    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(
-        rows.select((F.col("id") % 97).cast("double").alias("x"),
-                    ((F.col("id") % 97) >= 50).cast("int").alias("y")))
-    import rowcast.operators.learners as L
-    seen = {}
-    real = L.balanced
-    L.balanced = lambda df: seen.setdefault("out", real(df, min_rows=1000))
-    try:
-        model = fit(make_learner("gbt", "y", maxIter=3, maxBins=128), data)
-    finally:
-        L.balanced = real
-    assert seen["out"] is not data
-    pred = model.transform(data).where("prediction != y").count()
-    assert pred == 0
+def _places(df):
+    return df.rdd.glom().collect()
+
+
+def test_a_layout_places_rows_by_their_values_alone(spark):
+    rows = spark.range(0, 500, numPartitions=3).select((F.col("id") % 97).alias("k"), "id")
+    layout = Layout(5, ["k"])
+    one = _places(laid_out(rows, layout))
+    assert one == _places(laid_out(rows.repartition(11), layout)) and len(one) == 5
+    assert laid_out(rows, None) is rows
+    assert sum(map(len, _places(laid_out(rows, Layout(4))))) == 500
+
+
+TREES_SCRIPT = r"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession, functions as F
+spark = (SparkSession.builder.master(sys.argv[1]).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+from rowcast.operators.learners import fit, make_learner
+from rowcast.plans.jobs import prepared
+from rowcast.runtime import Layout
+li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select(
+    "l_quantity", "l_extendedprice", "l_tax", (F.col("l_returnflag") == "R").cast("int").alias("y"))
+shapes = [li.coalesce(1), li.repartition(7, F.rand(3))]
+for kind, params in (("rf", dict(numTrees=8)), ("gbt", dict(maxIter=4))):
+    trees = []
+    for rows in shapes:
+        data = prepared(rows, "y", ["l_quantity", "l_extendedprice", "l_tax"], layout=Layout(4)).persist()
+        trees.append(fit(make_learner(kind, "y", **params), data).toDebugString.split("\n", 1)[1])
+    assert trees[0] == trees[1], kind
+    import hashlib
+    print("TREES", kind, hashlib.sha256(trees[0].encode()).hexdigest())
+"""
+
+
+def test_a_layout_gives_equal_trees_from_any_input_layout_and_core_count():
+    """The same forest and boosted trees from two partitionings, on two and on
+    eight cores (separate processes)."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    seen = []
+    for master in ("local[2]", "local[8]"):
+        out = subprocess.run([sys.executable, "-c", TREES_SCRIPT.format(repo=repo), master],
+                             capture_output=True, text=True, timeout=300)
+        lines = [x for x in out.stdout.split("\n") if x.startswith("TREES")]
+        assert len(lines) == 2, out.stderr[-2000:]
+        seen.append(lines)
+    assert seen[0] == seen[1]

@@ -36,6 +36,35 @@ def test_scan_with_given_schema_skips_inference(spark, scratch):
     assert df.count() == 10
 
 
+SCHEMA = ", ".join(f"{c} double" for c in FEATURES) + f", {GRADE} int"
+
+
+def test_schema_is_matched_by_header_name(spark, scratch):
+    order = [GRADE, *reversed(FEATURES)]
+    rows = [tuple(reversed(r)) for r in wine_rows(10)]
+    path = write_delimited_text(f"{scratch}/r.csv", [f'"{c.replace("_", " ")}"' for c in order], rows)
+    df = read_delimited(spark, path, schema=SCHEMA)
+    assert df.columns == order and dict(df.dtypes) == EXPECTED_TYPES
+    assert sorted(map(tuple, df.select(*FEATURES, GRADE).collect())) == sorted(wine_rows(10))
+    more = write_delimited_text(f"{scratch}/m.csv", ["note", *FEATURES, GRADE], [("x", *r) for r in wine_rows(3)])
+    assert dict(read_delimited(spark, more, schema=SCHEMA).dtypes) == EXPECTED_TYPES | {"note": "string"}
+
+
+def test_schema_mismatches_raise(spark, scratch):
+    rows = wine_rows(5)
+    rows[2] = (*rows[2][:-1], "five")
+    path = write_delimited_text(f"{scratch}/bad.csv", [*FEATURES, GRADE], rows)
+    with pytest.raises(Exception, match="MALFORMED|five"):
+        read_delimited(spark, path, schema=SCHEMA).collect()
+    short = write_delimited_text(f"{scratch}/short.csv", FEATURES, [r[:-1] for r in wine_rows(3)])
+    with pytest.raises(ValueError, match="lacks"):
+        read_delimited(spark, short, schema=SCHEMA)
+    write_delimited_text(f"{scratch}/two/a.csv", ["a", "b"], [(1, 2)])
+    write_delimited_text(f"{scratch}/two/b.csv", ["b", "a"], [(1, 2)])
+    with pytest.raises(Exception, match="header"):
+        read_delimited(spark, f"{scratch}/two", schema="a int, b int").collect()
+
+
 def test_duplicate_headers_are_suffixed_by_the_reader(spark, scratch):
     path = write_delimited_text(f"{scratch}/d.csv", ["a", "a", "b"], [(1, 2, 3)])
     assert read_delimited(spark, path).columns == ["a0", "a1", "b"]
@@ -77,14 +106,14 @@ def test_model_save_load_overwrite_and_typed_load(spark, scratch):
     model = fit(make_learner("lr", GRADE), df)
     path = f"{scratch}/lr"
     save_model(model, path, overwrite=False)
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="already exists"):
         save_model(model, path, overwrite=False)
     save_model(model, path, overwrite=True)
     loaded = load_model(path, "lr")
     a = model.transform(df).select("prediction").collect()
     b = loaded.transform(df).select("prediction").collect()
     assert a == b
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="(?i)class"):
         load_model(path, "rf")
 
 
@@ -108,13 +137,23 @@ def test_overwrite_onto_the_path_being_read_is_refused_and_keeps_the_input(spark
     assert spark.read.option("header", True).csv(f"{scratch}/self-copy").count() == 5
 
 
-def test_overwrite_check_skips_a_target_that_does_not_exist(spark, scratch):
+def test_overwrite_check_sees_through_a_cache_and_both_ways(spark, scratch):
     from rowcast.sources.delimited import reads_from
 
     src = f"{scratch}/src"
     spark.range(3).write.parquet(src)
     df = spark.read.parquet(src)
-    assert reads_from(df, src)
+    assert reads_from(df, src) and reads_from(df, f"file:{src}/")
     assert reads_from(df, scratch)  # a folder above the input
+    assert reads_from(df, f"{src}/below")  # a folder inside it
     assert not reads_from(df, f"{scratch}/not-there")
     assert not reads_from(df, f"{src}-sibling")
+    cached = df.where("id > 0").cache()
+    try:
+        assert cached.count() == 2
+        assert reads_from(cached.join(spark.range(2), "id"), src)
+        with pytest.raises(ValueError, match="reads from"):
+            write_csv(cached, src)
+    finally:
+        cached.unpersist()
+    assert spark.read.parquet(src).count() == 3

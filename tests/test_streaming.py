@@ -6,7 +6,7 @@ from conftest import GRADE, wine_rows, write_delimited_text
 from rowcast.operators.features import assemble
 from rowcast.operators.learners import build_pipeline, fit, make_learner
 from rowcast.plans.jobs import FEATURES, score_with
-from rowcast.streaming import score_stream
+from rowcast.streaming.score_stream import score_stream
 
 SCHEMA = ", ".join(f"{c} double" for c in FEATURES) + f", {GRADE} int"
 
@@ -44,3 +44,17 @@ def test_stream_with_a_fitted_pipeline_and_no_label(spark, scratch):
     q.awaitTermination(120)
     out = spark.read.option("header", True).csv(f"{scratch}/out")
     assert out.columns == ["prediction", "features_str"] and out.count() == 25
+
+
+def test_restart_with_the_default_checkpoint_scores_only_new_files(spark, scratch):
+    train = spark.createDataFrame(wine_rows(200, seed=15), [*FEATURES, GRADE])
+    model = fit(make_learner("lr", GRADE), assemble(train, FEATURES))
+    schema = "prediction double, quality int, features_str string"
+    for i in range(2):
+        write_delimited_text(f"{scratch}/in/{i}.csv", [*FEATURES, GRADE], wine_rows(10, seed=20 + i))
+        score_stream(spark, f"{scratch}/in", SCHEMA, model, f"{scratch}/out", label_col=GRADE).awaitTermination(120)
+        rows = spark.read.option("header", True).schema(schema).csv(f"{scratch}/out")
+        assert rows.count() == 10 * (i + 1)
+    both = wine_rows(10, seed=20) + wine_rows(10, seed=21)
+    batch = score_with(model, spark.createDataFrame(both, [*FEATURES, GRADE])).predictions
+    assert sorted(rows.collect()) == sorted(batch.collect())
