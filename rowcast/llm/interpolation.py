@@ -26,11 +26,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -41,6 +40,7 @@ BUCKET_BYTES = 16 << 20  # text per bucket of the hash space: what a task holds
 END = b"\n"  # the end token; no word holds a line end
 MAX_BUCKET = 40  # context buckets: unseen, 1, 2-3, 4-7, ...
 GRID = 16  # steps per factor of two in the table of held-out events
+CELLS = 1 << 12  # more steps than any share of a 64-bit count takes
 
 
 # ------------------------------------------------------------ packed columns
@@ -95,58 +95,51 @@ def _pair_bits(n_tokens: int) -> int:
 # -------------------------------------------------------------------- chunks
 
 
-def chunks(docs: DataFrame, folds: int, held_out: int, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
-    """``chunk, ids, body``: whole documents as local word numbers. ``body``
+def _chunks(chunk_tokens: int):
+    """``chunk, (ids, body)``: whole documents as local word numbers. ``body``
     packs per document its fold and length, the tokens, and the hash of every
     local word; the end token is word 0."""
-    id_type = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[Row]) -> Iterator[tuple[str, tuple[list, bytes]]]:
         part, serial = TaskContext.get().partitionId(), 0
-        ids: list = []
+        ids, folds_in, lengths, tokens = [], [], [], []
         words: dict[bytes, int] = {END: 0}
-        folds_in, lengths, tokens = [], [], []
 
-        def close(kind: pa.DataType) -> pa.RecordBatch:
+        def close() -> tuple[str, tuple[list, bytes]]:
             hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
             body = _pack(np.array(folds_in), np.array(lengths), np.array(tokens), hashes)
-            made = pa.record_batch(
-                [pa.array([f"{part}-{serial}"]), pa.array([ids], pa.list_(kind)), pa.array([body], pa.binary())],
-                names=["chunk", "ids", "body"],
-            )
-            words.clear(), ids.clear(), folds_in.clear(), lengths.clear(), tokens.clear()
+            made = f"{part}-{serial}", (list(ids), body)
+            for held in (words, ids, folds_in, lengths, tokens):
+                held.clear()
             words[END] = 0
             return made
 
-        kind = None
-        for batch in batches:
-            kind = batch.column(0).type
-            rows = zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist())
-            for doc_id, text, f in rows:
-                number = words.setdefault
-                own = [number(w, len(words)) for w in text.as_py().encode("utf-8", "surrogatepass").lower().split()]
-                ids.append(doc_id)
-                folds_in.append(f)
-                lengths.append(len(own) + 1)
-                tokens.extend(own)
-                tokens.append(0)
-                if len(tokens) >= chunk_tokens:
-                    yield close(kind)
-                    serial += 1
+        for doc_id, text, f in rows:
+            number = words.setdefault
+            own = [number(w, len(words)) for w in text.encode("utf-8", "surrogatepass").lower().split()]
+            ids.append(doc_id)
+            folds_in.append(f)
+            lengths.append(len(own) + 1)
+            tokens.extend(own)
+            tokens.append(0)
+            if len(tokens) >= chunk_tokens:
+                yield close()
+                serial += 1
         if ids:
-            yield close(kind)
+            yield close()
 
-    folded = id_and_text(docs, id_col, text_col).select("doc_id", "text", fold(F.col("doc_id"), folds).alias("f"))
-    return folded.mapInArrow(run, f"chunk string, ids array<{id_type}>, body binary")
+    return run
 
 
-def _by_bucket(hashes: np.ndarray, n_buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Order by bucket and hash, and ``(bucket, from, to)`` of each bucket's run."""
-    bucket = (hashes % np.uint64(n_buckets)).astype(np.int64)
-    order = np.lexsort((hashes, bucket))
-    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+def _by_bucket(hashes: np.ndarray, bits: int, n_buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Order by hash, and ``(bucket, from, to)`` of each bucket's run; buckets
+    are equal ranges of hashes of so many bits."""
+    order = np.argsort(hashes)
+    top = hashes[order] >> np.uint64(max(0, bits - 32)) << np.uint64(max(0, 32 - bits))
+    bucket = (top * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
     last = np.append(first[1:], len(order))
-    return order, [(int(bucket[order[a]]), int(a), int(b)) for a, b in zip(first, last)]
+    return order, [(int(bucket[a]), int(a), int(b)) for a, b in zip(first, last)]
 
 
 def _read_chunk(body: bytes) -> tuple[np.ndarray, ...]:
@@ -167,7 +160,7 @@ def _word_messages(n_buckets: int, held_out: int, tune: int):
             f = np.repeat(folds_in, lengths)
             learn = np.bincount(tokens[f != held_out], minlength=len(hashes))
             kept = np.bincount(tokens[(f != held_out) & (f != tune)], minlength=len(hashes))
-            order, runs = _by_bucket(hashes, n_buckets)
+            order, runs = _by_bucket(hashes, 64, n_buckets)
             for bucket, a, b in runs:
                 o = order[a:b]
                 yield bucket, (chunk, _pack(_steps(hashes[o]), learn[o], kept[o]))
@@ -212,14 +205,14 @@ class _Chunk:
 
     def __init__(self, body: bytes, answers: list[tuple[str, int, bytes]], n_buckets: int, bits: int):
         self.folds, self.lengths, self.tokens, self.hashes = _read_chunk(body)
-        order, _ = _by_bucket(self.hashes, n_buckets)
+        order, _ = _by_bucket(self.hashes, 64, n_buckets)
         self.learn, self.kept = _placed(order, answers, "words")
         # A document's first word follows the end token of the one before.
         code = np.concatenate([[0], self.tokens[:-1]]) * len(self.hashes) + self.tokens
         pairs, self.which = np.unique(code, return_inverse=True)
         self.context, self.word = pairs // len(self.hashes), pairs % len(self.hashes)
         pair_hash = _pair_hash(self.hashes[self.context], self.hashes[self.word], bits)
-        self.pair_hash, (self.order, self.runs) = pair_hash, _by_bucket(pair_hash, n_buckets)
+        self.pair_hash, (self.order, self.runs) = pair_hash, _by_bucket(pair_hash, bits, n_buckets)
 
     def count(self, where: np.ndarray) -> np.ndarray:
         """How often each pair occurs in the documents that ``where`` marks."""
@@ -278,39 +271,43 @@ def _events(n_buckets: int, tune: int, bits: int, totals: dict[str, int]):
     n_kept = max(1, totals["n_kept"])
     none = np.iinfo(np.int32).min
 
-    def run(rows: Iterator[tuple]) -> Iterator[tuple[tuple[int, int, int], float]]:
-        table: dict[tuple[int, int, int], float] = {}
+    def run(rows: Iterator[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        table = np.zeros(0, np.int64), np.zeros(0)
         for _, (bodies, answers) in rows:
             for _, body in bodies:
                 c = _Chunk(body, list(answers), n_buckets, bits)
                 pair, _ = _placed(c.order, answers, "pairs")
                 held = np.flatnonzero(n := c.count(c.folds == tune))
                 context, word, pair = c.kept[c.context[held]], c.kept[c.word[held]], pair[held]
-                two = np.where(pair > 0, np.round(GRID * np.log2(np.maximum(pair, 1) / np.maximum(context, 1))), none)
-                one = np.where(word > 0, np.round(GRID * np.log2(np.maximum(word, 1) / n_kept)), none)
-                keys = np.stack([_context_bucket(context), two, one], axis=1).astype(np.int64)
-                cells, where = np.unique(keys, axis=0, return_inverse=True)
-                sums = np.bincount(where.reshape(-1), weights=n[held], minlength=len(cells))
-                for cell, k in zip(map(tuple, cells.tolist()), sums.tolist()):
-                    table[cell] = table.get(cell, 0.0) + k
-        yield from table.items()
+                cells = (_context_bucket(context) * CELLS + _cell(pair, context)) * CELLS + _cell(word, n_kept)
+                table = _add_events(table, (cells, n[held].astype(float)))
+        yield table
 
     return run
 
 
-def learn_weights(events: list[tuple[tuple[int, int, int], float]], n_words: int, rounds: int = 60) -> np.ndarray:
+def _cell(count: np.ndarray, of: np.ndarray | int) -> np.ndarray:
+    """Grid step of a relative frequency: 1 for all of it, more for less, 0 for none."""
+    share = np.maximum(count, 1) / np.maximum(of, 1)
+    return np.where(count > 0, 1 + np.round(-GRID * np.log2(share)), 0).astype(np.int64)
+
+
+def _add_events(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+    cells, where = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    return cells, np.bincount(where, weights=np.concatenate([a[1], b[1]]), minlength=len(cells))
+
+
+def learn_weights(events: tuple[np.ndarray, np.ndarray], n_words: int, rounds: int = 60) -> np.ndarray:
     """``weights[bucket] = (bigram, unigram, uniform)`` by expectation-
     maximisation. Each bucket is given one unseen word more than it held, so no
     token is impossible. A bucket without events takes the weights of all
     events; an unseen context has no bigram estimate."""
     weights = np.tile([0.6, 0.3, 0.1], (MAX_BUCKET + 1, 1))
-    if events:
-        keys = np.array([k for k, _ in events], dtype=float)
-        n = np.array([c for _, c in events])
-        none = float(np.iinfo(np.int32).min)
+    cells, n = events
+    if len(cells):
+        bucket, two, one = cells // CELLS**2, cells // CELLS % CELLS, cells % CELLS
         estimate = np.stack(
-            [np.where(keys[:, i] == none, 0.0, np.exp2(np.where(keys[:, i] == none, 0.0, keys[:, i] / GRID))) for i in (1, 2)]
-            + [np.full(len(n), 1.0 / (n_words + 1))],
+            [np.where(c > 0, np.exp2((1 - c) / GRID), 0.0) for c in (two, one)] + [np.full(len(n), 1.0 / (n_words + 1))],
             axis=1,
         )
 
@@ -325,7 +322,7 @@ def learn_weights(events: list[tuple[tuple[int, int, int], float]], n_words: int
 
         weights[:] = fit(np.arange(len(n)))
         for b in range(MAX_BUCKET + 1):
-            rows = np.flatnonzero(keys[:, 0] == b)
+            rows = np.flatnonzero(bucket == b)
             if len(rows):
                 weights[b] = fit(rows)
     unseen = weights[0, 1:].sum()
@@ -374,8 +371,8 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, tune: int = 0, chu
     spark = docs.sparkSession
     text_bytes = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // BUCKET_BYTES))
-    made = chunks(docs, folds, held_out, id_col, text_col, chunk_tokens)
-    by_chunk = made.rdd.map(lambda r: (r["chunk"], (r["ids"], bytes(r["body"])))).partitionBy(n_buckets)
+    rows = id_and_text(docs, id_col, text_col).withColumn("f", fold(F.col("doc_id"), folds))
+    by_chunk = rows.rdd.mapPartitions(_chunks(chunk_tokens)).partitionBy(n_buckets)
     counted = (
         by_chunk.mapPartitions(_word_messages(n_buckets, held_out, tune))
         .partitionBy(n_buckets)
@@ -397,12 +394,11 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, tune: int = 0, chu
         .partitionBy(n_buckets)
     )
     told = by_chunk.cogroup(answers, n_buckets)
-    events = told.mapPartitions(_events(n_buckets, tune, bits, totals)).reduceByKey(lambda a, b: a + b, 8).collect()
-    weights = spark.sparkContext.broadcast(learn_weights(sorted(events), totals["n_words"]))
+    events = told.mapPartitions(_events(n_buckets, tune, bits, totals)).treeReduce(_add_events)
+    weights = spark.sparkContext.broadcast(learn_weights(events, totals["n_words"]))
     scored = told.mapPartitions(_scores(n_buckets, bits, totals, weights))
 
-    id_type = made.schema["ids"].dataType.elementType
-    schema = StructType().add("doc_id", id_type).add("n_tokens", "long").add("n_known", "long").add(
+    schema = StructType().add("doc_id", rows.schema["doc_id"].dataType).add("n_tokens", "long").add("n_known", "long").add(
         "base_score", "double").add("score", "double")
     return spark.createDataFrame(scored, schema).select(
         "doc_id",

@@ -54,11 +54,10 @@ def test_scores_equal_brute_force(spark, chunk):
         if fold(i) == 0:
             ts = tokens(t)
             for a, b in zip(["\n", *ts], ts):
-                none = np.iinfo(np.int32).min
-                q2 = round(lm.GRID * math.log2(k2[a, b] / k1[a])) if k2[a, b] else none
-                q1 = round(lm.GRID * math.log2(k1[b] / n_kept)) if k1[b] else none
-                events[int(lm._context_bucket(np.array([k1[a]]))[0]), q2, q1] += 1
-    weights = lm.learn_weights(sorted((k, float(c)) for k, c in events.items()), v)
+                two_ = 1 + round(-lm.GRID * math.log2(k2[a, b] / k1[a])) if k2[a, b] else 0
+                one_ = 1 + round(-lm.GRID * math.log2(k1[b] / n_kept)) if k1[b] else 0
+                events[(int(lm._context_bucket(np.array([k1[a]]))[0]) * lm.CELLS + two_) * lm.CELLS + one_] += 1
+    weights = lm.learn_weights((np.array(sorted(events)), np.array([float(events[k]) for k in sorted(events)])), v)
     assert np.allclose(weights.sum(axis=1), 1)
     want = []
     for i, t in docs:
@@ -79,7 +78,8 @@ def test_scores_equal_brute_force(spark, chunk):
 
 
 def test_probabilities_sum_to_one():
-    weights = lm.learn_weights([((3, -16, -64), 5.0), ((1, np.iinfo(np.int32).min, -32), 2.0)], 10)
+    cells = np.array([(3 * lm.CELLS + 17) * lm.CELLS + 65, 1 * lm.CELLS**2 + 33])
+    weights = lm.learn_weights((cells, np.array([5.0, 2.0])), 10)
     assert np.allclose(weights.sum(axis=1), 1) and (weights[:, 2] > 0).all() and weights[0, 0] == 0
 
 
