@@ -44,7 +44,7 @@ from rowcast.operators.features import PopulationScaler, assemble  # noqa: E402
 from rowcast.operators.learners import fit, make_learner  # noqa: E402
 from rowcast.operators.metrics import auc_roc, weighted_f1  # noqa: E402
 from rowcast.plans.jobs import fit_and_score, release, score_with, train_validate  # noqa: E402
-from rowcast.runtime import Layout, laid_out, scratch_path  # noqa: E402
+from rowcast.runtime import Layout, clear_scratch, laid_out, scratch_path  # noqa: E402
 from rowcast.sources.delimited import read_delimited, write_csv  # noqa: E402
 from rowcast.sources.models import load_model, save_model  # noqa: E402
 
@@ -188,6 +188,7 @@ def main() -> None:
             "gbt": "maxIter=10 (gbt100_fit: 100), maxDepth=5, maxBins=32", "auc": "exact (numBins=0 equivalent)",
         },
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -44,9 +44,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_scratch: dict[str, list[str]] = {}  # by application: the paths handed out and not yet deleted
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared checkpoint folder.
+
+    What is written there stays until :func:`discard` or :func:`clear_scratch`:
+    results are read lazily, so only the caller knows when they are done with.
+    """
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one scratch path; anything else is refused."""
+    ours = _scratch.get(spark.sparkContext.applicationId, [])
+    if path not in ours:
+        raise ValueError(f"not a scratch path of this session: {path!r}")
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+    ours.remove(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch path of this session, once its results are used."""
+    for path in list(_scratch.get(spark.sparkContext.applicationId, [])):
+        discard(spark, path)
 
 
 @dataclass(frozen=True)

@@ -30,6 +30,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         # Tests set their own shared folder; on a cluster it is given.
         .config("spark.checkpoint.dir", f"{SCRATCH}/checkpoints")
+        # A second file system, which only Spark's readers and writers reach.
+        .config("spark.hadoop.fs.viewfs.mounttable.store.link./data", f"file://{SCRATCH}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

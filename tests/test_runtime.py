@@ -9,7 +9,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from rowcast.runtime import Layout, checkpoint_root, laid_out, scratch_path
+from rowcast.runtime import Layout, checkpoint_root, clear_scratch, discard, laid_out, scratch_path
 
 
 def test_checkpoint_root_reads_the_session_setting(spark):
@@ -84,6 +84,21 @@ def test_checkpoint_root_requires_the_setting_on_a_cluster(master_url):
     assert _Session.sparkContext.registered is None
 
 
+def test_scratch_is_deleted_on_request_only_and_nothing_else_is(spark, scratch):
+    one, two = scratch_path(spark, "a"), scratch_path(spark, "b")
+    for path in (one, two, f"{scratch}/own"):
+        spark.range(3).write.parquet(path)
+    discard(spark, one)
+    assert spark.read.parquet(two).count() == 3
+    with pytest.raises(ValueError, match="not a scratch path"):
+        discard(spark, f"{scratch}/own")
+    clear_scratch(spark)
+    assert spark.read.parquet(f"{scratch}/own").count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(two)
+    clear_scratch(spark)
+
+
 def _places(df):
     return df.rdd.glom().collect()
 

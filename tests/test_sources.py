@@ -157,3 +157,20 @@ def test_overwrite_check_sees_through_a_cache_and_both_ways(spark, scratch):
     finally:
         cached.unpersist()
     assert spark.read.parquet(src).count() == 3
+
+
+def test_other_file_systems_are_read_and_written(spark, scratch):
+    """Everything goes through the Hadoop path's own file system."""
+    import os
+
+    from conftest import SCRATCH
+    from rowcast.plans.jobs import score_job, train_validate_job
+
+    write_delimited_text(f"{scratch}/t.csv", [*FEATURES, GRADE], wine_rows(60))
+    store = f"viewfs://store/data/{os.path.relpath(scratch, SCRATCH)}"
+    assert read_delimited(spark, f"{store}/t.csv").count() == 60
+    train_validate_job(spark, f"{store}/t.csv", f"{store}/t.csv", f"{store}/lr")
+    score_job(spark, f"{store}/t.csv", f"{store}/lr", f"{store}/out")
+    assert spark.read.option("header", True).csv(f"{scratch}/out").count() == 60
+    with pytest.raises(ValueError, match="refusing"):
+        score_job(spark, f"{store}/t.csv", f"{store}/lr", f"{store}/t.csv")
