@@ -39,7 +39,7 @@ CHUNK_TOKENS = 1 << 19
 BUCKET_BYTES = 16 << 20  # text per bucket of the hash space: what a task holds at a time
 END = b"\n"  # the end token; no word holds a line end
 MAX_BUCKET = 40  # context buckets: unseen, 1, 2-3, 4-7, ...
-GRID = 16  # steps per factor of two in the table of held-out events
+GRID = 8  # steps per factor of two in the table of held-out events
 CELLS = 1 << 12  # more steps than any share of a 64-bit count takes
 
 
