@@ -124,5 +124,50 @@ SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
 FROM m"""
 
 
+def _values(rows: list[tuple]) -> str:
+    quoted = lambda v: str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return "VALUES " + ", ".join(f"({', '.join(map(quoted, r))})" for r in rows)
+
+
+def _op4_sql(k: int = license_scan.K, slack: int = 2, least: float = 0.8) -> str:
+    templates = [(i, label, text) for i, (label, text) in enumerate(license_scan.TEMPLATES)]
+    phrases = [(p, label, len(p.split(" "))) for p, label in license_scan.BASE_PHRASES.items()]
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT r, unnest(range(0, len(w))) AS p, w FROM d),
+f AS (SELECT s.r, s.p, x.label
+      FROM s, ({_values(phrases)}) x(phrase, label, n)
+      WHERE array_to_string(list_slice(w, p + 1, p + n), ' ') = phrase),
+b AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word,
+             list_distinct(list(label)) AS base FROM f GROUP BY r),
+t AS (SELECT id, label, {_WORDS.format("text")} AS w FROM ({_values(templates)}) v(id, label, text)),
+g AS (SELECT id, label, len(w) AS t_words, len(w) - {k - 1} AS t_runs, q,
+             array_to_string(list_slice(w, q + 1, q + {k}), ' ') AS run
+      FROM (SELECT *, unnest(range(0, len(w) - {k - 1})) AS q FROM t)),
+h AS (SELECT r, p, array_to_string(list_slice(w, p + 1, p + {k}), ' ') AS run FROM s WHERE p + {k} <= len(w)),
+v AS (SELECT r, id, label, t_words, t_runs, p - q AS diagonal, min(p) AS low, max(p) AS high, list(q) AS q
+      FROM h JOIN g USING (run) GROUP BY ALL),
+m AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o > {slack}
+                       OR low > lag(high) OVER o + {k + slack} OR high + {k + slack} < lag(low) OVER o
+                     THEN 1 ELSE 0 END AS new
+      FROM v WINDOW o AS (PARTITION BY r, id ORDER BY diagonal)),
+j AS (SELECT r, id, label, t_words, t_runs, part, min(low) AS a, max(high) + {k} AS z,
+             CAST(len(list_distinct(flatten(list(q)))) AS DOUBLE) / t_runs AS coverage
+      FROM (SELECT *, sum(new) OVER (PARTITION BY r, id ORDER BY diagonal) AS part FROM m)
+      GROUP BY r, id, label, t_words, t_runs, part),
+y AS (SELECT *, max(z) OVER (PARTITION BY r ORDER BY a, z, id, part
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+      FROM j WHERE coverage >= {least} AND abs(z - a - t_words) <= t_words * (1 - {least}::DOUBLE) + {slack}),
+u AS (SELECT *, sum(CASE WHEN a < reached THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY a, z, id, part) AS place
+      FROM y),
+c AS (SELECT r, list_distinct(list(label)) AS found, max(coverage) AS best
+      FROM (SELECT *, max(coverage) OVER (PARTITION BY r, place) AS top FROM u) WHERE coverage = top GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(found, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN c USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": OP2_SQL, "op6_warc": OP6_SQL}
+    return {"op2_benchmark_decontamination": OP2_SQL, "op4_license_scans": _op4_sql(), "op6_warc": OP6_SQL}
