@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import rowcast
-from rowcast.runtime import scratch_path
+from rowcast.runtime import discard, scratch_path
 
 # A-Z become a-z; every other ASCII byte that is neither a digit
 # nor a letter separates words; bytes of 128 and above belong to words.
@@ -29,10 +29,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor rereads files instead of replaying the
     plan, and the planner sees the true size of what follows.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Rounds(df.sparkSession, name).put(df)
+
+
+class Rounds:
+    """A table that an iteration writes anew each round; only the last is kept."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """Write ``df``, which may read the round before, then delete that."""
+        path = scratch_path(self.spark, self.name)
+        df.write.parquet(path)
+        if self.path:
+            discard(self.spark, self.path)
+        self.path = path
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def ship(spark: SparkSession) -> None:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import id_and_text, stored
+from rowcast.llm.common import Rounds, id_and_text, stored
 
 N_BYTES = 8
 SEED = 42
@@ -224,10 +224,12 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node of each connected component of ``a, b``.
 
     Alternating large and small stars; nodes without a link are not listed.
-    Each round is written to the shared folder, so lineage stays short.
+    Each round is written to the shared folder and replaces the one before, so
+    lineage stays short.
     """
     big, small = F.greatest("a", "b"), F.least("a", "b")
-    now = stored(edges.where("a <> b").select(big.alias("u"), small.alias("v")).distinct(), "components")
+    rounds = Rounds(edges.sparkSession, "components")
+    now = rounds.put(edges.where("a <> b").select(big.alias("u"), small.alias("v")).distinct())
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -240,7 +242,7 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(lowest.select("u", F.col("m").alias("v")))
         )
-        now = stored(star.distinct(), "components")
+        now = rounds.put(star.distinct())
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1000000007)).first()
         if tuple(seen) == mark:
             break

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import ship, stored
+from rowcast.llm.common import Rounds, ship, stored
 from rowcast.runtime import scratch_path
 
 # Fixed values of the format: version line, line end, end of a record, base32 digits.
@@ -243,18 +243,19 @@ def chain(found: DataFrame) -> DataFrame:
     entries = rows.select("file", "at", "leave").join(
         targets.unionByName(rows.where("at = 0").select("file", "at")).distinct(), ["file", "at"], "left_semi"
     )
-    jump = stored(entries.select("file", "at", F.col("leave").alias("to")).where("to is not null"), "warc-jump")
-    reached = stored(entries.where("at = 0").select("file", "at"), "warc-reached")
+    jumps, found_at = Rounds(rows.sparkSession, "warc-jump"), Rounds(rows.sparkSession, "warc-reached")
+    jump = jumps.put(entries.select("file", "at", F.col("leave").alias("to")).where("to is not null"))
+    reached = found_at.put(entries.where("at = 0").select("file", "at"))
     n = reached.count()
     while True:
         step = reached.join(jump, ["file", "at"]).select("file", F.col("to").alias("at"))
-        reached = stored(reached.unionByName(step).distinct(), "warc-reached")
+        reached = found_at.put(reached.unionByName(step).distinct())
         more = reached.count()
         if more == n:
             break
         n = more
         far = jump.select("file", F.col("at").alias("to"), F.col("to").alias("end"))
-        jump = stored(jump.join(far, ["file", "to"]).select("file", "at", F.col("end").alias("to")), "warc-jump")
+        jump = jumps.put(jump.join(far, ["file", "to"]).select("file", "at", F.col("end").alias("to")))
 
     def follow(cands: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
         """The path through one split from its reached entry."""
