@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import encoder, id_and_text, tokenizer_path
+from rowcast.llm.common import encoder, id_and_text, stored, tokenizer_path
 
 BLOCK = 4096
 
@@ -54,8 +54,9 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
     ``quantile`` (share of documents of at most ``L`` tokens).
 
     Sums run inside blocks of lengths; only block totals meet in one window.
+    The histogram is written down first, as both read it.
     """
-    rows = hist.withColumns(
+    rows = stored(hist, "token-histogram").withColumns(
         {"tokens": F.col("n_tokens") * F.col("n_docs"), "block": F.floor(F.col("n_tokens") / BLOCK)}
     )
     totals = rows.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
