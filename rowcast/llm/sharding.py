@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import id_and_text, stored
+from rowcast.llm.common import stored
 
 HEADER_BYTES = 8
 GROUPS_PER_BUCKET = 20_000
@@ -30,7 +30,7 @@ ROWS_PER_SLICE = 20_000
 def sized_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, digest`` of every row. A null text is an
     empty one (size 8, crc 0) and shares its group."""
-    rows = id_and_text(docs, id_col, text_col)
+    rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     return rows.select(
         "doc_id",
         (F.octet_length("text") + F.lit(HEADER_BYTES)).cast("long").alias("size"),
