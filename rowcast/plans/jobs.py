@@ -52,8 +52,8 @@ FEATURES = [
     "alcohol",
 ]
 
-# Where the refit job reads (fixed value) and writes when nothing is said.
-DEFAULT_INPUT, DEFAULT_OUTPUT = "/app/TestDataset.csv", "predictions"
+# Where the refit job reads and writes when nothing is said.
+DEFAULT_INPUT, DEFAULT_OUTPUT = "input.csv", "predictions"
 
 
 def grade_schema(features: Sequence[str] = FEATURES, label_col: str = GRADE_COLUMN) -> StructType:
