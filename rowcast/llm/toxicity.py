@@ -203,11 +203,12 @@ def _token_models(counts: DataFrame, max_tokens: int) -> list[Model]:
     """For each part the model of all other parts, then the model of all."""
     sums = np.array([float(x or 0) for x in counts.agg(*[F.sum(c) for c in CLASSES]).first()]).reshape(2, PARTS)
     clean, toxic = (sum(F.col(c) for c in CLASSES[i : i + PARTS]) for i in (0, PARTS))
-    # Ranked by the plain z-score; the rows kept are bounded by max_tokens.
+    # Ranked by the plain z-score; the rows kept are bounded by max_tokens. A
+    # token less sure than CAUTION over all parts would get no score anyway.
     prior = PRIOR * (toxic + clean)
     odds = F.log((toxic + prior) / max(sums[1].sum(), 1.0)) - F.log((clean + prior) / max(sums[0].sum(), 1.0))
     z = F.abs(odds) / F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
-    top = counts.where(toxic + clean >= MIN_DOCS).withColumn("z", z).orderBy(F.desc("z"), "token").limit(max_tokens).collect()
+    top = counts.where(toxic + clean >= MIN_DOCS).withColumn("z", z).where(F.col("z") >= CAUTION).orderBy(F.desc("z"), "token").limit(max_tokens).collect()
     names = [bytes(r["token"]) for r in top]
     table = np.array([[r[c] for c in CLASSES] for r in top], dtype=float).reshape(-1, 2, PARTS)
     models = []
