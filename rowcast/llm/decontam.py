@@ -126,6 +126,14 @@ def _scan(blanked: list[bytes], blocks: list[tuple[str, Broadcast]]) -> list[tup
     return out
 
 
+def _slices(column: pa.Array, blocks: list[tuple[str, Broadcast]]) -> Iterator[list[str]]:
+    """The texts (null: empty) of a batch, a few at a time. With several
+    automata they come all at once, so that each is built once a batch."""
+    step = 64 if len(blocks) == 1 else max(1, len(column))
+    for at in range(0, len(column), step):
+        yield [t or "" for t in column.slice(at, step).to_pylist()]
+
+
 def _spans(text: str, blank: bytes, mask: np.ndarray) -> list[dict]:
     """Runs of hit words as character offsets of the original text."""
     starts, ends = word_bounds(blank)
@@ -153,13 +161,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_hit, items, spans = [], [], [], []
-            texts = batch.column(1).to_pylist()
-            blanked = [word_bytes(t) for t in texts]
-            for text, blank, (n, mask, found) in zip(texts, blanked, _scan(blanked, blocks)):
-                n_words.append(n)
-                n_hit.append(int(mask.sum()))
-                items.append(sorted(found))
-                spans.append(_spans(text, blank, mask) if n_hit[-1] else [])
+            for texts in _slices(batch.column(1), blocks):
+                blanked = [word_bytes(t) for t in texts]
+                for text, blank, (n, mask, found) in zip(texts, blanked, _scan(blanked, blocks)):
+                    n_words.append(n)
+                    n_hit.append(int(mask.sum()))
+                    items.append(sorted(found))
+                    spans.append(_spans(text, blank, mask) if n_hit[-1] else [])
             yield pa.record_batch(
                 [
                     batch.column(0),
@@ -190,8 +198,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byt
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blanked = [word_bytes(t or "") for t in batch.column(at).to_pylist()]
-            keep = [not mask.any() for _, mask, _ in _scan(blanked, blocks)]
+            keep = []
+            for texts in _slices(batch.column(at), blocks):
+                keep += [not mask.any() for _, mask, _ in _scan([word_bytes(t) for t in texts], blocks)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

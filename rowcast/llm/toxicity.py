@@ -41,7 +41,7 @@ CAUTION = 1.645  # standard errors by which a log-odds is drawn towards zero
 LEAST = 1.5  # log-odds left after that below which a token counts as neutral
 PARTS = 4  # parts of the labelled documents, each scored by a model of the others
 DRIFT = 0.75  # what every word costs
-MEMO = 300_000  # words whose scores a task remembers at a time
+MEMO = 60_000  # words whose scores or counts a task remembers at a time
 MAX_EVIDENCE = 60.0
 
 
@@ -152,8 +152,8 @@ def _token_counts(labelled: DataFrame) -> DataFrame:
             return made
 
         for batch in batches:
-            for text, toxic, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = word_bytes(text).split()
+            for text, toxic, part in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2))):
+                words = word_bytes(text.as_py()).split()
                 at = PARTS * (toxic > 0) + part
                 known = set()
                 for i, word in enumerate(words):
@@ -220,9 +220,8 @@ def _token_models(counts: DataFrame, max_tokens: int) -> list[Model]:
     return models
 
 
-def _score_texts(texts: list[str], scores: _Scores) -> Iterator[np.ndarray]:
-    for text in texts:
-        yield np.array([scores[w] for w in word_bytes(text).split()], dtype=float)
+def _walk(text: str, scores: _Scores) -> np.ndarray:
+    return np.array([scores[w] for w in word_bytes(text).split()], dtype=float)
 
 
 def _tally(labelled: DataFrame, models: Broadcast, what) -> list[tuple[str, int, int]]:
@@ -234,9 +233,8 @@ def _tally(labelled: DataFrame, models: Broadcast, what) -> list[tuple[str, int,
         memo = [_Scores(m.tokens) for m in made[:PARTS]]
         counts: dict[tuple[str, int], int] = defaultdict(int)
         for batch in batches:
-            for text, toxic, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                walk = next(_score_texts([text], memo[part]))
-                for key, n in what(walk, toxic, made[part]):
+            for text, toxic, part in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2))):
+                for key, n in what(_walk(text.as_py(), memo[part]), toxic, made[part]):
                     counts[key] += n
         keys = list(counts)
         yield pa.record_batch(
@@ -361,7 +359,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         fitted = shared.value
         memo = _Scores(fitted.tokens)
         for batch in batches:
-            rated = [_probability(w, fitted) for w in _score_texts(batch.column(1).to_pylist(), memo)]
+            rated = [_probability(_walk(t.as_py(), memo), fitted) for t in batch.column(1)]
             found = [[{"start": a, "end": b, "score": s, "e_value": e} for a, b, s, e in f] for _, f in rated]
             yield pa.record_batch(
                 [batch.column(0), pa.array([p for p, _ in rated], pa.float64()), pa.array(found, pa.list_(passage))],
@@ -383,8 +381,7 @@ def clean(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "te
         fitted = shared.value
         memo = _Scores(fitted.tokens)
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            keep = [_probability(w, fitted)[0] < least for w in _score_texts(texts, memo)]
+            keep = [_probability(_walk(t.as_py() or "", memo), fitted)[0] < least for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
