@@ -27,13 +27,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowcast.llm.common import fold, id_and_text, ship, stored, word_bytes
 
 MAX_LABELLED = 200_000  # labelled documents the model is fitted on, at most about
-MAX_TOKENS = 100_000  # tokens the model keeps: those with the most significant log-odds
 MIN_DOCS = 4  # labelled documents a token must occur in
 STEM = 5  # characters of a stem
 PRIOR = 0.05  # Dirichlet prior mass, as a share of all counts
@@ -187,37 +186,32 @@ def _token_counts(labelled: DataFrame) -> DataFrame:
     return summed.select("token", *[witnesses(c).alias(c) for c in CLASSES])
 
 
-def _log_odds(toxic: np.ndarray, clean: np.ndarray, all_toxic: float, all_clean: float) -> np.ndarray:
+def _log_odds(toxic: Column, clean: Column, all_toxic: float, all_clean: float) -> Column:
     """Cautious log-odds: drawn towards zero by CAUTION standard errors."""
     mass = PRIOR * (all_toxic + all_clean)
     # The prior of a token that this part lacks is its smallest count's.
-    prior = PRIOR * np.maximum(toxic + clean, 1.0)
+    prior = PRIOR * F.greatest(toxic + clean, F.lit(1.0))
     t, c = toxic + prior, clean + prior
-    odds = np.log(t / np.maximum(all_toxic + mass - t, 1e-9)) - np.log(c / np.maximum(all_clean + mass - c, 1e-9))
-    error = np.sqrt(1 / t + 1 / c)
-    sure = np.maximum(0.0, np.abs(odds) - CAUTION * error)
-    return np.where(sure >= LEAST, np.sign(odds) * sure, 0.0)
+    least = F.lit(1e-9)
+    odds = F.log(t / F.greatest(all_toxic + mass - t, least)) - F.log(c / F.greatest(all_clean + mass - c, least))
+    sure = F.abs(odds) - CAUTION * F.sqrt(1 / t + 1 / c)
+    return F.when(sure >= LEAST, F.signum(odds) * sure).otherwise(0.0)
 
 
-def _token_models(counts: DataFrame, max_tokens: int) -> list[Model]:
-    """For each part the model of all other parts, then the model of all."""
+def _token_models(counts: DataFrame) -> list[Model]:
+    """For each part the model of all other parts, then the model of all.
+
+    Every token with a score in one of them reaches the driver, no other.
+    """
     sums = np.array([float(x or 0) for x in counts.agg(*[F.sum(c) for c in CLASSES]).first()]).reshape(2, PARTS)
-    clean, toxic = (sum(F.col(c) for c in CLASSES[i : i + PARTS]) for i in (0, PARTS))
-    # Ranked by the plain z-score; the rows kept are bounded by max_tokens. A
-    # token less sure than CAUTION over all parts would get no score anyway.
-    prior = PRIOR * (toxic + clean)
-    odds = F.log((toxic + prior) / max(sums[1].sum(), 1.0)) - F.log((clean + prior) / max(sums[0].sum(), 1.0))
-    z = F.abs(odds) / F.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
-    top = counts.where(toxic + clean >= MIN_DOCS).withColumn("z", z).where(F.col("z") >= CAUTION).orderBy(F.desc("z"), "token").limit(max_tokens).collect()
-    names = [bytes(r["token"]) for r in top]
-    table = np.array([[r[c] for c in CLASSES] for r in top], dtype=float).reshape(-1, 2, PARTS)
-    models = []
+    scores = []
     for left_out in [*range(PARTS), None]:
         used = [p for p in range(PARTS) if p != left_out]
-        c, t = table[:, 0, used].sum(axis=1), table[:, 1, used].sum(axis=1)
-        scores = _log_odds(t, c, sums[1, used].sum(), sums[0, used].sum())
-        models.append(Model({n: float(v) for n, v in zip(names, scores) if v}))
-    return models
+        c, t = (sum(F.col(CLASSES[i + p]) for p in used) for i in (0, PARTS))
+        scores.append(_log_odds(t, c, float(sums[1, used].sum()), float(sums[0, used].sum())).alias(f"s{len(scores)}"))
+    rated = counts.where(sum(F.col(c) for c in CLASSES) >= MIN_DOCS).select("token", *scores)
+    kept = rated.where(" or ".join(f"s{i} <> 0" for i in range(len(scores)))).collect()
+    return [Model({bytes(r["token"]): r[i] for r in kept if r[i]}) for i in range(1, len(scores) + 1)]
 
 
 def _walk(text: str, scores: _Scores) -> np.ndarray:
@@ -319,15 +313,15 @@ def _logistic(rows: list[tuple[str, int, int]]) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, max_labelled: int = MAX_LABELLED,
-          max_tokens: int = MAX_TOKENS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on the labelled documents whose fold is not ``held_out``.
 
-    Only token tables of at most ``max_tokens`` rows and small histograms reach
-    the driver. Without usable labels the model finds nothing toxic.
+    Only the tokens that have a score and small histograms reach the driver.
+    Without usable labels the model finds nothing toxic.
     """
     spark = docs.sparkSession
     labelled = _labelled(docs, labels, folds, held_out, max_labelled, id_col, text_col, label_col)
-    models = _token_models(stored(_token_counts(labelled), "toxic-tokens"), max_tokens)
+    models = _token_models(stored(_token_counts(labelled), "toxic-tokens"))
     rows = _tally(labelled, spark.sparkContext.broadcast(models), _background)
     rate, scale = _extreme_value(rows)
     for m in models:

@@ -83,3 +83,18 @@ def test_edges(spark):
     model = toxicity.train(frame, spark.createDataFrame(labels * 2, "doc_id long, toxic int"), max_labelled=40)
     assert toxicity.score(frame.limit(0), model).collect() == []
     assert toxicity.score(frame, model).count() == len(docs) + 5
+
+
+def test_every_token_with_a_score_is_kept_and_no_other(spark):
+    """Frequent neutral tokens do not push out rare toxic ones."""
+    none = [0.0] * toxicity.PARTS
+    rows = [(b"neutral%d" % i, *[900.0 + i] * 4, *[110.0] * 4) for i in range(300)]
+    rows += [(b"bad%d" % i, *none, *[6.0 + i % 2] * 4) for i in range(40)] + [(b"rare", *none, 1.0, 1.0, 1.0, 0.0)]
+    counts = spark.createDataFrame(rows, ", ".join(["token binary", *(f"{c} double" for c in toxicity.CLASSES)]))
+    models = toxicity._token_models(counts)
+    want = {b"bad%d" % i for i in range(40)}
+    assert len(models) == toxicity.PARTS + 1 and all(set(m.tokens) == want for m in models)
+    many = spark.range(100_100).selectExpr(
+        "cast(cast(id as string) as binary) as token", *(f"{9 * c.startswith('toxic')}D as {c}" for c in toxicity.CLASSES)
+    ).union(counts.where("clean_0 > 0").select("token", *[100 * counts[c] for c in toxicity.CLASSES]))
+    assert {len(m.tokens) for m in toxicity._token_models(many)} == {100_100}
