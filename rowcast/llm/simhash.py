@@ -26,8 +26,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from rowcast.llm.common import Rounds, id_and_text, stored
+from rowcast.llm.common import Rounds, id_and_text, ship, stored
 
 N_BYTES = 8
 SEED = 42
@@ -71,6 +72,19 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     return id_and_text(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
+def with_fingerprint(docs: DataFrame, text_col: str, name: str, shingle: int = 4) -> DataFrame:
+    """``docs`` with the fingerprint of every row as one more column, ``name``."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py() or "", shingle) for t in batch.column(at)], dtype=np.uint64)
+            yield pa.record_batch([*batch.columns, pa.array(fps.view(np.int64))], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
 def _forest(values: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Links that span the components of one posting list, by breadth-first search."""
     left = np.arange(1, len(values))
@@ -251,6 +265,12 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
+def roots(fps: DataFrame, max_bits: int = 4, list_limit: int = 4096) -> DataFrame:
+    """``fp, root`` of distinct fingerprints (column ``fp``): the smallest one of the component."""
+    found = components(links(fps, max_bits, list_limit))
+    return fps.join(found, fps.fp == found.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, list_limit: int = 4096,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp, component_id`` of every row.

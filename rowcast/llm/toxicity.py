@@ -19,7 +19,6 @@ misled by tokens that a model has only seen in the document it scores.
 from __future__ import annotations
 
 import math
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowcast.llm.common import fold, id_and_text, ship, stored, word_bytes
+from rowcast.llm.simhash import roots, with_fingerprint
 
 MAX_LABELLED = 200_000  # labelled documents the model is fitted on, at most about
 MIN_DOCS = 4  # labelled documents a token must occur in
@@ -105,8 +105,10 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 def _labelled(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, max_labelled: int,
               id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``text, toxic, part`` of the training documents. A document labelled
-    twice is toxic if any label says so; null ids and labels teach nothing."""
+    """``text, toxic, part, copies`` of the training documents. ``copies`` names
+    the group of near copies that a document stands in, null if it stands alone;
+    a group falls into one part. A document labelled twice is toxic if any
+    label says so; null ids and labels teach nothing."""
     told = (
         labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("toxic"))
         .where((fold(F.col("doc_id"), folds) != held_out) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -117,73 +119,76 @@ def _labelled(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, max
     if n > max_labelled:
         share = int(max_labelled / n * 1_000_000)
         told = told.where(F.pmod(F.xxhash64("doc_id", F.lit("labelled")), F.lit(1_000_000)) < share)
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int")
     # At most about max_labelled rows of two numbers: the bound of the broadcast.
-    told = F.broadcast(told.withColumn("part", part))
-    return id_and_text(docs, id_col, text_col).join(told, "doc_id").select("text", "toxic", "part")
+    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(told), "doc_id").select("text", "toxic")
+    rows = stored(with_fingerprint(texts, "text", "fp"), "toxic-labelled")
+    sizes = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
+    groups = roots(sizes.select("fp")).join(sizes, "fp")
+    copied = groups.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select(F.col("root").alias("copies"))
+    # Fewer rows than labelled texts: the bound of the broadcast.
+    copied = F.broadcast(groups.join(copied, F.col("root") == F.col("copies")).select("fp", "copies"))
+    part = F.pmod(F.xxhash64(F.coalesce("copies", "fp"), F.lit("part")), F.lit(PARTS)).cast("int")
+    return rows.join(copied, "fp", "left").select("text", "toxic", part.alias("part"), "copies")
 
 
 CLASSES = [f"{kind}_{part}" for kind in ("clean", "toxic") for part in range(PARTS)]
 
 
+def _tokens(text: str) -> set[bytes]:
+    """The words of a text, and the stems of the longer ones."""
+    words = set(word_bytes(text).split())
+    return words | {_stem(w) for w in words if len(w) > STEM}
+
+
 def _token_counts(labelled: DataFrame) -> DataFrame:
     """``token`` and :data:`CLASSES`: documents of each class and part that hold the token (words, and the stems of longer words).
 
     Copies and near copies of one document must not pass for many witnesses:
-    the neighbours of a token's first place in a document set one of 64 bits,
-    and while few bits are set, the number of different neighbourhoods that
-    they stand for replaces a larger number of documents.
+    of a group of them, those of a class that hold the token count once.
+    Different documents that share a passage all count.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, list[int]] = defaultdict(lambda: [0] * 2 * len(CLASSES))
+        counts: dict[bytes, list[int]] = defaultdict(lambda: [0] * len(CLASSES))
 
         def flush() -> pa.RecordBatch:
             keys = list(counts)
             columns = [pa.array([counts[k][i] for k in keys], pa.int64()) for i in range(len(CLASSES))]
-            columns += [
-                pa.array(np.array([counts[k][i + len(CLASSES)] for k in keys], dtype=np.uint64).view(np.int64))
-                for i in range(len(CLASSES))
-            ]
-            made = pa.record_batch([pa.array(keys, pa.binary()), *columns],
-                                   names=["token", *CLASSES, *(f"seen_{c}" for c in CLASSES)])
+            made = pa.record_batch([pa.array(keys, pa.binary()), *columns], names=["token", *CLASSES])
             counts.clear()
             return made
 
         for batch in batches:
             for text, toxic, part in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2))):
-                words = word_bytes(text.as_py()).split()
-                at = PARTS * (toxic > 0) + part
-                known = set()
-                for i, word in enumerate(words):
-                    if word in known:
-                        continue
-                    known.add(word)
-                    around = words[max(i - 1, 0)] + b" " + words[min(i + 1, len(words) - 1)]
-                    bit = 1 << (zlib.crc32(around) & 63)
-                    row = counts[word]
-                    row[at] += 1
-                    row[at + len(CLASSES)] |= bit
-                    if len(word) > STEM and (stem := _stem(word)) not in known:
-                        known.add(stem)
-                        row = counts[stem]
-                        row[at] += 1
-                        row[at + len(CLASSES)] |= bit
+                for token in _tokens(text.as_py()):
+                    counts[token][PARTS * (toxic > 0) + part] += 1
                 if len(counts) > MEMO:
                     yield flush()
         yield flush()
 
-    fields = ", ".join(f"{c} long" for c in [*CLASSES, *(f"seen_{c}" for c in CLASSES)])
-    summed = labelled.mapInArrow(count, f"token binary, {fields}").groupBy("token").agg(
-        *[F.sum(c).alias(c) for c in CLASSES], *[F.bit_or(f"seen_{c}").alias(f"seen_{c}") for c in CLASSES]
-    )
+    def witness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[tuple[int, int, bytes]] = set()
+
+        def flush() -> pa.RecordBatch:
+            copies, at, token = zip(*known) if known else ((), (), ())
+            made = pa.record_batch(
+                [pa.array(token, pa.binary()), pa.array(copies, pa.int64()), pa.array(at, pa.int32())],
+                names=["token", "copies", "at"],
+            )
+            known.clear()
+            return made
 
-    def witnesses(c: str):
-        bits = F.bit_count(f"seen_{c}")
-        different = -64 * F.log(1 - bits / 64)
-        return F.when(bits < 56, F.least(F.col(c).cast("double"), different)).otherwise(F.col(c).cast("double"))
+        for batch in batches:
+            for text, toxic, part, copies in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                known.update((copies, PARTS * (toxic > 0) + part, token) for token in _tokens(text.as_py()))
+                if len(known) > MEMO:
+                    yield flush()
+        yield flush()
 
-    return summed.select("token", *[witnesses(c).alias(c) for c in CLASSES])
+    alone = labelled.where("copies is null").mapInArrow(count, ", ".join(["token binary", *(f"{c} long" for c in CLASSES)]))
+    once = labelled.where("copies is not null").mapInArrow(witness, "token binary, copies long, at int").distinct()
+    grouped = once.select("token", *[(F.col("at") == i).cast("long").alias(c) for i, c in enumerate(CLASSES)])
+    return alone.unionByName(grouped).groupBy("token").agg(*[F.sum(c).cast("double").alias(c) for c in CLASSES])
 
 
 def _log_odds(toxic: Column, clean: Column, all_toxic: float, all_clean: float) -> Column:

@@ -98,3 +98,21 @@ def test_every_token_with_a_score_is_kept_and_no_other(spark):
         "cast(cast(id as string) as binary) as token", *(f"{9 * c.startswith('toxic')}D as {c}" for c in toxicity.CLASSES)
     ).union(counts.where("clean_0 > 0").select("token", *[100 * counts[c] for c in toxicity.CLASSES]))
     assert {len(m.tokens) for m in toxicity._token_models(many)} == {100_100}
+
+
+def test_a_stock_phrase_of_different_documents_counts_in_full_and_copies_once(spark):
+    rng = np.random.default_rng(8)
+    say = lambda n: " ".join(rng.choice([f"word{i}" for i in range(300)], n))
+    docs = [(i, f"{say(60)} utter vilea scum {say(60)}") for i in range(80)] + [(100 + i, say(120)) for i in range(400)]
+    copy = f"{say(40)} grimy {say(80)}"
+    docs += [(1000 + i, copy if i % 2 else f"{copy} end{i}") for i in range(60)]
+    marks = [(i, int(i < 100 or i >= 1000)) for i, _ in docs]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    labelled = toxicity._labelled(frame, labels, 5, 0, 10_000, "doc_id", "text", "toxic")
+    counts = {bytes(r["token"]): sum(r[c] for c in toxicity.CLASSES) for r in toxicity._token_counts(labelled).collect()}
+    taught = [i for i, _ in docs if zlib.crc32(str(i).encode()) % 5]
+    assert counts[b"vilea"] == sum(i < 80 for i in taught) > 50
+    assert sum(i >= 1000 for i in taught) > 30 and counts[b"grimy"] <= 2
+    model = toxicity.train(frame, labels)
+    assert model.tokens.get(b"vilea", 0) > 0 and b"grimy" not in model.tokens
