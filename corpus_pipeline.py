@@ -21,7 +21,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates."""
-    return simhash.keep_one(docs, shingle=4, max_bits=4)
+    return simhash.keep_one(docs, shingle=4, max_bits=4, keep_null_ids=False)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -265,10 +265,10 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
-def roots(fps: DataFrame, max_bits: int = 4, list_limit: int = 4096) -> DataFrame:
-    """``fp, root`` of distinct fingerprints (column ``fp``): the smallest one of the component."""
-    found = components(links(fps, max_bits, list_limit))
-    return fps.join(found, fps.fp == found.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+def roots(nodes: DataFrame, max_bits: int = 4, list_limit: int = 4096) -> DataFrame:
+    """``nodes`` (one row per fingerprint ``fp``) with ``root``, the smallest fingerprint of the component."""
+    found = components(links(nodes.select("fp"), max_bits, list_limit))
+    return nodes.join(found, nodes.fp == found.node, "left").select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, list_limit: int = 4096,
@@ -281,35 +281,60 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, list_l
     fingerprint. A null id is never a component's id unless all of its ids
     are null. An empty table gives no rows.
     """
-    rows = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    roots = components(links(nodes.select("fp"), max_bits, list_limit))
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
+    rows, rooted = _rooted(docs, shingle, max_bits, list_limit, id_col, text_col)
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_fp = rooted.join(named, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id.
+def _rooted(docs: DataFrame, shingle: int, max_bits: int, list_limit: int, id_col: str,
+            text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp`` of every row, and ``fp, least_id, root`` of every distinct fingerprint."""
+    rows = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    return rows, roots(nodes, max_bits, list_limit)
+
 
-    All columns stay. The id is a row's identity: rows that repeat an id
-    count as one document and leave one row. Rows without an id cannot be
-    told apart and are all kept.
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
+             text_col: str = "text", keep_null_ids: bool = True) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest id (of
+    rows that share it, one with the smallest fingerprint).
+
+    All columns stay. Rows are told apart by id and fingerprint, so rows that
+    repeat an id but hold different texts are decided one by one. Rows without
+    an id are all kept, unless ``keep_null_ids`` is false: then they are rows
+    of their groups like any other, and stay only where no row has an id.
     """
-    found = near_duplicates(docs, shingle, max_bits, id_col=id_col, text_col=text_col)
-    per_id = found.where("doc_id is not null").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("first")
+    rows, rooted = _rooted(docs, shingle, max_bits, 4096, id_col, text_col)
+    first = F.min(F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id").alias("id"), "fp"))
+    firsts = stored(
+        rooted.groupBy("root").agg(first.alias("k")).select(F.col("k.id").alias("_id"), F.col("k.fp").alias("_first")),
+        "simhash-first",
+    )
+    per_id = (
+        rows.where("doc_id is not null")
+        .join(firsts, (F.col("doc_id") == F.col("_id")) & (F.col("fp") == F.col("_first")), "left")
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("_first").isNotNull()).alias("first"))
     )
     # Few documents differ from "one row, first of its group"; only they are
     # listed, so the join needs no shuffle of texts when the list is small.
     odd = stored(per_id.where("rows > 1 or not first").withColumnRenamed("doc_id", "_id"), "simhash-odd")
     kept = docs.join(odd, docs[id_col] == odd["_id"], "left_anti")
     twice = odd.where("first")
-    if twice.isEmpty():
+    # The rows whose id does not tell whether they stay.
+    again = None if twice.isEmpty() else docs.join(twice, docs[id_col] == twice["_id"], "left_semi")
+    if not keep_null_ids:
+        kept = kept.where(F.col(id_col).isNotNull())
+        if not rows.where("doc_id is null").isEmpty():
+            nameless = docs.where(docs[id_col].isNull())
+            again = nameless if again is None else again.unionByName(nameless)
+    if again is None:
         return kept
-    once = docs.join(twice, docs[id_col] == twice["_id"], "left_semi").dropDuplicates([id_col])
+    name = "_fp"
+    while name in docs.columns:
+        name += "_"
+    marked = with_fingerprint(again, text_col, name, shingle)
+    mine = marked[id_col].eqNullSafe(firsts["_id"]) & (marked[name] == firsts["_first"])
+    once = marked.join(firsts, mine, "left_semi").dropDuplicates([id_col, name]).drop(name)
     return kept.unionByName(once)

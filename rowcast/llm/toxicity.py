@@ -123,7 +123,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, max
     texts = id_and_text(docs, id_col, text_col).join(F.broadcast(told), "doc_id").select("text", "toxic")
     rows = stored(with_fingerprint(texts, "text", "fp"), "toxic-labelled")
     sizes = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
-    groups = roots(sizes.select("fp")).join(sizes, "fp")
+    groups = roots(sizes)
     copied = groups.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select(F.col("root").alias("copies"))
     # Fewer rows than labelled texts: the bound of the broadcast.
     copied = F.broadcast(groups.join(copied, F.col("root") == F.col("copies")).select("fp", "copies"))

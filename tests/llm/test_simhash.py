@@ -110,3 +110,18 @@ def test_empty_table_and_null_ids(spark):
 def test_odd_distance_is_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)
+
+
+def test_keep_one_decides_per_row(spark):
+    one, two, three = "a b c d e", "zz yy xx ww", "k l m n o p"
+    rows = [(1, one), (1, two), (1, two), (2, one), (3, three), (3, two), (None, three), (None, two),
+            (None, "only here once"), (None, "only here once"), (4, "f g h i j")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _fp string")
+    with_id = sorted([(1, one), (1, two), (3, three), (4, "f g h i j")])
+    kept = simhash.keep_one(docs.where("doc_id is not null"))
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == with_id
+    got = {(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()}
+    assert got == {*with_id, *((i, t) for i, t in rows if i is None)}
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs, keep_null_ids=False).collect()]
+    assert len(kept) == 5 and set(kept) == {*with_id, (None, "only here once")}
