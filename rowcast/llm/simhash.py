@@ -3,9 +3,9 @@
 A 64-bit fingerprint is eight positional bytes. Two fingerprints within ``k``
 bits differ in at most ``k`` bytes, so they share at least ``8 - k`` positional
 bytes: the guaranteed minimum. The index therefore posts every distinct
-fingerprint under each combination of that many byte positions; inside a
-posting list the shared bytes of pairs are tallied, pairs below the minimum
-cannot occur, and the rest are verified by their bit distance.
+fingerprint under each combination of that many byte positions. That replaces
+a tally of shared bytes per pair: whoever meets in a posting list shares the
+minimum already, so pairs are only verified by their bit distance.
 
 Copies of a text never meet in the index: it holds distinct fingerprints, and
 documents join their class at the end. Inside a posting list only a spanning
