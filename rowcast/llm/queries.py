@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowcast.llm import ctph, decontam, interpolation, license_scan, packing, sharding, simhash, token_counts, toxicity, warc
+from rowcast.llm import (
+    ctph,
+    decontam,
+    interpolation,
+    license_scan,
+    packing,
+    sharding,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +87,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors along the first 32 whitening directions."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -87,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_sharding": op9_sharding,
         "op10_toxicity": op10_toxicity,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
 
 
