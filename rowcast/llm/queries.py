@@ -13,6 +13,7 @@ from rowcast.llm import (
     interpolation,
     license_scan,
     packing,
+    prefix_trie,
     sharding,
     simhash,
     token_counts,
@@ -87,6 +88,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt in groups of 100."""
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"), group=100)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors along the first 32 whitening directions."""
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
@@ -104,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_sharding": op9_sharding,
         "op10_toxicity": op10_toxicity,
+        "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
 
@@ -187,5 +194,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
 FROM d LEFT JOIN b USING (r) LEFT JOIN c USING (r)"""
 
 
+# crc32 of a text's ASCII bytes, bit by bit.
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split({}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                               lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+OP11_SQL = f"""
+WITH s AS (SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS v,
+                  CAST({_CRC32.format("CAST(conv_id AS VARCHAR)")} % 6 AS INTEGER) AS h
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+c AS (SELECT s.conv_id, list_concat(list_slice(coalesce(o.v, []), 1, s.h), list_slice(s.v, s.h + 1, len(s.v))) AS v
+      FROM s LEFT JOIN s o ON o.conv_id = s.conv_id - s.conv_id % 100),
+p AS (SELECT conv_id, d, len(v) AS size, sha256(CAST(to_json(list_slice(v, 1, d)) AS VARCHAR)) AS k,
+             CASE WHEN d > 0 THEN length(v[d].x) ELSE 0 END AS chars
+      FROM (SELECT conv_id, v, unnest(range(0, len(v) + 1)) AS d FROM c)),
+n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS own,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = d), '')) AS ends
+      FROM p GROUP BY k, d),
+u AS (SELECT n.*, a.k AS up FROM n LEFT JOIN p a ON a.conv_id = n.conv_id AND a.d = n.d - 1),
+f AS (SELECT up AS k, count(*) AS n_children FROM u WHERE up IS NOT NULL GROUP BY up),
+m AS (SELECT u.*, coalesce(n_children, 0) AS n_children FROM u LEFT JOIN f USING (k)),
+t AS (SELECT a.k, count(*) FILTER (WHERE m.n_children = 0) AS n_leaves, sum(m.own) AS saved
+      FROM m JOIN p a ON a.conv_id = m.conv_id AND a.d <= m.d GROUP BY a.k)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, o.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, m.ends AS ends_sha256
+FROM m JOIN t USING (k) LEFT JOIN m o ON o.k = m.up"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": OP2_SQL, "op4_license_scans": _op4_sql(), "op6_warc": OP6_SQL}
+    return {
+        "op2_benchmark_decontamination": OP2_SQL,
+        "op4_license_scans": _op4_sql(),
+        "op6_warc": OP6_SQL,
+        "op11_conversation_prefix_trie": OP11_SQL,
+    }
