@@ -21,6 +21,9 @@ WORD_TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
     for b in range(256)
 )
+# Keys with more than this fraction of the rows are joined by broadcast: fewer
+# than HOT_KEYS of them can exist, whatever the table.
+HOT_KEYS = 1000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -48,6 +51,22 @@ class Rounds:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def joined_by(rows: DataFrame, table: DataFrame, key: str, copies: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row per key and in
+    ``copies`` the number of rows with it (dropped from the result).
+
+    Keys that hold more than one of ``HOT_KEYS`` shares of all rows are
+    broadcast, so no task gets the rows of a hot key; the rest is shuffled.
+    """
+    often = table.where(F.col(copies) * HOT_KEYS > total)
+    hot = often.drop(copies)
+    seldom = table.where(F.col(copies) * HOT_KEYS <= total).drop(copies)
+    if often.isEmpty():
+        return rows.join(seldom, key)
+    cold_rows = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(cold_rows.join(seldom, key))
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable for the session's Python workers.
 

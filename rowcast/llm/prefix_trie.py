@@ -23,14 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import Rounds, ship, stored
+from rowcast.llm.common import Rounds, joined_by, ship, stored
 
 FAN_IN = 16
 # Turn ids a range shard holds on average; its tree takes about 1 kB for each.
 SHARD_TURNS = 1 << 15
-# Keys with at least this share of the rows are joined by broadcast: at most
-# HOT_KEYS of them can exist, whatever the table.
-HOT_KEYS = 1000
 # Most leading turns that the rebuilding takes over from the group's first conversation.
 LEADING = 6
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -41,22 +38,6 @@ NODE_NAMES = [field.split()[0] for field in NODE.split(", ")]
 PART_NAMES = [field.split()[0] for field in PART.split(", ")]
 
 
-def joined_by(rows: DataFrame, table: DataFrame, key: str, copies: str, total: int, how: str = "inner") -> DataFrame:
-    """``rows`` joined with ``table``, which has one row per key and in
-    ``copies`` the number of rows with it (dropped from the result).
-
-    Keys that hold more than one of ``HOT_KEYS`` shares of all rows are
-    broadcast, so no task gets the rows of a hot key; the rest is shuffled.
-    """
-    often = table.where(F.col(copies) * HOT_KEYS > total)
-    hot = often.drop(copies)
-    seldom = table.where(F.col(copies) * HOT_KEYS <= total).drop(copies)
-    if often.isEmpty():
-        return rows.join(seldom, key, how)
-    cold_rows = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(hot), key).unionByName(cold_rows.join(seldom, key, how))
-
-
 def turn_digest(role: Column, text: Column) -> Column:
     """SHA-256 of a turn; the role's length keeps role and text apart."""
     return F.unhex(F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), role, text), 256))

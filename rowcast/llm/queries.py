@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowcast.llm import (
     ctph,
     decontam,
+    hnsw,
     interpolation,
     license_scan,
     packing,
@@ -93,6 +94,11 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"), group=100)
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9."""
+    return hnsw.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors along the first 32 whitening directions."""
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
@@ -111,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": op9_sharding,
         "op10_toxicity": op10_toxicity,
         "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+        "op12_embedding_near_dedup": op12_embedding_near_dedup,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
 

@@ -17,8 +17,8 @@ FAN_IN = 16
 
 
 def finite_rows(column: pa.ListArray, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the rows whose vector is there and holds only finite entries,
-    and those vectors as one matrix of doubles.
+    """Numbers of the rows whose vector is there, not empty and holds only
+    finite entries, and those vectors as one matrix of doubles.
 
     ``width`` is their required length; without it they must agree among
     themselves. Other lengths raise.
@@ -28,6 +28,7 @@ def finite_rows(column: pa.ListArray, width: int | None = None) -> tuple[np.ndar
     row_of = np.repeat(np.arange(len(length)), length)
     good = pc.is_valid(column).to_numpy(zero_copy_only=False).copy()
     good[row_of[~np.isfinite(flat)]] = False
+    good &= length > 0
     rows = np.flatnonzero(good)
     sizes = np.unique(length[rows])
     if width is None and len(sizes):

@@ -389,7 +389,7 @@ def whiten(vectors: DataFrame, components: int = 32, scale: float = 64.0, offset
     """``vec_id, component, n, deviation, whitened, explained, identity_error``:
     a row per usable vector and component.
 
-    Vectors that are null or hold null or non-finite entries are left out;
+    Vectors that are null, empty or hold null or non-finite entries are left out;
     repeated rows and null ids count and are returned like any other. Equal
     eigenvalues share a space of directions, of which some orthonormal set is
     returned. Components of eigenvalue zero (fewer rows or free dimensions than

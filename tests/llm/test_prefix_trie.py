@@ -6,7 +6,7 @@ import zlib
 
 import pytest
 
-from rowcast.llm import prefix_trie
+from rowcast.llm import common, prefix_trie
 
 COLUMNS = "conv_id long, turn long, role string, text string, depth int, key string, ids string"
 
@@ -89,7 +89,7 @@ def test_nulls_ties_repeated_rows_and_long_conversations(spark, monkeypatch):
 
 def test_hot_conversation_and_hot_turn(spark, monkeypatch):
     """A third of the conversations are equal, all begin alike, ids by range."""
-    monkeypatch.setattr(prefix_trie, "HOT_KEYS", 10)
+    monkeypatch.setattr(common, "HOT_KEYS", 10)
     monkeypatch.setattr(prefix_trie, "SHARD_TURNS", 30)
     rows = [(c, 0, "system", "be nice") for c in range(300)]
     rows += [(c, 1, "user", "again" if c % 3 == 0 else f"ask {c}") for c in range(300)]
