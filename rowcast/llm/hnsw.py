@@ -12,10 +12,10 @@
 5. Links are verified by their cosine in double precision, and components are
    found from them.
 
-Shards hold about ``64 * sqrt(n)`` of ``n`` vectors (a million at most), and a
-block of queries half of that, so a task's memory grows with the square root of
-the table only. What is shuffled grows with ``n`` times the number of shards,
-since every shard is asked about every vector.
+Shards hold about ``16 * n ** (2/3)`` of ``n`` vectors, 2 ** 18 at most, and a
+block of queries half of that: fewer and larger shards mean fewer searches, as
+long as a task can hold one. Searches and what is shuffled grow with ``n`` times
+the number of shards, since every shard is asked about every vector.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ FIRST_BEAM = 64
 UPPER_BEAM = 16
 BATCH = 512
 SEEN_CELLS = 1 << 26  # queries searched at once times nodes of the shard
+SHARD_MOST = 1 << 18
 PROBES = 256
 TARGET_RECALL = 0.99
 # Single precision decides what is verified, with this much to spare.
@@ -301,8 +302,8 @@ def classes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
 
 def shard_count(n: int) -> int:
-    """Shards for ``n`` vectors: of 64 sqrt(n), and of a million at most."""
-    return max(1, math.ceil(math.sqrt(n) / 64), math.ceil(n / (1 << 20)))
+    """Shards for ``n`` vectors: of 16 n^(2/3), and of ``SHARD_MOST`` at most."""
+    return max(1, math.ceil(n / SHARD_MOST), math.ceil(n ** (1 / 3) / 16))
 
 
 def graphs(distinct: DataFrame, shards: int, kind: str, threshold: float) -> DataFrame:
