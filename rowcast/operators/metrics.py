@@ -20,6 +20,9 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Distinct scores a range of the exact area under ROC holds, about 24 MB of rows.
+SCORES_PER_RANGE = 1_000_000
+
 
 def _not_null(column: str, what: str, value: Column | None = None) -> Column:
     """The column (or ``value``, read from it); NULL raises."""
@@ -100,6 +103,12 @@ def _area_parts(n_lower: Column) -> list[Column]:
     return [F.sum(pairs).alias("u"), F.sum("p").alias("p"), F.sum("n").alias("n")]
 
 
+def score_ranges(distinct: int, scores_per_range: int = SCORES_PER_RANGE) -> int:
+    """Into how many ranges ``distinct`` scores are cut: it follows from the
+    data alone, not from the cluster."""
+    return max(1, -(-distinct // scores_per_range))
+
+
 def auc_roc(
     df: DataFrame,
     label_col: str,
@@ -119,19 +128,19 @@ def auc_roc(
     so instead:
 
     1. aggregate to ``(score, pos, neg)``, combined map-side;
-    2. cut the distinct scores into ``buckets`` ranges at approximate
-       quantiles (only the cut points reach the driver);
-    3. inside each range, a window over the range's rows gives the negatives
-       below each score; ranges are sorted independently, in parallel;
-    4. across ranges, the per-range totals (one row per range) give the
-       negatives in all lower ranges.
+    2. cut the distinct scores into ranges of about a million (``buckets``
+       sets their number instead) at approximate quantiles;
+    3. :func:`range_parts` places the scores by range, one shuffle, and adds
+       up each range where it lies;
+    4. the per-range totals (one row per range) give each range the negatives
+       in all lower ones.
 
     The aggregated scores are persisted (memory, then disk) for the few
     passes over them and released before returning. A NULL label or score
-    raises. Both shuffles take their width from the session.
+    raises. The aggregation's shuffle takes its width from the session, the
+    ranges' from the number of distinct scores.
     """
     spark = df.sparkSession
-    n_buckets = buckets or max(1, 2 * spark.sparkContext.defaultParallelism)
     is_pos = F.when(_not_null(label_col, "label") > 0.5, 1).otherwise(0)
     aggregated = (
         df.select(_score_column(df, score_col).alias("s"), is_pos.alias("y"))
@@ -140,47 +149,14 @@ def auc_roc(
     )
     by_score = aggregated.persist()
     try:
-        splits: list[float] = []
-        if n_buckets > 1:
-            probs = [i / n_buckets for i in range(1, n_buckets)]
-            # Error bound a quarter of a range wide keeps ranges within
-            # ~1.5x of each other; the floor bounds the sketch to ~1e5 entries.
-            cuts = by_score.approxQuantile("s", probs, max(1.0 / (4 * n_buckets), 1e-5))
-            splits = sorted({c for c in cuts if c is not None and c == c and abs(c) != float("inf")})
-        if splits:
-            bucketed = Bucketizer(
-                splits=[float("-inf"), *splits, float("inf")],
-                inputCol="s",
-                outputCol="b",
-                handleInvalid="keep",
-            ).transform(by_score)
-        else:  # one range (one bucket asked for, or a single distinct score)
-            bucketed = by_score.withColumn("b", F.lit(0.0))
-
-        below = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-        within = bucketed.withColumn(
-            "neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0))
-        ).agg(
-            F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("u"),
-            F.lit(0).cast("long").alias("p"),
-            F.lit(0).cast("long").alias("n"),
-        )
-
-        # One row per range: a window over them is bounded by ``n_buckets``.
-        ranges = bucketed.groupBy("b").agg(
-            F.sum("pos").alias("p"), F.sum("neg").alias("n")
-        )
+        parts = range_parts(by_score, buckets or score_ranges(by_score.count()))
         lower = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-        across = ranges.withColumn(
-            "n_lower", F.coalesce(F.sum("n").over(lower), F.lit(0))
-        ).agg(*_area_parts(F.col("n_lower")))
-        row = within.unionByName(across).agg(
-            F.sum("u").alias("u"), F.sum("p").alias("p"), F.sum("n").alias("n")
-        ).first()
+        placed = parts.withColumn("n_lower", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+        row = placed.agg(F.sum("u").alias("inside"), *_area_parts(F.col("n_lower"))).first()
     finally:
         by_score.unpersist()
 
-    u = float(row["u"] or 0.0)
+    u = float(row["inside"] or 0.0) + float(row["u"] or 0.0)
     p = int(row["p"] or 0)
     n = int(row["n"] or 0)
     if p > 0 and n > 0:
@@ -196,14 +172,54 @@ def auc_roc(
     return spark.range(1).select(F.lit(auc).cast("double").alias("auc"))
 
 
+def range_parts(by_score: DataFrame, ranges: int) -> DataFrame:
+    """``b, u, p, n`` per range of the distinct scores ``s, pos, neg``: the
+    range's number in score order, the pairs of a positive with a lower
+    negative inside it (ties half), its positives and negatives.
+
+    The scores are placed by range once. The window over a range and the sum
+    per range both find its scores together, so neither shuffles again.
+    """
+    splits: list[float] = []
+    if ranges > 1:
+        probs = [i / ranges for i in range(1, ranges)]
+        # Error bound a quarter of a range wide keeps ranges within
+        # ~1.5x of each other; the floor bounds the sketch to ~1e5 entries.
+        cuts = by_score.approxQuantile("s", probs, max(1.0 / (4 * ranges), 1e-5))
+        splits = sorted({c for c in cuts if c is not None and c == c and abs(c) != float("inf")})
+    if splits:
+        cut = Bucketizer(
+            splits=[float("-inf"), *splits, float("inf")], inputCol="s", outputCol="b", handleInvalid="keep"
+        ).transform(by_score)
+    else:  # one range (one asked for, or a single distinct score)
+        cut = by_score.withColumn("b", F.lit(0.0))
+    # Whole numbers: Spark normalises doubles in a window's key, and would then
+    # not see that they are in place already.
+    placed = cut.withColumn("b", F.col("b").cast("int")).repartitionByRange(len(splits) + 1, "b")
+    below = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    neg_below = F.coalesce(F.sum("neg").over(below), F.lit(0))
+    return (
+        placed.select("b", "pos", "neg", (F.col("pos") * (neg_below + 0.5 * F.col("neg"))).alias("u"))
+        .groupBy("b")
+        .agg(F.sum("u").alias("u"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    )
+
+
 def auc_roc_evaluator(
-    df: DataFrame, label_col: str, score_col: str = "rawPrediction", num_bins: int = 1000
+    df: DataFrame,
+    label_col: str,
+    score_col: str = "rawPrediction",
+    num_bins: int = 1000,
+    weight_col: str | None = None,
 ) -> float:
     """MLlib's evaluator, down-sampling the curve to ``num_bins`` points
-    (its default, hence approximate); ``num_bins=0`` is exact."""
-    return BinaryClassificationEvaluator(
+    (its default, hence approximate); ``num_bins=0`` is exact. With
+    ``weight_col`` a row counts that often, so equal rows may be summed first.
+    """
+    evaluator = BinaryClassificationEvaluator(
         labelCol=label_col,
         rawPredictionCol=score_col,
         metricName="areaUnderROC",
         numBins=num_bins,
-    ).evaluate(df)
+    )
+    return (evaluator.setWeightCol(weight_col) if weight_col else evaluator).evaluate(df)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model
@@ -36,6 +37,9 @@ from rowcast.operators.metrics import auc_roc, auc_roc_evaluator, weighted_f1
 from rowcast.runtime import Layout, laid_out
 from rowcast.sources.delimited import INPUT_SEPARATOR, paths_overlap, read_delimited, write_csv
 from rowcast.sources.models import load_model, save_model
+from rowcast.sources.publish import current, refuse_existing, staged
+from rowcast.sources.quarantine import quarantine
+from rowcast.sources.training_table import is_training_table, read_training_table, write_training_table
 
 # Fixed values of the reference jobs: the measurement columns, in order.
 FEATURES = [
@@ -68,16 +72,25 @@ def read_grades(
     features: Sequence[str] = FEATURES,
     label_col: str = GRADE_COLUMN,
     label_required: bool = True,
+    rejects_path: str | None = None,
+    max_rejects: float | None = None,
 ) -> DataFrame:
     """The jobs' input: typed by its header, without an inference pass.
 
     Only the header line is read before the scan; a malformed value raises.
+    With ``rejects_path`` malformed rows are written there instead
+    (:func:`rowcast.sources.quarantine.quarantine`), and only a share of them
+    above ``max_rejects`` raises. A training table is read in its layout.
     """
+    if is_training_table(spark, path):
+        return read_training_table(spark, path)
     schema = grade_schema(features, label_col)
     if not label_required:
         header = spark.read.option("header", True).option("sep", INPUT_SEPARATOR).csv(path).columns
         if label_col not in map(clean_name, header):
             schema = StructType(schema.fields[:-1])
+    if rejects_path is not None:
+        return quarantine(spark, path, schema, rejects_path, max_share=max_rejects).rows
     return read_delimited(spark, path, schema=schema)
 
 
@@ -233,21 +246,31 @@ def train_and_score_job(
     overwrite: bool = True,
     features: Sequence[str] = FEATURES,
     layout: Layout | None = None,
+    rejects_path: str | None = None,
+    max_rejects: float | None = None,
+    commit: str = "switch",
     **params,
 ) -> JobResult:
-    """Train on a file, save the model, score the training rows, write CSV.
+    """Train on a file or training table, save the model, score the training
+    rows, write CSV.
 
     With ``binary`` the grade becomes a new 0/1 ``binary_quality`` label and
     the metric is the area under ROC (exact; ``auc_num_bins=1000`` gives
     MLlib's default binned value instead); otherwise the raw grade is the
     label and the metric is weighted F1. By default GBT (binary labels only)
     gets the 0/1 label and the other learners the raw grade, as in the
-    reference's two training jobs. Save happens after the output is
-    written, so a refused save (``overwrite=False`` onto an existing model)
-    cannot leave a run without output.
+    reference's two training jobs.
+
+    With ``overwrite=False`` an existing model is refused before anything is
+    read. The model and the output are written beside their places and
+    published together at the end, so an output always belongs to the model
+    that lies there, and a failing run changes neither.
     """
     refuse_overlap(spark, [input_path], [output_path, model_path])
-    df = read_grades(spark, input_path, features)
+    refuse_overlap(spark, [output_path], [model_path])
+    if not overwrite:
+        refuse_existing(spark, model_path)
+    df = read_grades(spark, input_path, features, rejects_path=rejects_path, max_rejects=max_rejects)
     if binary is None:
         binary = kind == "gbt"
     if binary:
@@ -257,13 +280,36 @@ def train_and_score_job(
         label, metric = GRADE_COLUMN, "f1"
     result = fit_and_score(df, kind, label, features, metric=metric, layout=layout, **params)
     try:
+        with ExitStack() as places:
+            write_csv(result.predictions, places.enter_context(staged(spark, output_path, commit)))
+            save_model(result.model, places.enter_context(staged(spark, model_path, commit)))
+            if not overwrite:  # another run may have been faster
+                refuse_existing(spark, model_path)
         # F1 is read from two narrow columns of the written rows; the AUC's raw
         # score is not among them, it was measured from the persisted rows.
-        result = _written(spark, result, output_path, measure=metric == "f1")
+        return _read_back(spark, result, output_path, measure=metric == "f1")
     finally:
         release(result)
-    save_model(result.model, model_path, overwrite=overwrite)
-    return result
+
+
+def prepare_training_job(
+    spark: SparkSession,
+    input_path: str,
+    table_path: str,
+    partitions: int | str,
+    keys: Sequence[str] | None = None,
+    features: Sequence[str] = FEATURES,
+    label_col: str = GRADE_COLUMN,
+    rejects_path: str | None = None,
+    max_rejects: float | None = None,
+    commit: str = "switch",
+) -> None:
+    """Parse a file once into a training table, which the training jobs take as
+    their input: fits over it need no shuffle and are repeatable."""
+    refuse_overlap(spark, [input_path], [table_path])
+    df = read_grades(spark, input_path, features, label_col, rejects_path=rejects_path, max_rejects=max_rejects)
+    narrow = df.select(*dict.fromkeys([*features, label_col]))
+    write_training_table(narrow, table_path, Layout(int(partitions), keys), commit)
 
 
 def refuse_overlap(spark: SparkSession, inputs: Sequence[str], outputs: Sequence[str]) -> None:
@@ -271,7 +317,7 @@ def refuse_overlap(spark: SparkSession, inputs: Sequence[str], outputs: Sequence
     for a in inputs:
         for b in outputs:
             if paths_overlap(spark, a, b):
-                raise ValueError(f"refusing to write {b!r}: the job reads from {a!r}")
+                raise ValueError(f"refusing to write {b!r}: it lies at {a!r}, in it or around it")
 
 
 def train_validate_job(
@@ -282,10 +328,15 @@ def train_validate_job(
     kind: str = "lr",
     features: Sequence[str] = FEATURES,
     layout: Layout | None = None,
+    overwrite: bool = True,
+    commit: str = "switch",
     **params,
 ) -> JobResult:
-    """Train on one file, weighted F1 on another, save with overwrite."""
+    """Train on one file, weighted F1 on another, save. With ``overwrite=False``
+    an existing model is refused before anything is read."""
     refuse_overlap(spark, [train_path, valid_path], [model_path])
+    if not overwrite:
+        refuse_existing(spark, model_path)
     result = train_validate(
         read_grades(spark, train_path, features),
         read_grades(spark, valid_path, features),
@@ -294,7 +345,7 @@ def train_validate_job(
         layout=layout,
         **params,
     )
-    save_model(result.model, model_path, overwrite=True)
+    save_model(result.model, model_path, overwrite, commit)
     return result
 
 
@@ -307,6 +358,9 @@ def score_job(
     features: Sequence[str] = FEATURES,
     binary: bool | None = None,
     with_features: bool = True,
+    rejects_path: str | None = None,
+    max_rejects: float | None = None,
+    commit: str = "switch",
 ) -> JobResult:
     """Load a saved model through its class, score a file, write CSV.
 
@@ -319,7 +373,9 @@ def score_job(
     """
     refuse_overlap(spark, [input_path, model_path], [output_path])
     model = load_model(model_path, kind)
-    df = read_grades(spark, input_path, features, label_required=False)
+    df = read_grades(
+        spark, input_path, features, label_required=False, rejects_path=rejects_path, max_rejects=max_rejects
+    )
     if binary is None:
         binary = kind == "gbt"
     result = score_with(
@@ -329,13 +385,18 @@ def score_job(
         threshold=GRADE_THRESHOLD if binary else None,
         with_features=with_features,
     )
-    return _written(spark, result, output_path)
+    return _written(spark, result, output_path, commit)
 
 
-def _written(spark: SparkSession, result: JobResult, output_path: str, measure: bool = True) -> JobResult:
+def _written(spark: SparkSession, result: JobResult, output_path: str, commit: str) -> JobResult:
     """Write the rows, return them read back; F1 from what was written."""
-    write_csv(result.predictions, output_path)
-    written = spark.read.schema(result.predictions.schema).option("header", True).csv(output_path)
+    write_csv(result.predictions, output_path, commit=commit)
+    return _read_back(spark, result, output_path)
+
+
+def _read_back(spark: SparkSession, result: JobResult, output_path: str, measure: bool = True) -> JobResult:
+    place = current(spark, output_path)
+    written = spark.read.schema(result.predictions.schema).option("header", True).csv(place)
     result.predictions = written
     if measure and result.metrics is not None:
         label = [c for c in written.columns if c not in ("prediction", "features_str")][0]
@@ -351,18 +412,22 @@ def refit_and_score_job(
     maxIter: int = 10,
     features: Sequence[str] = FEATURES,
     layout: Layout | None = None,
+    rejects_path: str | None = None,
+    max_rejects: float | None = None,
+    commit: str = "switch",
     **params,
 ) -> JobResult:
     """Replace the grade by its 0/1 label, fit GBT on the file, score it,
     weighted F1, write CSV. Named apart from :func:`score_job` because it
     never loads a model."""
     refuse_overlap(spark, [input_path], [output_path])
-    df = add_threshold_label(read_grades(spark, input_path, features), GRADE_COLUMN, GRADE_COLUMN)
+    rows = read_grades(spark, input_path, features, rejects_path=rejects_path, max_rejects=max_rejects)
+    df = add_threshold_label(rows, GRADE_COLUMN, GRADE_COLUMN)
     result = fit_and_score(
         df, kind, GRADE_COLUMN, features, metric="f1", layout=layout, maxIter=maxIter, **params
     )
     try:
-        return _written(spark, result, output_path)
+        return _written(spark, result, output_path, commit)
     finally:
         release(result)
 
@@ -374,9 +439,15 @@ def sample_rows(result: JobResult, n: int = 5) -> DataFrame:
 
 USAGE = """usage: python -m rowcast.plans.jobs <command> ...
   score    <input_csv> <model> <output_csv> [lr|rf|gbt|pipeline]   load a model, score, write
-  train    <input_csv> <model> <output_csv> [gbt|rf]               fit (gbt: 0/1 label, rf: grade), score own rows, save
-  validate <train_csv> <valid_csv> <model>  [lr|rf]                fit, F1 on the second file, save
-  refit    [<input_csv> <output_csv>]                              GBT on the 0/1 grade, score, write"""
+  train    <input> <model> <output_csv> [gbt|rf]                   fit (gbt: 0/1 label, rf: grade), score own rows, save
+  validate <train> <valid_csv> <model>  [lr|rf]                    fit, F1 on the second file, save
+  refit    [<input> <output_csv>]                                  GBT on the 0/1 grade, score, write
+  prepare  <input_csv> <table> <partitions>                        training table, an <input> of train, validate, refit
+options
+  --keep-model          train, validate: refuse an existing model, before anything is read
+  --manifest            publish by manifest (object stores) instead of by renames
+  --rejects=<path>      score, train, refit, prepare: write malformed rows there instead of stopping
+  --max-rejects=<share> with --rejects: stop above this share of malformed rows"""
 
 # command -> (job, number of required paths, default kind or None)
 COMMANDS = {
@@ -384,17 +455,41 @@ COMMANDS = {
     "train": (train_and_score_job, 3, "gbt"),
     "validate": (train_validate_job, 3, "lr"),
     "refit": (refit_and_score_job, 2, None),
+    "prepare": (prepare_training_job, 3, None),
 }
+# option -> (keyword of the job, its value from the text after "=", the commands that know it)
+OPTIONS = {
+    "--keep-model": ("overwrite", lambda _: False, ("train", "validate")),
+    "--manifest": ("commit", lambda _: "manifest", tuple(COMMANDS)),
+    "--rejects": ("rejects_path", str, ("score", "train", "refit", "prepare")),
+    "--max-rejects": ("max_rejects", float, ("score", "train", "refit", "prepare")),
+}
+
+
+def _options(command: str, given: Sequence[str]) -> dict | None:
+    """Keyword arguments of the ``--`` options; None if one does not fit."""
+    chosen = {}
+    for option in given:
+        name, _, value = option.partition("=")
+        keyword, parse, commands = OPTIONS.get(name, (None, None, ()))
+        if command not in commands or bool(value) != name.endswith("rejects"):
+            return None
+        try:
+            chosen[keyword] = parse(value)
+        except ValueError:
+            return None
+    return chosen
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     """Run one job; a wrong argument count prints the usage and returns -1."""
     args = list(sys.argv[1:] if argv is None else argv)
-    if not args or args[0] not in COMMANDS:
+    options = _options(args[0], [a for a in args[1:] if a.startswith("--")]) if args else None
+    if options is None or args[0] not in COMMANDS:
         print(USAGE, file=sys.stderr)
         return -1
     job, n_paths, kind = COMMANDS[args[0]]
-    paths = args[1:]
+    paths = [a for a in args[1:] if not a.startswith("--")]
     defaults = args[0] == "refit" and not paths
     if not (defaults or len(paths) == n_paths or (kind is not None and len(paths) == n_paths + 1)):
         print(USAGE, file=sys.stderr)
@@ -403,8 +498,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     session = spark or SparkSession.builder.appName(f"rowcast-{args[0]}").getOrCreate()
     try:
         chosen = paths[n_paths:] or ([kind] if kind else [])
-        result = job(session, *paths[:n_paths], *chosen)
-        if result.metrics is not None:
+        result = job(session, *paths[:n_paths], *chosen, **options)
+        if result is not None and result.metrics is not None:
             print(f"{result.metrics.columns[0]}: {result.metrics.first()[0]}")
     finally:
         if own:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from rowcast.functions.names import clean_columns, clean_name
+from rowcast.sources.publish import exists, staged
 
 # Fixed value of the reference jobs: inputs are semicolon separated.
 INPUT_SEPARATOR = ";"
@@ -23,6 +24,7 @@ def read_delimited(
     header: bool = True,
     sampling_ratio: float | None = None,
     clean: bool = True,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Read a delimited file (or folder of files) with a header row.
 
@@ -33,16 +35,32 @@ def read_delimited(
     fields of the same (cleaned) name, in the file's order, and columns the
     schema lacks are text. A schema field the header lacks, a value that is
     not of its type and a further file with another header all raise.
+    With ``corrupt_column`` (and a schema) a malformed row does not raise: that
+    column, null otherwise, holds its line. A row is malformed if it has more
+    or fewer values than the header, or a value that is not of its type in a
+    column that the query uses: Spark parses no other. It refuses queries that
+    use the corrupt column alone. :func:`rowcast.sources.quarantine.quarantine`
+    parses all columns once and keeps the outcome.
     Duplicate header names are suffixed by the reader (``a0``, ``a1``).
     Column names are cleaned with :func:`clean_columns` unless ``clean`` is
     false.
     """
     reader = spark.read.option("header", header).option("sep", sep)
+    if corrupt_column is not None and schema is None:
+        raise ValueError("corrupt_column needs a schema: without one no value is malformed")
     if schema is not None:
+        schema = _parsed(spark, schema)
         if header:
-            schema = _in_header_order(reader.csv(path).columns, _parsed(spark, schema))
+            schema = _in_header_order(reader.csv(path).columns, schema)
             reader = reader.option("enforceSchema", False)
-        reader = reader.schema(schema).option("mode", "FAILFAST")
+        if corrupt_column is None:
+            reader = reader.option("mode", "FAILFAST")
+        else:
+            schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
+            # Without pruning the values of a row are counted in every query.
+            reader = reader.option("mode", "PERMISSIVE").option("columnPruning", False)
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
         if sampling_ratio is not None:
@@ -71,19 +89,30 @@ def write_csv(
     mode: str = "overwrite",
     header: bool = True,
     sep: str = ",",
+    commit: str = "switch",
 ) -> None:
     """Write ``df`` as CSV part files, one per partition, with a header.
 
     Vector columns must be rendered first (:func:`rowcast.vector_text`);
     values containing the separator are quoted by the writer.
 
+    The folder is written beside its place and published once it is complete
+    (:func:`rowcast.sources.publish.staged`, which explains ``commit``): a
+    failing write leaves what was there readable. ``mode="append"`` adds files
+    to the folder as Spark does; ``"errorifexists"`` and ``"ignore"`` leave an
+    existing folder alone.
+
     Overwriting a folder that ``df`` itself reads from is refused up front:
-    Spark would delete the folder first and then fail to read it, losing
-    the input.
+    the DataFrame could not be read again afterwards.
     """
+    spark = df.sparkSession
     if mode == "overwrite" and reads_from(df, path):
         raise ValueError(f"refusing to overwrite {path!r}: the DataFrame reads from it")
-    df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    if mode == "append" or mode != "overwrite" and exists(spark, path):
+        df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+        return
+    with staged(spark, path, commit) as place:
+        df.write.option("header", header).option("sep", sep).csv(place)
 
 
 def reads_from(df: DataFrame, path: str) -> bool:

@@ -9,6 +9,9 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
 )
 from pyspark.ml.util import MLReadable, MLWritable
+from pyspark.sql import SparkSession
+
+from rowcast.sources.publish import current, refuse_existing, staged
 
 MODEL_CLASSES: dict[str, type] = {
     "lr": LogisticRegressionModel,
@@ -18,19 +21,22 @@ MODEL_CLASSES: dict[str, type] = {
 }
 
 
-def save_model(model: MLWritable, path: str, overwrite: bool = True) -> None:
+def save_model(model: MLWritable, path: str, overwrite: bool = True, commit: str = "switch") -> None:
     """Save ``model`` to ``path``.
 
     With ``overwrite=False`` an existing path is an error, so a second run
-    of a job stops instead of replacing the first run's model.
+    of a job stops instead of replacing the first run's model. The folder is
+    published once it is complete, as by :func:`rowcast.write_csv`: a failing
+    save leaves the model that was there.
     """
-    writer = model.write()
-    if overwrite:
-        writer = writer.overwrite()
-    writer.save(path)
+    spark = SparkSession.active()
+    if not overwrite:
+        refuse_existing(spark, path)
+    with staged(spark, path, commit) as place:
+        model.write().save(place)
 
 
 def load_model(path: str, kind: str | type[MLReadable] = "pipeline"):
     """Load a model through its class; a folder of another class raises."""
     cls = MODEL_CLASSES[kind] if isinstance(kind, str) else kind
-    return cls.load(path)
+    return cls.load(current(SparkSession.active(), path))

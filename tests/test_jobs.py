@@ -33,7 +33,7 @@ def test_train_and_score_binary_gbt(spark, scratch, wine_csv):
     assert back.count() == 300
     assert os.path.isdir(model)
     release(res)
-    # A second run refuses to replace the saved model, after writing its output.
+    # A second run refuses to replace the saved model.
     with pytest.raises(Exception, match="already exists"):
         train_and_score_job(spark, wine_csv, model, f"{scratch}/out2", kind="gbt",
                             maxIter=2, overwrite=False)
@@ -176,3 +176,53 @@ def test_nothing_stays_persisted(spark, scratch, wine_csv):
     with pytest.raises(Exception, match="(?i)label"):  # GBT takes only 0/1 labels
         train_and_score_job(spark, wine_csv, f"{scratch}/m3", f"{scratch}/o3", kind="gbt", binary=False)
     assert _persistent(spark) == before
+
+
+def test_a_refused_model_costs_no_fit_and_leaves_the_output(spark, scratch, wine_csv, monkeypatch):
+    """The refusal comes before the input is read and the output touched."""
+    from rowcast.plans import jobs
+
+    model, out = f"{scratch}/m", f"{scratch}/o"
+    train_and_score_job(spark, wine_csv, model, out, kind="rf", numTrees=2)
+    before = sorted(_written(spark, out).collect())
+
+    def never(*args, **kwargs):
+        raise AssertionError("read or fitted")
+
+    monkeypatch.setattr(jobs, "read_grades", never)
+    monkeypatch.setattr(jobs, "fit", never)
+    for run in (
+        lambda: train_and_score_job(spark, wine_csv, model, out, kind="rf", overwrite=False),
+        lambda: train_validate_job(spark, wine_csv, wine_csv, model, overwrite=False),
+        lambda: main(["train", wine_csv, model, out, "rf", "--keep-model"], spark=spark),
+        lambda: main(["validate", wine_csv, wine_csv, model, "--keep-model"], spark=spark),
+    ):
+        with pytest.raises(FileExistsError, match="already exists"):
+            run()
+    assert sorted(_written(spark, out).collect()) == before
+    for wrong in (["score", "a", "b", "c", "--keep-model"], ["train", "a", "b", "c", "--manifest=x"],
+                  ["train", "a", "b", "c", "--rejects"], ["--manifest"], ["train", "a", "b", "c", "--other"]):
+        assert main(wrong, spark=spark) == -1
+
+
+def test_output_and_model_change_together(spark, scratch, wine_csv, monkeypatch):
+    """A failing save leaves both the previous output and the previous model."""
+    from rowcast.plans import jobs
+    from rowcast.sources.models import load_model
+
+    model, out = f"{scratch}/m", f"{scratch}/o"
+    for commit in ("switch", "manifest"):
+        first = train_and_score_job(spark, wine_csv, model, out, kind="rf", numTrees=2, commit=commit)
+        before = sorted(first.predictions.collect())
+        with monkeypatch.context() as m:
+            m.setattr(jobs, "save_model", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("no space")))
+            with pytest.raises(RuntimeError, match="no space"):
+                train_and_score_job(spark, wine_csv, model, out, kind="rf", numTrees=7, maxDepth=1, commit=commit)
+        again = score_job(spark, wine_csv, model, f"{scratch}/s", kind="rf", commit=commit)
+        assert sorted(again.predictions.collect()) == before
+        assert load_model(model, "rf").getNumTrees == 2
+        with pytest.raises(ValueError, match="refusing"):
+            train_and_score_job(spark, wine_csv, out, out, kind="rf", numTrees=2)
+    fresh = train_and_score_job(spark, wine_csv, f"{scratch}/m9", f"{scratch}/o9", kind="rf", numTrees=2,
+                                overwrite=False, commit="manifest")
+    assert fresh.predictions.count() == 300

@@ -97,3 +97,30 @@ def test_known_types_need_no_inference_pass(spark, scratch):
 def test_training_and_validation_inputs_are_not_shuffled(spark):
     li = spark.read.parquet(LINEITEM)
     assert "Exchange" not in _plan(prepared(li, "l_linenumber", FEATURES))
+
+
+def test_auc_ranges_follow_the_scores_and_are_placed_once(spark):
+    """A2: the number of ranges comes from the distinct scores, not from the
+    cores; they are placed by range, and nothing shuffles them again."""
+    from pyspark.sql import functions as F
+
+    from rowcast.operators.metrics import SCORES_PER_RANGE, auc_roc, range_parts, score_ranges
+
+    assert [score_ranges(n, 100) for n in (0, 1, 100, 101, 1000)] == [1, 1, 1, 2, 10]
+    assert score_ranges(10**12) == 10**12 // SCORES_PER_RANGE
+    scores = spark.range(5000).select(
+        F.col("id").cast("double").alias("s"), (F.col("id") % 2).alias("pos"), (1 - F.col("id") % 2).alias("neg"))
+    for width in ("2", "50"):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        try:
+            parts = range_parts(scores, score_ranges(5000, 500))
+            plan = _plan(parts)
+            exchanges = [line for line in plan.split("\n") if "Exchange" in line]
+            assert len(exchanges) == 1 and "rangepartitioning(b" in exchanges[0] and ", 10)" in exchanges[0]
+            rows = parts.collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert len(rows) == 10 and sum(r.p for r in rows) == 2500
+        assert max(r.p + r.n for r in rows) <= 750
+    y = scores.select(F.col("pos").alias("y"), "s")
+    assert abs(auc_roc(y, "y", "s").first().auc - auc_roc(y, "y", "s", buckets=10).first().auc) < 1e-15

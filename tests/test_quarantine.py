@@ -1,0 +1,97 @@
+"""Malformed rows kept apart, counted, written."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from conftest import GRADE, wine_rows, write_delimited_text
+from rowcast.plans.jobs import FEATURES, main, read_grades, score_job, train_and_score_job, train_validate_job
+from rowcast.sources.delimited import read_delimited
+from rowcast.sources.quarantine import TooManyRejects, quarantine
+
+SCHEMA = "id int, size double, name string"
+
+
+def lines(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_good_and_malformed_rows(spark, scratch):
+    lines(f"{scratch}/in/a.csv", "id;size;name\n1;0.5;x\ntwo;1;y\n3;;\n4;1;z;more\n5;1\n\n6;1e3;\"q;r\"\n")
+    lines(f"{scratch}/in/b.csv", "id;size;name\n7;7;x\n8;8.x;y\n99999999999;1;z\n")
+    lines(f"{scratch}/in/c.csv", "id;size;name\n")
+    got = quarantine(spark, f"{scratch}/in", SCHEMA, f"{scratch}/out")
+    assert dict(got.rows.dtypes) == {"id": "int", "size": "double", "name": "string"}
+    assert sorted(map(tuple, got.rows.collect())) == [(1, 0.5, "x"), (3, None, None), (6, 1000.0, "q;r"), (7, 7.0, "x")]
+    rejects = sorted((os.path.basename(r.source_file), r.rejected_line) for r in got.rejects.collect())
+    assert rejects == [("a.csv", "4;1;z;more"), ("a.csv", "5;1"), ("a.csv", "two;1;y"),
+                       ("b.csv", "8.x".join(["8;", ";y"])), ("b.csv", "99999999999;1;z")]
+    counts = sorted((os.path.basename(r.source_file), r.accepted, r.rejected) for r in got.counts.collect())
+    assert counts == [("a.csv", 3, 3), ("b.csv", 1, 2)]
+    # Whichever column is read, the same rows are malformed.
+    assert sorted(r.id for r in got.rows.select("id").collect()) == [1, 3, 6, 7]
+    scan = read_delimited(spark, f"{scratch}/in", schema=SCHEMA, corrupt_column="bad")
+    assert [r.bad for r in scan.collect() if r.bad] and len([r for r in scan.collect() if not r.bad]) == 4
+    assert len(scan.where("bad is null").select("name").collect()) == 7  # other columns are not parsed
+
+
+def test_too_many_rejects_keep_the_previous_output(spark, scratch):
+    good = lines(f"{scratch}/good.csv", "id;size;name\n1;1;a\n")
+    bad = lines(f"{scratch}/bad.csv", "id;size;name\n1;1;a\nx;1;b\n2;2;c\n")
+    quarantine(spark, good, SCHEMA, f"{scratch}/out", max_share=0.0)
+    with pytest.raises(TooManyRejects, match="1 of 3"):
+        quarantine(spark, bad, SCHEMA, f"{scratch}/out", max_share=0.3)
+    assert spark.read.parquet(f"{scratch}/out").count() == 1
+    assert quarantine(spark, bad, SCHEMA, f"{scratch}/out", max_share=0.34, commit="manifest").rejects.count() == 1
+
+
+def test_only_good_only_bad_and_no_rows(spark, scratch):
+    for name, text, want in (("g", "1;1;a\n", (1, 0)), ("b", "x;1;a\n", (0, 1)), ("n", "", (0, 0))):
+        path = lines(f"{scratch}/{name}.csv", f"id;size;name\n{text}")
+        got = quarantine(spark, path, SCHEMA, f"{scratch}/out-{name}", max_share=1.0)
+        assert (got.rows.count(), got.rejects.count()) == want
+        assert got.counts.count() == (1 if text else 0)
+
+
+def test_refusals(spark, scratch):
+    path = lines(f"{scratch}/in/a.csv", "id;size;name\n1;1;a\n")
+    with pytest.raises(ValueError, match="refusing"):
+        quarantine(spark, f"{scratch}/in", SCHEMA, f"{scratch}/in/out")
+    with pytest.raises(ValueError, match="lacks"):
+        quarantine(spark, path, "id int, weight double", f"{scratch}/out")
+    with pytest.raises(ValueError, match="schema"):
+        read_delimited(spark, path, corrupt_column="bad")
+    clash = lines(f"{scratch}/clash.csv", "id;rejected\n1;1\n")
+    with pytest.raises(ValueError, match="of its own"):
+        quarantine(spark, clash, "id int", f"{scratch}/out")
+
+
+def planted(scratch, name="wine.csv"):
+    rows = wine_rows(120, seed=5)
+    rows[3] = (*rows[3][:-1], "five")
+    rows[50] = rows[50][:-2]
+    return write_delimited_text(f"{scratch}/{name}", [*FEATURES, GRADE], rows)
+
+
+def test_jobs_go_on_without_the_malformed_rows(spark, scratch):
+    path = planted(scratch)
+    with pytest.raises(Exception, match="MALFORMED|five"):
+        train_and_score_job(spark, path, f"{scratch}/m", f"{scratch}/o", kind="rf", numTrees=2)
+    assert not os.path.exists(f"{scratch}/o") and not os.path.exists(f"{scratch}/m")
+    train_and_score_job(spark, path, f"{scratch}/m", f"{scratch}/o", kind="rf", numTrees=2,
+                        rejects_path=f"{scratch}/rejects")
+    assert spark.read.option("header", True).csv(f"{scratch}/o").count() == 118
+    assert spark.read.parquet(f"{scratch}/rejects").where("rejected = 'true'").count() == 2
+    score_job(spark, path, f"{scratch}/m", f"{scratch}/s", kind="rf", rejects_path=f"{scratch}/r2")
+    assert spark.read.option("header", True).csv(f"{scratch}/s").count() == 118
+    with pytest.raises(TooManyRejects):
+        read_grades(spark, path, rejects_path=f"{scratch}/r3", max_rejects=0.01)
+    clean = write_delimited_text(f"{scratch}/clean.csv", [*FEATURES, GRADE], wine_rows(50))
+    train_validate_job(spark, clean, clean, f"{scratch}/lr")
+    assert main(["score", path, f"{scratch}/lr", f"{scratch}/c", f"--rejects={scratch}/r4", "--manifest"], spark) == 0
+    assert main(["score", path, f"{scratch}/lr", f"{scratch}/c", "--max-rejects=many"], spark) == -1
