@@ -16,10 +16,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import stored
+from rowcast.llm.common import HOT_KEYS, stored
 
 K = 3
 BROADCAST_RUNS = 200_000  # template runs up to which the join may broadcast them (about 20 MB)
+SALTS = 32  # parts over which the places of a hot run are dealt
 
 # Phrases whose consecutive words give a label by themselves.
 BASE_PHRASES = {
@@ -48,7 +49,34 @@ TEMPLATES = [
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
     ("cc-by-nd-4.0", "Licensed under CC BY-ND 4.0"),
     ("cc0", "No rights reserved. Released into the public domain under CC0"),
-    ("all-rights-reserved", "All rights reserved"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+            "to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
+            "copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("bsd-2-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+                     "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+                     "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+                     "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+                     "documentation and/or other materials provided with the distribution."),
+    ("bsd-3-clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                     "promote products derived from this software without specific prior written permission."),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+                   "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+                   "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+                   "permissions and limitations under the License."),
+    ("gpl-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                         "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                         "or (at your option) any later version. This program is distributed in the hope that it will be "
+                         "useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR "
+                         "A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("gpl-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                         "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                         "or (at your option) any later version."),
 ]
 
 
@@ -114,8 +142,7 @@ def votes(docs: DataFrame, templates: DataFrame, k: int = K, base: dict[str, str
     vote (``p``, ``q``, template columns). ``row`` numbers the documents."""
     base = BASE_PHRASES if base is None else base
     runs = template_runs(templates, k)
-    if runs.count() <= BROADCAST_RUNS:
-        runs = F.broadcast(runs)
+    few = runs.count() <= BROADCAST_RUNS
     none = F.array().cast("array<int>")
     text = docs.select(
         docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("row"), normal_words(docs[text_col]).alias("normal")
@@ -140,23 +167,56 @@ def votes(docs: DataFrame, templates: DataFrame, k: int = K, base: dict[str, str
     told = found.select(
         "doc_id", "row", "w", "n", F.size(starts).alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"), labels.alias("base_labels"),
-        # Entry 0 stands for the document itself, so one pass gives both kinds of rows.
-        F.concat(F.array(F.lit(0).cast("long")), _runs(F.col("w"), F.col("n"), k)).alias("runs"),
     )
+    return _broadcast_votes(told, runs, k) if few else _shuffled_votes(told, runs, k)
+
+
+OWN = ("doc_id", "n", "n_base", "first_word", "last_word", "base_labels")
+VOTE = ("q", "template", "label", "t_words", "t_runs")
+
+
+def _broadcast_votes(told: DataFrame, runs: DataFrame, k: int) -> DataFrame:
+    """The template's runs go to every task, and no text is shuffled."""
     exploded = told.select(
-        "doc_id", "row", "w", "n", "n_base", "first_word", "last_word", "base_labels",
+        "row", "w", *OWN,
+        # Entry 0 stands for the document itself, so one pass gives both kinds of rows.
         # The outer form: for the inner one the optimizer adds a filter that
         # builds the runs a second time, splitting the text at every word.
-        F.posexplode_outer("runs").alias("at", "d_hash"),
+        F.posexplode_outer(F.concat(F.array(F.lit(0).cast("long")), _runs(F.col("w"), F.col("n"), k))).alias("at", "d_hash"),
     )
-    joined = exploded.join(runs, (F.col("at") > 0) & (F.col("d_hash") == F.col("hash")), "left").where(
+    joined = exploded.join(F.broadcast(runs), (F.col("at") > 0) & (F.col("d_hash") == F.col("hash")), "left").where(
         (F.col("at") == 0) | (F.array_join(F.slice("w", F.greatest("at", F.lit(1)), k), " ") == F.col("run"))
     )
     own = lambda c: F.when(F.col("at") == 0, F.col(c)).alias(c)
-    return joined.select(
-        "row", own("doc_id"), own("n"), own("n_base"), own("first_word"), own("last_word"), own("base_labels"),
-        F.when(F.col("at") > 0, F.col("at") - 1).alias("p"), "q", "template", "label", "t_words", "t_runs",
+    return joined.select("row", *map(own, OWN), F.when(F.col("at") > 0, F.col("at") - 1).alias("p"), *VOTE)
+
+
+def _shuffled_votes(told: DataFrame, runs: DataFrame, k: int) -> DataFrame:
+    """For template sets that are too large for every task.
+
+    Only row, position and hash of a run are shuffled. Runs that very many
+    places share are dealt by place over ``SALTS`` parts of their own, so no
+    task gets all of them. The words of the documents join once, by row, to
+    verify what the hashes found.
+    """
+    told = stored(told, "license-words")
+    places = stored(
+        told.select("row", F.posexplode_outer(_runs(F.col("w"), F.col("n"), k)).alias("p", "hash")).where("hash is not null"),
+        "license-runs",
     )
+    often = F.count(F.lit(1)) * HOT_KEYS > places.count()
+    hot = stored(places.groupBy("hash").agg(often.alias("hot")).where("hot"), "license-hot")  # fewer than HOT_KEYS
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("row", "p"), F.lit(SALTS)).cast("int")).otherwise(0).alias("part")
+    dealt = places.join(F.broadcast(hot), "hash", "left").select("row", "p", "hash", part)
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = runs.join(F.broadcast(hot), "hash", "left").select(*VOTE, "hash", "run", F.explode(parts).alias("part"))
+    found = dealt.join(spread, ["hash", "part"])
+    words = told.select("row", "w")
+    verified = found.join(words, "row").where(F.array_join(F.slice("w", F.col("p") + 1, k), " ") == F.col("run"))
+    none = {f.name: F.lit(None).cast(f.dataType) for f in told.schema.fields}
+    votes_only = verified.select("row", *[none[c].alias(c) for c in OWN], "p", *VOTE)
+    empty = [F.lit(None).cast(votes_only.schema[c].dataType).alias(c) for c in ("p", *VOTE)]
+    return told.select("row", *OWN, *empty).unionByName(votes_only)
 
 
 def spans(voted: DataFrame, k: int = K, slack: int = 2, least: float = 0.8) -> DataFrame:
@@ -207,8 +267,9 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, k: int = K, slack:
 
     ``labels`` joins the base labels with those of verified spans; ``score``
     is 1 with a base phrase, else the best span's coverage, else 0. Null and
-    empty texts have no words. Repeated rows are scanned each; an empty table
-    gives no rows.
+    empty texts have no words; very long ones are scanned whole. Of overlapping
+    spans with equal coverage all stay. Repeated rows are scanned each; an empty
+    table gives no rows. Extra columns do not matter.
     """
     templates = default_templates(docs.sparkSession) if templates is None else templates
     voted = stored(votes(docs, templates, k, base, id_col, text_col), "license-votes")
