@@ -167,6 +167,7 @@ def votes(docs: DataFrame, templates: DataFrame, k: int = K, base: dict[str, str
     told = found.select(
         "doc_id", "row", "w", "n", F.size(starts).alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"), labels.alias("base_labels"),
+        _runs(F.col("w"), F.col("n"), k).alias("runs"),
     )
     return _broadcast_votes(told, runs, k) if few else _shuffled_votes(told, runs, k)
 
@@ -177,12 +178,13 @@ VOTE = ("q", "template", "label", "t_words", "t_runs")
 
 def _broadcast_votes(told: DataFrame, runs: DataFrame, k: int) -> DataFrame:
     """The template's runs go to every task, and no text is shuffled."""
-    exploded = told.select(
+    # Entry 0 stands for the document itself, so one pass gives both kinds of rows.
+    entries = told.withColumn("runs", F.concat(F.array(F.lit(0).cast("long")), "runs"))
+    exploded = entries.select(
         "row", "w", *OWN,
-        # Entry 0 stands for the document itself, so one pass gives both kinds of rows.
         # The outer form: for the inner one the optimizer adds a filter that
         # builds the runs a second time, splitting the text at every word.
-        F.posexplode_outer(F.concat(F.array(F.lit(0).cast("long")), _runs(F.col("w"), F.col("n"), k))).alias("at", "d_hash"),
+        F.posexplode_outer("runs").alias("at", "d_hash"),
     )
     joined = exploded.join(F.broadcast(runs), (F.col("at") > 0) & (F.col("d_hash") == F.col("hash")), "left").where(
         (F.col("at") == 0) | (F.array_join(F.slice("w", F.greatest("at", F.lit(1)), k), " ") == F.col("run"))
@@ -201,8 +203,7 @@ def _shuffled_votes(told: DataFrame, runs: DataFrame, k: int) -> DataFrame:
     """
     told = stored(told, "license-words")
     places = stored(
-        told.select("row", F.posexplode_outer(_runs(F.col("w"), F.col("n"), k)).alias("p", "hash")).where("hash is not null"),
-        "license-runs",
+        told.select("row", F.posexplode_outer("runs").alias("p", "hash")).where("hash is not null"), "license-runs"
     )
     often = F.count(F.lit(1)) * HOT_KEYS > places.count()
     hot = stored(places.groupBy("hash").agg(often.alias("hot")).where("hot"), "license-hot")  # fewer than HOT_KEYS
@@ -213,7 +214,7 @@ def _shuffled_votes(told: DataFrame, runs: DataFrame, k: int) -> DataFrame:
     found = dealt.join(spread, ["hash", "part"])
     words = told.select("row", "w")
     verified = found.join(words, "row").where(F.array_join(F.slice("w", F.col("p") + 1, k), " ") == F.col("run"))
-    none = {f.name: F.lit(None).cast(f.dataType) for f in told.schema.fields}
+    none = {f.name: F.lit(None).cast(f.dataType) for f in told.schema.fields if f.name in OWN}
     votes_only = verified.select("row", *[none[c].alias(c) for c in OWN], "p", *VOTE)
     empty = [F.lit(None).cast(votes_only.schema[c].dataType).alias(c) for c in ("p", *VOTE)]
     return told.select("row", *OWN, *empty).unionByName(votes_only)
