@@ -85,7 +85,12 @@ def pieces(
 def plan_bins(counts: np.ndarray, max_len: int) -> list[tuple[int, list[int]]]:
     """Best-two-fit over a histogram: ``(repeats, piece lengths of the bin)``.
 
-    ``counts[n]`` is the number of pieces of length ``n``. Every entry uses
+    ``counts[n]`` is the number of pieces of length ``n``. A bin is filled with
+    the largest pieces that fit; if a gap is left, its smallest piece gives way
+    to the two unpacked ones that fill more, the fullest pair and of those the
+    one with the smallest piece. A bin of one piece keeps it: that piece is the
+    largest unpacked one and would only move on to the next bin. A pattern is
+    repeated while its pieces last. Every entry uses
     up at least one length's supply for its pattern, so the list's size
     depends on ``max_len``, not on the number of pieces.
     """

@@ -92,11 +92,19 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
 
 
 def truncated_totals(hist: DataFrame, limits: Sequence[int]) -> DataFrame:
-    """``context_limit, total``: tokens left when documents are cut at each limit."""
-    cut = hist.select("n_docs", "n_tokens", F.explode(F.array(*[F.lit(int(x)) for x in limits])).alias("context_limit"))
-    return cut.groupBy("context_limit").agg(
-        F.sum(F.least(F.col("n_tokens"), F.col("context_limit")) * F.col("n_docs")).alias("total")
+    """``context_limit, total``: tokens left when documents are cut at each limit.
+
+    A limit joins the histogram as a length without documents, so the suffix
+    sums answer it like any length that occurs, whether or not it does. An
+    empty histogram leaves 0 tokens at every limit.
+    """
+    asked = hist.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(int(x)).cast("long") for x in sorted(set(limits))])).alias("n_tokens"),
+        F.lit(0).cast("long").alias("n_docs"),
     )
+    both = hist.select("n_tokens", "n_docs").unionByName(asked).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    found = suffix_sums(both).where(F.col("n_tokens").isin([int(x) for x in limits]))
+    return found.select(F.col("n_tokens").alias("context_limit"), F.col("truncated_total").alias("total"))
 
 
 def quantiles(sums: DataFrame, probs: Sequence[float]) -> DataFrame:

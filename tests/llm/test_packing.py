@@ -63,6 +63,37 @@ def test_plan_uses_every_piece_once(sizes):
     assert bins <= 2 * (sum(sizes) / 30) + 1
 
 
+def one_by_one(sizes, limit):
+    """Best-two-fit as a sequence of bins over a list of pieces, by trying all pairs."""
+    left, bins = sorted(sizes, reverse=True), []
+    while left:
+        content, gap = [], limit
+        for size in list(left):
+            if size <= gap:
+                left.remove(size)
+                content.append(size)
+                gap -= size
+        if gap and len(content) > 1:
+            small = content[-1]
+            pairs = [(a + b, -a, b) for i, b in enumerate(left) for a in left[i + 1 :] if a + b <= small + gap]
+            if pairs and max(pairs)[0] > small:
+                _, a, b = max(pairs)
+                left.remove(-a)
+                left.remove(b)
+                left = sorted([*left, small], reverse=True)
+                content[-1:] = [b, -a]
+        bins.append(content)
+    return bins
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 24), max_size=40))
+def test_plan_equals_best_two_fit_one_by_one(sizes):
+    counts = np.bincount(sizes, minlength=25) if sizes else np.zeros(25, int)
+    planned = [content for repeats, content in packing.plan_bins(counts, 24) for _ in range(repeats)]
+    assert planned == one_by_one(sizes, 24)
+
+
 def test_two_pieces_replace_the_smallest():
     counts = np.zeros(11, int)
     counts[[6, 3, 2]] = [1, 1, 2]  # 6+3 leaves a gap of 1; 6+2+2 fills the bin

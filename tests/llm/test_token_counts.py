@@ -32,3 +32,18 @@ def test_suffix_sums_answer_every_limit(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_counts.suffix_sums(token_counts.histogram(empty)).collect() == []
+    totals = token_counts.truncated_totals(token_counts.histogram(empty), [5, 7]).collect()
+    assert sorted(map(tuple, totals)) == [(5, 0), (7, 0)]
+
+
+def test_limits_between_the_lengths_come_from_the_suffix_sums(spark):
+    """Lengths in several blocks, limits below, between, at and above them."""
+    rng = np.random.default_rng(7)
+    lengths = rng.choice([0, 1, 5, 4095, 4096, 9000, 20_000], 300)
+    values, counts = np.unique(lengths, return_counts=True)
+    hist = spark.createDataFrame([(int(v), int(c)) for v, c in zip(values, counts)], "n_tokens long, n_docs long")
+    limits = [0, 2, 5, 4000, 4096, 4097, 8192, 19_999, 30_000, 5]
+    made = token_counts.truncated_totals(hist, limits)
+    assert {r.context_limit: r.total for r in made.collect()} == {x: np.minimum(lengths, x).sum() for x in limits}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "least(" not in plan
