@@ -46,7 +46,7 @@ from rowcast.plans.jobs import (
 from rowcast.runtime import Layout, scratch_path
 from rowcast.sources.delimited import read_delimited, write_csv
 from rowcast.sources.models import load_model, save_model
-from rowcast.sources.publish import current
+from rowcast.sources.publish import current, place_of
 from rowcast.sources.quarantine import quarantine
 from rowcast.sources.training_table import read_training_table, write_training_table
 from rowcast.streaming.score_stream import score_rows, write_stream
@@ -538,6 +538,18 @@ def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", F.lit(total["accepted"]).alias("n_accepted"), F.lit(total["rejected"]).alias("n_rejected"))
 
 
+def q_csv_scan_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` written and read by full URIs, scheme and all, in two folders
+    scanned together, as inputs in an object store are named."""
+    part = _table(spark, sf_dir, "part")
+    paths = []
+    for odd in (0, 1):
+        fs, place = place_of(spark, scratch_path(spark, "part-uri"))
+        paths.append(fs.makeQualified(place).toString())
+        write_csv(part.where(F.col("p_partkey") % 2 == odd), paths[-1], sep=";")
+    return read_delimited(spark, paths, schema=part.schema)
+
+
 def q_csv_quoted_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` under a header whose names stand in doubled quotes, as in
     the reference's input (``\"\"\"p partkey\"\"\"``), inferred and cleaned."""
@@ -638,6 +650,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_sink_failure": q_csv_sink_failure,
         "csv_sink_manifest": q_csv_sink_manifest,
         "csv_rejects": q_csv_rejects,
+        "csv_scan_uri": q_csv_scan_uri,
         "csv_quoted_header": q_csv_quoted_header,
         "features_text_sparse": q_features_text_sparse,
         "auc_binned": q_auc_binned,
@@ -800,6 +813,7 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem""",
         "job_refit_gbt": _STEP_ROWS.format(_STEP_LABEL, "quality"),
         "csv_scan_schema": "SELECT * FROM part",
+        "csv_scan_uri": "SELECT * FROM part",
         "csv_sink_failure": _GRADED_ROWS,
         "csv_sink_manifest": _GRADED_ROWS,
         "csv_rejects": f"""
