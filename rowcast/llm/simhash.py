@@ -2,18 +2,25 @@
 
 A 64-bit fingerprint is eight positional bytes. Two fingerprints within ``k``
 bits differ in at most ``k`` bytes, so they share at least ``8 - k`` positional
-bytes: the guaranteed minimum. The index therefore posts every distinct
-fingerprint under each combination of that many byte positions. That replaces
-a tally of shared bytes per pair: whoever meets in a posting list shares the
-minimum already, so pairs are only verified by their bit distance.
+bytes: the guaranteed minimum. A list of all fingerprints with one byte at one
+position holds 1/256 of the corpus, so lists are intersected three at a time
+before they are posted: every distinct fingerprint is posted under the choices
+of three positions that can come first among the shared ones of a pair. Inside
+a list the shared positional bytes of each pair are tallied; pairs that reach
+the minimum are retained in the one list made of their first three shared
+positions, and verified by their bit distance.
+
+Frequent lists, above ``list_limit`` distinct fingerprints, are split by more
+positions, up to the minimum. What is still longer then (a large group of near
+copies) is not compared pair by pair but linked through the points between:
+two values within ``k`` bits share a value within ``k / 2`` bits of both, so
+grouping by those values finds every link with work linear in the list.
 
 Copies of a text never meet in the index: it holds distinct fingerprints, and
 documents join their class at the end. Inside a posting list only a spanning
-forest of the verified links is emitted, not all pairs. A list longer than
-``list_limit`` (a large group of near copies) is not compared pair by pair but
-linked through the points between: two values within ``k`` bits share a value
-within ``k / 2`` bits of both, so grouping by those values finds every link
-with work linear in the list.
+forest of the verified links is emitted, not all pairs. Keys with more than a
+thousandth of the rows (copies of one text, hubs of the component search) are
+joined by broadcast, the others by shuffle.
 """
 
 from __future__ import annotations
@@ -28,9 +35,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rowcast.llm.common import Rounds, id_and_text, ship, stored
+from rowcast.llm.common import Rounds, id_and_text, joined_by, ship, stored
 
 N_BYTES = 8
+POSTED = 3  # positional bytes of a posting list before it is split
 SEED = 42
 
 
@@ -85,7 +93,31 @@ def with_fingerprint(docs: DataFrame, text_col: str, name: str, shingle: int = 4
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
-def _forest(values: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
+def _shared(differing: np.ndarray) -> np.ndarray:
+    """Which positional bytes each pair shares, as the bits of one byte, from their XOR."""
+    same = differing.astype("<u8").view(np.uint8).reshape(-1, N_BYTES) == 0
+    return np.packbits(same, axis=1, bitorder="little")[:, 0]
+
+
+def _owners(positions: list[tuple[int, ...]], least: int) -> np.ndarray:
+    """For each set of shared positions (as bits) the number of the list that
+    retains such pairs: the one of the first shared positions if at least
+    ``least`` bytes are shared, else -1."""
+    number = {c: i for i, c in enumerate(positions)}
+    owners = np.full(1 << N_BYTES, -1)
+    for bits in range(1 << N_BYTES):
+        shared = tuple(p for p in range(N_BYTES) if bits >> p & 1)
+        if len(shared) >= least:
+            owners[bits] = number[shared[: len(positions[0])]]
+    return owners
+
+
+def _retained(differing: np.ndarray, lists, owners: np.ndarray, max_bits: int) -> np.ndarray:
+    """Count filter, then bit distance, of pairs that meet in ``lists``."""
+    return (owners[_shared(differing)] == lists) & (np.bitwise_count(differing) <= max_bits)
+
+
+def _forest(values: np.ndarray, number: int, owners: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Links that span the components of one posting list, by breadth-first search."""
     left = np.arange(1, len(values))
     links, queue = [], [0]
@@ -95,7 +127,7 @@ def _forest(values: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
                 return links
             queue, left = [int(left[0])], left[1:]
         here = queue.pop()
-        near = np.bitwise_count(values[left] ^ values[here]) <= max_bits
+        near = _retained(values[left] ^ values[here], number, owners, max_bits)
         for there in left[near].tolist():
             links.append((here, there))
             queue.append(there)
@@ -108,20 +140,40 @@ def links(fps: DataFrame, max_bits: int = 4, list_limit: int = 4096) -> DataFram
     ``max_bits`` is even and below 8."""
     if max_bits % 2 or not 0 <= max_bits < N_BYTES:
         raise ValueError("max_bits must be 0, 2, 4 or 6")
-    keep = N_BYTES - max_bits
-    positions = list(combinations(range(N_BYTES), keep))
+    least = N_BYTES - max_bits
+    full = list(combinations(range(N_BYTES), least))
+    width = min(POSTED, least)
+    short = sorted({c[:width] for c in full})
+    posted = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(len(short) - 1))).alias("list"))
+    compared = _compared(posted, short, least, max_bits, list_limit)
+    found = compared.where("list < 0").select("a", "b")
+    long_lists = compared.where("list >= 0").select("list", F.col("a").alias("fp"))
+    if long_lists.isEmpty():
+        return found
+    if width < least:
+        finer = F.array(*[F.array(*[F.lit(i) for i, c in enumerate(full) if c[:width] == head]) for head in short])
+        split = long_lists.select("fp", F.explode(F.element_at(finer, F.col("list") + 1)).alias("list"))
+        compared = _compared(split, full, least, max_bits, list_limit)
+        found = found.unionByName(compared.where("list < 0").select("a", "b"))
+        long_lists = compared.where("list >= 0").select("list", F.col("a").alias("fp"))
+        if long_lists.isEmpty():
+            return found
+    return found.unionByName(_long_links(long_lists, full, max_bits)).distinct()
+
+
+def _compared(posted: DataFrame, positions: list[tuple[int, ...]], least: int, max_bits: int,
+              list_limit: int) -> DataFrame:
+    """``a, b, list``: links of every posting list (``list`` -1), and the members
+    (``a`` = ``b``) of those with more than ``list_limit`` entries. ``posted``
+    holds ``list``, a number in ``positions``, and ``fp``."""
     masks = [sum(255 << (8 * p) for p in c) for c in positions]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     mask_of = F.element_at(F.array(*[F.lit(m).cast("long") for m in signed]), F.col("list") + 1)
-    shared = F.col("fp").bitwiseAND(mask_of)
-    width = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    posted = (
-        fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("list"))
-        .repartition(width, "list", shared)
-        .sortWithinPartitions("list", shared)
-        .select("list", "fp")
-    )
+    key = F.col("fp").bitwiseAND(mask_of)
+    tasks = int(posted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = posted.repartition(tasks, "list", key).sortWithinPartitions("list", key).select("list", "fp")
     mask_array = np.array(masks, dtype=np.uint64)
+    owners = _owners(positions, least)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One pass over sorted posting lists; the list cut by a batch end is
@@ -150,15 +202,14 @@ def links(fps: DataFrame, max_bits: int = 4, list_limit: int = 4096) -> DataFram
             )
             size = np.diff(np.concatenate([first, [len(values)]]))
             two = first[size == 2]
-            near = np.bitwise_count(values[two] ^ values[two + 1]) <= max_bits
-            two = two[near]
+            two = two[_retained(values[two] ^ values[two + 1], lists[two], owners, max_bits)]
             a, b = [values[two]], [values[two + 1]]
             for at, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
                 group = values[at : at + n]
                 if n > list_limit:
                     yield out(group, group, np.full(n, lists[at]))
                     continue
-                forest = _forest(group, max_bits)
+                forest = _forest(group, int(lists[at]), owners, max_bits)
                 if forest:
                     pairs = np.array(forest)
                     a.append(group[pairs[:, 0]])
@@ -188,12 +239,7 @@ def links(fps: DataFrame, max_bits: int = 4, list_limit: int = 4096) -> DataFram
                 tail_l, tail_v = tail_l[:0], tail_v[:0]
         yield from finish(tail_l, tail_v)
 
-    compared = stored(posted.mapInArrow(compare, "a long, b long, list int"), "simhash-links")
-    found = compared.where("list < 0").select("a", "b")
-    long_lists = compared.where("list >= 0").select("list", F.col("a").alias("fp"))
-    if not long_lists.isEmpty():
-        found = found.unionByName(_long_links(long_lists, positions, max_bits))
-    return found.distinct()
+    return stored(dealt.mapInArrow(compare, "a long, b long, list int"), "simhash-links")
 
 
 def _long_links(members: DataFrame, positions: list[tuple[int, ...]], max_bits: int) -> DataFrame:
@@ -239,19 +285,22 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large and small stars; nodes without a link are not listed.
     Each round is written to the shared folder and replaces the one before, so
-    lineage stays short.
+    lineage stays short. Hubs meet their smallest neighbour by broadcast.
     """
     big, small = F.greatest("a", "b"), F.least("a", "b")
-    rounds = Rounds(edges.sparkSession, "components")
+    rounds, large_stars = (Rounds(edges.sparkSession, name) for name in ("components", "large-stars"))
     now = rounds.put(edges.where("a <> b").select(big.alias("u"), small.alias("v")).distinct())
-    mark = None
+    mark, n = None, now.count()
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        upper = F.sum((F.col("v") > F.col("u")).cast("int"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), upper.alias("n"))
+        large = large_stars.put(
+            joined_by(both.where("v > u"), low, "u", "n", n).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        )
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         star = (
-            large.join(lowest, "u")
+            joined_by(large, lowest, "u", "n", n)
             .where("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(lowest.select("u", F.col("m").alias("v")))
@@ -260,7 +309,7 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1000000007)).first()
         if tuple(seen) == mark:
             break
-        mark = tuple(seen)
+        mark, n = tuple(seen), seen[0]
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
@@ -282,16 +331,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, list_l
     are null. An empty table gives no rows.
     """
     rows, rooted = _rooted(docs, shingle, max_bits, list_limit, id_col, text_col)
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    rooted = stored(rooted, "simhash-roots")
+    n_nodes, n_rows = rooted.agg(F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    by_fp = stored(
+        joined_by(rooted, named, "root", "members", n_nodes).select("fp", "component_id", "copies"), "simhash-named"
+    )
+    return joined_by(rows, by_fp, "fp", "copies", n_rows).select("doc_id", "fp", "component_id")
 
 
 def _rooted(docs: DataFrame, shingle: int, max_bits: int, list_limit: int, id_col: str,
             text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, fp`` of every row, and ``fp, least_id, root`` of every distinct fingerprint."""
+    """``doc_id, fp`` of every row, and ``fp, least_id, copies, root`` of every distinct fingerprint."""
     rows = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-fp")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
     return rows, roots(nodes, max_bits, list_limit)
 
 

@@ -88,6 +88,48 @@ def test_links_keep_components_in_a_dense_ball(spark, limit):
     assert sorted(map(sorted, classes.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("max_bits,limit", [(4, 4096), (4, 2), (2, 2), (6, 4096), (0, 1)])
+def test_every_pair_within_the_distance_is_retained(spark, max_bits, limit):
+    """Pairs alone in their component: the links are exactly the brute-force pairs."""
+    rng = np.random.default_rng(max_bits)
+    values = []
+    for i in range(120):
+        v = int(rng.integers(0, 2**63))
+        w = v
+        for b in rng.choice(64, int(rng.integers(1, max_bits + 3)), replace=False):
+            w ^= 1 << int(b)
+        values += [v, w]
+    # Frequent bytes: many values with the same first four or last four bytes.
+    values += [(i * 0x9E3779B1 % 2**32) << 32 for i in range(1, 60)] + [i * 0x85EBCA77 % 2**32 for i in range(1, 60)]
+    values = sorted(set(values))
+    frame = spark.createDataFrame([(v - 2**64 if v >> 63 else v,) for v in values], "fp long")
+    found = simhash.links(frame, max_bits, list_limit=limit).collect()
+    got = {tuple(sorted((r.a & (2**64 - 1), r.b & (2**64 - 1)))) for r in found}
+    want = {(a, b) for i, a in enumerate(values) for b in values[i + 1 :] if bin(a ^ b).count("1") <= max_bits}
+    assert got == want and len(want) > (20 if max_bits else -1)
+
+
+def test_count_filter_drops_pairs_below_the_minimum():
+    """Three shared bytes bring a pair into a list; the tally needs four."""
+    owners = simhash._owners(sorted({c[:3] for c in simhash.combinations(range(8), 4)}), 4)
+    base = np.uint64(0x1122334455667788)
+    three, four = np.uint64(0xFFFFFFFFFF000000), np.uint64(0x0101010100000000)
+    assert owners[simhash._shared(np.array([three]))][0] == -1
+    assert owners[simhash._shared(np.array([four]))][0] == 0
+    values = np.array([base, base ^ three, base ^ four])
+    assert simhash._forest(values, 0, owners, 64) == [(0, 2)]
+    assert simhash._forest(values, 1, owners, 64) == []  # belongs to list 0
+
+
+def test_very_long_text_and_a_hot_fingerprint(spark):
+    long_text = " ".join(f"w{i % 977}" for i in range(60_000))
+    rows = [(1, long_text), (2, long_text + " end")] + [(i, "same words in all of these") for i in range(10, 3010)]
+    got = {r.doc_id: (r.fp, r.component_id)
+           for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows) and {got[i][1] for i in range(10, 3010)} == {10}
+    assert got[1][0] & (2**64 - 1) == brute_fp(long_text) and got[2][1] == 1
+
+
 def test_keep_one_leaves_one_document_of_each_group(spark):
     rows = near_copies(20, 9)
     docs = spark.createDataFrame([(i, t, i % 3) for i, t in rows], "doc_id long, text string, lang int")
