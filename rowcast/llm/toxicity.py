@@ -8,8 +8,10 @@ linear-time scan finds all maximal-scoring segments of a document, that is
 every passage whose score rises above what surrounds it. As for alignment
 scores, extreme-value theory says how many segments of score ``S`` a clean text
 of ``n`` words holds: ``E = K n exp(-rate S)``. Segments with ``E`` below 1 are
-significant; a document's evidence is the sum of ``-ln E`` over them, turned
-into a probability by a logistic curve.
+significant; a document's evidence is the sum of ``-ln E`` over them, which
+beyond ``BEND`` grows by its logarithm only, so that a few long documents do
+not dominate the fit and more evidence still means a higher score. A logistic
+curve turns it into a probability.
 
 The curve and the extreme-value constants are fitted on each of a few parts of
 the labelled documents with token counts of the other parts, so they are not
@@ -41,7 +43,7 @@ LEAST = 1.5  # log-odds left after that below which a token counts as neutral
 PARTS = 4  # parts of the labelled documents, each scored by a model of the others
 DRIFT = 0.75  # what every word costs
 MEMO = 60_000  # words whose scores or counts a task remembers at a time
-MAX_EVIDENCE = 60.0
+BEND = 60.0  # evidence from which on it counts by its logarithm
 
 
 @dataclass
@@ -257,14 +259,14 @@ def _background(walk: np.ndarray, toxic: int, model: Model):
 
 
 def _evidence(walk: np.ndarray, model: Model) -> tuple[float, list[tuple[int, int, float, float]]]:
-    """Sum of ``-ln E`` over the significant segments, and those segments."""
+    """Sum of ``-ln E`` over the significant segments, bent, and those segments."""
     found, total = [], 0.0
     for a, b, s in segments(walk):
         log_e = math.log(model.scale * len(walk)) - model.rate * s
         if log_e < 0:
             found.append((a, b, s, math.exp(max(log_e, -700.0))))
             total -= log_e
-    return min(total, MAX_EVIDENCE), found
+    return total if total <= BEND else BEND * (1 + math.log(total / BEND)), found
 
 
 def _rated(walk: np.ndarray, toxic: int, model: Model):
@@ -301,7 +303,7 @@ def _extreme_value(rows: list[tuple[str, int, int]]) -> tuple[float, float]:
 def _logistic(rows: list[tuple[str, int, int]]) -> tuple[float, float]:
     """Intercept and slope of P(toxic | evidence), with one doubtful document
     added to each class, by Newton steps under a small ridge."""
-    x = np.array([b / 4 for _, b, _ in rows] + [0.0, MAX_EVIDENCE])
+    x = np.array([b / 4 for _, b, _ in rows] + [0.0, BEND])
     y = np.array([float(k == "toxic") for k, _, _ in rows] + [1.0, 0.0])
     n = np.array([float(c) for _, _, c in rows] + [1.0, 1.0])
     a, b = 0.0, 0.0

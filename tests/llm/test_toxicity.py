@@ -1,5 +1,6 @@
-"""Toxicity: the segment scan against brute force, the model on held-out rows."""
+"""Toxicity: the segment scan, log-odds and calibration against brute force, the model on held-out rows."""
 
+import math
 import zlib
 
 import numpy as np
@@ -116,3 +117,62 @@ def test_a_stock_phrase_of_different_documents_counts_in_full_and_copies_once(sp
     assert sum(i >= 1000 for i in taught) > 30 and counts[b"grimy"] <= 2
     model = toxicity.train(frame, labels)
     assert model.tokens.get(b"vilea", 0) > 0 and b"grimy" not in model.tokens
+
+
+def test_log_odds_with_dirichlet_prior_equal_brute_force(spark):
+    rng = np.random.default_rng(12)
+    rows = [(b"t%d" % i, *[float(x) for x in rng.integers(0, 40, 8) * rng.integers(0, 2, 8)]) for i in range(60)]
+    counts = spark.createDataFrame(rows, ", ".join(["token binary", *(f"{c} double" for c in toxicity.CLASSES)]))
+    models = toxicity._token_models(counts)
+    for part, model in enumerate(models):
+        used = [p for p in range(4) if p != part]  # part 4: all of them
+        clean = {r[0]: sum(r[1 + p] for p in used) for r in rows}
+        toxic = {r[0]: sum(r[5 + p] for p in used) for r in rows}
+        n_clean, n_toxic = sum(clean.values()), sum(toxic.values())
+        mass = 0.05 * (n_clean + n_toxic)
+        want = {}
+        for r in rows:
+            if sum(r[1:]) < toxicity.MIN_DOCS:
+                continue
+            prior = 0.05 * max(toxic[r[0]] + clean[r[0]], 1.0)
+            t, c = toxic[r[0]] + prior, clean[r[0]] + prior
+            odds = math.log(t / (n_toxic + mass - t)) - math.log(c / (n_clean + mass - c))
+            sure = abs(odds) - toxicity.CAUTION * math.sqrt(1 / t + 1 / c)
+            if sure >= toxicity.LEAST:
+                want[r[0]] = math.copysign(sure, odds)
+        assert set(model.tokens) == set(want) and want
+        assert all(abs(model.tokens[k] - v) < 1e-9 for k, v in want.items())
+
+
+def test_extreme_values_and_logistic_curve_solve_their_equations():
+    rng = np.random.default_rng(2)
+    words = [("word", int(b), int(n)) for b, n in zip([-8, -7, 9, 17, 30], [9000, 800, 60, 20, 3])]
+    rate, scale = toxicity._extreme_value([*words, ("segment", 9, 55), ("segment", 17, 18)])
+    seen = {b / 10: n for _, b, n in words}
+    for s in (1.0, 2.0, 4.0):
+        seen[s] = seen.get(s, 0) + 1
+    total = sum(seen.values())
+    assert abs(sum(n * math.exp(rate * s) for s, n in seen.items()) / total - 1) < 1e-9
+    # As many segments of the least height or more are expected as there were.
+    assert abs(scale * total * math.exp(-rate * 0.9) / 74 - 1) < 0.01
+    rated = [("clean", int(b), int(n)) for b, n in zip(range(0, 60, 7), rng.integers(1, 300, 9))]
+    rated += [("toxic", int(b), int(n)) for b, n in zip(range(20, 400, 40), rng.integers(1, 90, 10))]
+    a, b = toxicity._logistic(rated)
+
+    def loss(a, b):
+        points = [(x / 4, k == "toxic", n) for k, x, n in rated] + [(0.0, True, 1), (toxicity.BEND, False, 1)]
+        fit = sum(n * np.logaddexp(0, -(a + b * x) if y else a + b * x) for x, y, n in points)
+        return fit + 5e-4 * (a * a + b * b)
+
+    assert b > 0 and all(loss(a, b) <= loss(a + i * 1e-3, b + j * 1e-4) for i in (-1, 0, 1) for j in (-1, 0, 1))
+
+
+def test_evidence_is_never_cut_and_scores_of_half_are_toxic(spark):
+    model = toxicity.Model({b"bad": 5.0}, rate=1.0, scale=0.01, intercept=-4.0, slope=0.05)
+    scores = [toxicity._probability(toxicity._walk("bad " * n, toxicity._Scores(model.tokens)), model)[0]
+              for n in (1, 5, 10, 14, 15, 40, 400, 4000)]
+    assert all(x < y for x, y in zip(scores, scores[1:])) and scores[-1] < 1
+    sure = toxicity.Model({}, intercept=0.0)
+    half = spark.createDataFrame([(1, "x"), (2, None), (3, "long " * 300_000)], "doc_id long, text string")
+    assert {r.score for r in toxicity.score(half, sure).collect()} == {0.5}
+    assert toxicity.clean(half, sure).count() == 0
