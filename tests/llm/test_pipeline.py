@@ -68,7 +68,7 @@ def test_stages_drop_what_they_should_and_keep_the_rest(spark, scratch):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.queries()) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing"
     ]
