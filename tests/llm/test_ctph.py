@@ -67,3 +67,48 @@ def test_signature_is_bounded_and_repeated_rows_are_kept(spark):
     assert len(one) == 1 and one[0].near_next == 1.0
     assert ctph.edit_probe(frame.limit(0)).collect() == []
     assert ctph.fingerprints(frame).count() == 3
+
+
+def slow_crc32(data):
+    crc = 0xFFFFFFFF
+    for byte in data:
+        crc ^= byte
+        for _ in range(8):
+            crc = crc >> 1 ^ (0xEDB88320 if crc & 1 else 0)
+    return crc ^ 0xFFFFFFFF
+
+
+def slow_fingerprint(text):
+    """The fingerprint byte by byte, without any of the module's code."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    raw, word = text.encode("utf-8", "surrogatepass"), 2**32
+
+    def mixed(byte):
+        v = (byte + 1) * 0x9E3779B1 % word
+        v = (v ^ v >> 15) * 0x85EBCA6B % word
+        return v ^ v >> 13
+
+    def hash_at(end):
+        return sum(mixed(raw[end - i]) * (2 * i * i * 0x9E3779B1 % word | 1) for i in range(1, min(7, end) + 1)) % word
+
+    def signature(size):
+        cuts = [end for end in range(1, len(raw) + 1) if hash_at(end) < word // size]
+        bounds = [0, *cuts[:63]]
+        if bounds[-1] < len(raw):
+            bounds.append(len(raw))
+        return len(cuts), "".join(letters[slow_crc32(raw[a:b]) % 64] for a, b in zip(bounds, bounds[1:]))
+
+    size = 4
+    while size * 64 < len(raw):
+        size *= 2
+    while raw and size > 4 and signature(size)[0] < 32:
+        size //= 2
+    return f"{size}:{signature(size)[1]}:{signature(2 * size)[1]}"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**32 - 1), st.integers(0, 900))
+def test_fingerprint_equals_a_byte_by_byte_version(seed, n):
+    rng = np.random.default_rng(seed)
+    text = "".join(rng.choice(list("abc dé中\U0001F600"), n)) if seed % 2 else "ab " * (n // 3)
+    assert ctph.fingerprint(text) == slow_fingerprint(text)
