@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowcast.llm.common import Rounds, ship, stored
+from rowcast.llm.common import HOT_KEYS, Rounds, ship, stored
 from rowcast.runtime import scratch_path
 
 # Fixed values of the format: version line, line end, end of a record, base32 digits.
@@ -34,6 +34,8 @@ CLOSE = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 SKIP = len(MAGIC)
 
+CELL = 1 << 20  # bytes of an archive within which pieces look for their record
+
 CANDIDATES = (
     "file string, block long, rel long, succ long, exit long, whole boolean, kind string, "
     "page string, refers string, said_bytes long, said_digest string, bytes long, digest string"
@@ -71,12 +73,22 @@ def records(pages: DataFrame, min_bytes: int = 0, date: str = "1970-01-01T00:00:
         rows.where(F.col("size") >= min_bytes)
         .groupBy("digest", "size")
         .agg(F.max("page_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1 and first_id is not null")
-        .drop("copies"),
+        .where("copies > 1 and first_id is not null"),
         "warc-copies",
     )
-    typed = rows.join(twice, ["digest", "size"], "left").withColumn(
-        "refers", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
+    # Payloads of many pages are fewer than HOT_KEYS and broadcast. Their pages
+    # then look for nothing in the rest of the list, each under a key of its own.
+    repeated = twice.agg(F.sum("copies")).first()[0] or 0
+    often = F.col("copies") * HOT_KEYS > repeated
+    hot = twice.where(often).select("digest", "size", F.col("first_id").alias("hot_id"))
+    rest = twice.where(~often).select(F.col("digest").alias("key"), "size", "first_id")
+    own = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    typed = (
+        rows.join(F.broadcast(hot), ["digest", "size"], "left")
+        .withColumn("key", F.when(F.col("hot_id").isNull(), F.col("digest")).otherwise(own))
+        .join(rest, ["key", "size"], "left")
+        .withColumn("first_id", F.coalesce("hot_id", "first_id"))
+        .withColumn("refers", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")))
     )
     name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))
     http = F.concat(
@@ -291,15 +303,33 @@ def _joined(spark: SparkSession, path: str, parted: DataFrame) -> DataFrame:
             yield pa.record_batch([*batch.columns, pa.array(rel, pa.int64())], names=["value", "file", "block", "rel"])
 
     placed = _pieces(spark, path).mapInArrow(place, "value binary, file string, block long, rel long")
-    ranges = parted.select("file", F.col("at").alias("start"), "after")
     bases = stored(
         placed.groupBy("file", "block").agg(F.sum(F.octet_length("value") + SKIP).alias("total")), "warc-blocks"
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = bases.select("file", "block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    near = placed.join(ranges.select("file").distinct(), "file", "left_semi").join(base, ["file", "block"])
-    inside = near.withColumn("at", F.col("rel") + F.col("base")).join(ranges, "file").where(
-        "at >= start and at < after"
+    cell = lambda at: F.expr(f"{at} div {CELL}")
+    # A record opens in every cell it reaches into. Records on the chain do not
+    # overlap, so a piece belongs to the last one opened before it, if any.
+    opened = parted.select(
+        "file", F.col("at").alias("start"), "after",
+        F.explode(F.sequence(cell("at"), cell("(after - 1)"))).alias("cell"),
+    ).withColumn("at", F.greatest("start", F.col("cell") * CELL))
+    near = (
+        placed.join(base, ["file", "block"])
+        .withColumn("at", F.col("rel") + F.col("base"))
+        .withColumn("cell", cell("at"))
+        .join(opened.select("file", "cell").distinct(), ["file", "cell"], "left_semi")
+        .select("file", "cell", "at", "value")
+    )
+    so_far = Window.partitionBy("file", "cell").orderBy("at", F.col("value").isNotNull())
+    record = F.last(F.col("record"), ignorenulls=True).over(so_far)
+    inside = (
+        near.withColumn("record", F.lit(None).cast("struct<start: long, after: long>"))
+        .unionByName(opened.select("file", "cell", "at", F.lit(None).cast("binary").alias("value"), F.struct("start", "after").alias("record")))
+        .withColumn("record", record)
+        .where("value is not null and at < record.after")
+        .select("file", F.col("record.start").alias("start"), "at", "value")
     )
 
     def merge(values: list[bytes]) -> tuple[int, str]:

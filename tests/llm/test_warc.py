@@ -50,6 +50,38 @@ def test_round_trip(spark, split):
     assert got == brute(pages)
 
 
+def test_records_in_pieces_across_cells(spark, monkeypatch):
+    """Payloads full of version lines, read in cells smaller than a record."""
+    monkeypatch.setattr(warc, "CELL", 97)
+    fake = "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    pages = [(i, "u", ("é" * i + fake) * (i % 4) + "WARC/1.1\r\n" * (i % 3) + str(i)) for i in range(60)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = sorted((tuple(r) for r in warc.round_trip(frame.repartition(2)).collect()), key=str)
+    assert got == brute(pages)
+
+
+@pytest.mark.parametrize("hot_keys", [1, 4])
+def test_payloads_of_many_pages(spark, monkeypatch, hot_keys):
+    """One payload on a third of the pages, others on a few; some by broadcast, some not."""
+    monkeypatch.setattr(warc, "HOT_KEYS", hot_keys)
+    pages = [(i, f"u{i % 9}", "hot" if i % 3 else f"p{i % 41}") for i in range(300)] + [(7, "u", "hot"), (None, None, "hot")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = sorted((tuple(r) for r in warc.round_trip(frame).collect()), key=str)
+    assert got == brute(pages)
+
+
+def test_no_shuffle_by_a_hot_payload(spark):
+    pages = [(i, "u", "hot" if i % 3 else f"p{i}") for i in range(60)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = warc.records(frame)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(digest" not in plan and "hashpartitioning(key" in plan
+
+
 def test_archives_follow_the_format(spark, scratch):
     frame = spark.createDataFrame([(1, "http://a b", "<p>é</p>"), (2, "u", "<p>é</p>")], "page_id long, url string, html string")
     warc.write(frame.coalesce(1), f"{scratch}/w")
