@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from rowcast.llm import decontam
+from rowcast.llm import common, decontam
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -61,15 +61,44 @@ def test_scan_equals_brute_force(spark, block_bytes):
             assert words(texts[r.doc_id][s.start - 1 : s.start]) == [] or s.start == 0
 
 
-def test_clean_drops_only_documents_with_a_window(spark):
+@pytest.mark.parametrize("block_bytes", [4 << 20, 300])
+def test_clean_drops_only_documents_with_a_window(spark, block_bytes):
     docs, items = case()
-    d = spark.createDataFrame([(i, t, "q") for i, t in docs], "doc_id long, text string, lang string")
+    d = spark.createDataFrame([(i, t, "q") for i, t in docs], "doc_id long, text string, text_key string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    kept = decontam.clean(d, b)
+    kept = decontam.clean(d, b, block_bytes=block_bytes)
     assert kept.columns == d.columns
     assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in brute(docs, items) if not r[5]]
 
 
+@pytest.mark.parametrize("hot_keys", [1, 5, 1000])
+@pytest.mark.parametrize("bits", [6, 26])
+def test_large_benchmark_with_groups_of_copies(spark, monkeypatch, hot_keys, bits):
+    """Copies of a clean and of a contaminated text, by broadcast or not; a
+    bitmap that lets every place pass changes nothing."""
+    monkeypatch.setattr(decontam, "HOT_KEYS", hot_keys)
+    monkeypatch.setattr(common, "HOT_KEYS", hot_keys)
+    monkeypatch.setattr(decontam, "SIEVE_BITS", bits)
+    docs, items = case()
+    docs = [(i, t) for i, t in docs if len(t or "") < 1000][::3]
+    docs += [(200 + i, "nothing of it here") for i in range(40)] + [(300 + i, f"so {items[0][1]} there") for i in range(40)]
+    docs += [(300, None), (301, "É w3 ß?")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    assert sorted(tuple(r) for r in decontam.digest(decontam.scan(d, b, block_bytes=0)).collect()) == want
+    kept = sorted(r.doc_id for r in decontam.clean(d, b, block_bytes=0).collect())
+    assert kept == [r[0] for r in want if not r[5]]
+
+
+def test_spans_are_the_same_with_and_without_the_automaton(spark):
+    docs, items = case()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    one, two = (sorted(map(str, decontam.scan(d, b, block_bytes=n).collect())) for n in (4 << 20, 0))
+    assert one == two
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
