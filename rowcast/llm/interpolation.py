@@ -23,6 +23,7 @@ several copies of the corpus would not fit the disks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ BUCKET_BYTES = 16 << 20  # text per bucket of the hash space: what a task holds
 END = b"\n"  # the end token; no word holds a line end
 MAX_BUCKET = 40  # context buckets: unseen, 1, 2-3, 4-7, ...
 GRID = 8  # steps per factor of two in the table of held-out events
+FAN_IN = 8  # tables that a task, or the driver, adds up at a time
 CELLS = 1 << 12  # more steps than any share of a 64-bit count takes
 
 
@@ -372,6 +374,9 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, tune: int = 0, chu
     text_bytes = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // BUCKET_BYTES))
     rows = id_and_text(docs, id_col, text_col).withColumn("f", fold(F.col("doc_id"), folds))
+    # Answers find their chunk by its number. Rows in a fixed order give the same
+    # chunks when a task is run again, also where they come out of a shuffle.
+    rows = rows.sortWithinPartitions("doc_id", "text")
     by_chunk = rows.rdd.mapPartitions(_chunks(chunk_tokens)).partitionBy(n_buckets)
     counted = (
         by_chunk.mapPartitions(_word_messages(n_buckets, held_out, tune))
@@ -379,10 +384,10 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, tune: int = 0, chu
         .mapPartitions(_add_words)
         .partitionBy(n_buckets)
     )
-    totals = dict.fromkeys(("n_words", "n_learn", "n_kept"), 0)
-    for row in counted.filter(lambda r: not r[0]).map(lambda r: _unpack(r[1][2])[0].astype(int).tolist()).collect():
-        for key, value in zip(totals, row):
-            totals[key] += value
+    depth = max(2, math.ceil(math.log(n_buckets, FAN_IN)))
+    add = lambda a, b: [x + y for x, y in zip(a, b)]
+    told = counted.filter(lambda r: not r[0]).map(lambda r: _unpack(r[1][2])[0].astype(int).tolist())
+    totals = dict(zip(("n_words", "n_learn", "n_kept"), told.treeAggregate([0, 0, 0], add, add, depth)))
     bits = _pair_bits(text_bytes // 2 + 1)  # no more tokens than that, ends apart
 
     answers = counted.filter(lambda r: r[0])
@@ -394,7 +399,7 @@ def score(docs: DataFrame, folds: int = 5, held_out: int = 1, tune: int = 0, chu
         .partitionBy(n_buckets)
     )
     told = by_chunk.cogroup(answers, n_buckets)
-    events = told.mapPartitions(_events(n_buckets, tune, bits, totals)).treeReduce(_add_events)
+    events = told.mapPartitions(_events(n_buckets, tune, bits, totals)).treeReduce(_add_events, depth)
     weights = spark.sparkContext.broadcast(learn_weights(events, totals["n_words"]))
     scored = told.mapPartitions(_scores(n_buckets, bits, totals, weights))
 
