@@ -11,6 +11,7 @@ from conftest import GRADE, wine_rows, write_delimited_text
 from rowcast.operators.learners import fit, make_learner
 from rowcast.plans.jobs import FEATURES, main, prepared, train_and_score_job
 from rowcast.runtime import Layout, laid_out
+from rowcast.sources import training_table
 from rowcast.sources.training_table import read_training_table, write_training_table
 
 
@@ -93,3 +94,31 @@ def test_jobs_train_from_a_prepared_table(spark, scratch):
     assert models[0] == models[1]
     with pytest.raises(ValueError, match="refusing"):
         train_and_score_job(spark, f"{scratch}/table", f"{scratch}/m", f"{scratch}/table", kind="rf", numTrees=2)
+
+
+@pytest.mark.parametrize("keys", [None, ["id"]])
+def test_a_large_table_has_buckets_of_bounded_size(spark, scratch, monkeypatch, keys):
+    """Whatever few partitions are asked for, and though most rows are equal."""
+    monkeypatch.setattr(training_table, "BUCKET_ROWS", 400)
+    df = spark.range(6_000).select(
+        F.when(F.col("id") < 5_000, F.col("id") % 2).otherwise(F.col("id")).alias("id"),
+        F.when(F.col("id") % 4 == 2, -0.0).when(F.col("id") % 4 == 0, 0.0).alias("x y"),
+    )
+    found = []
+    for parts in (1, 9):
+        write_training_table(df.repartition(parts), f"{scratch}/{parts}", Layout(2, keys))
+        table = read_training_table(spark, f"{scratch}/{parts}")
+        assert table.columns == df.columns and table.schema["id"].dataType == df.schema["id"].dataType
+        assert sorted(map(str, table.collect())) == sorted(map(str, df.collect()))
+        assert "Exchange" not in plan(table) and table.rdd.getNumPartitions() == 15
+        found.append(places(table))
+    assert found[0] == found[1]
+    assert max(map(len, found[0])) <= 2 * 400  # in two buckets: 2,500 and more
+
+
+def test_more_buckets_only_where_rows_fill_them(spark, scratch, monkeypatch):
+    monkeypatch.setattr(training_table, "BUCKET_ROWS", 100)
+    write_training_table(spark.range(350), f"{scratch}/a", Layout(4, ["id"]))
+    assert places(read_training_table(spark, f"{scratch}/a")) == places(laid_out(spark.range(350), Layout(4, ["id"])))
+    write_training_table(spark.range(950), f"{scratch}/b", Layout(4, ["id"]))
+    assert places(read_training_table(spark, f"{scratch}/b")) == places(laid_out(spark.range(950), Layout(10, ["id"])))
