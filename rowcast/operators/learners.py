@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -18,6 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.sql import DataFrame
 
+from rowcast.operators.cells import fit_cells
 from rowcast.operators.features import PopulationScaler, assembler
 from rowcast.runtime import checkpoint_root
 
@@ -71,9 +72,20 @@ def fit(estimator: Estimator, df: DataFrame) -> Model:
     with :func:`rowcast.runtime.laid_out` to repeat one elsewhere. MLlib reads
     its input more than once before it caches its own copy, so persist an
     input that is dear to compute.
+
+    Tree learners take a large table as counted cells
+    (:func:`rowcast.operators.cells.fit_cells`) where its rows share their bins;
+    a pipeline's stages are fitted here one by one for that.
     """
     checkpoint_root(df.sparkSession)
-    return estimator.fit(df)
+    if isinstance(estimator, Pipeline):
+        stages, rows = [], df
+        for stage in estimator.getStages():
+            stages.append(stage if isinstance(stage, Transformer) else fit(stage, rows))
+            rows = stages[-1].transform(rows)
+        return PipelineModel(stages)
+    model = fit_cells(estimator, df)
+    return estimator.fit(df) if model is None else model
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:
