@@ -41,6 +41,7 @@ from pyspark.storagelevel import StorageLevel
 LEAST_ROWS = 1_000_000
 # Rows a cell must hold on average, or the table is fitted row by row.
 LEAST_PER_CELL = 4
+CELLS_PER_TASK = 50_000
 # Trees of a forest that are fitted at a time.
 TREES_AT_ONCE = 8
 
@@ -71,6 +72,8 @@ def fit_cells(estimator: Estimator, df: DataFrame) -> Model | None:
     if n_cells * LEAST_PER_CELL > seen["n"]:
         return None
     cells = binned.groupBy(*names, "y").agg(F.count(F.lit(1)).alias("n"))
+    # Many short jobs read the cells: no more tasks than they need.
+    cells = cells.coalesce(-(-max(1, n_cells) // CELLS_PER_TASK))
     bounds = [b for _, b in starts]
     if boosted:
         return _fit_boosted(estimator, _as_input(cells, names, label, 2), bounds)
