@@ -54,10 +54,10 @@ def fit_cells(estimator: Estimator, df: DataFrame) -> Model | None:
     if not _takes_weights(estimator, df):
         return None
     label = estimator.getLabelCol()
-    first = df.select(F.size(vector_to_array(estimator.getFeaturesCol()))).first()
-    if first is None or (first[0] or 0) < 1:
+    size = _size(df, estimator.getFeaturesCol())
+    if not size:
         return None
-    names = [f"x{i}" for i in range(first[0])]
+    names = [f"x{i}" for i in range(size)]
     values = vector_to_array(F.col(estimator.getFeaturesCol()))
     rows = df.select(values.alias("_v"), F.col(label).cast("double").alias("y")).select(
         *[(F.col("_v")[i] + F.lit(0.0)).alias(n) for i, n in enumerate(names)], "y"  # -0.0 is 0.0
@@ -94,6 +94,15 @@ def _takes_weights(estimator: Estimator, df: DataFrame) -> bool:
     return not set(kinds) & {"nominal", "binary"}
 
 
+def _size(df: DataFrame, features_col: str) -> int:
+    """The vectors' size: as the assembler notes it, else of the first row."""
+    attrs = df.schema[features_col].metadata.get("ml_attr", {}).get("attrs", {})
+    if noted := sum(map(len, attrs.values())):
+        return noted
+    first = df.select(F.size(vector_to_array(features_col))).first()
+    return first[0] if first and first[0] and first[0] > 0 else 0
+
+
 def _summary(rows: DataFrame, names: Sequence[str]) -> dict:
     """Rows, distinct values per feature (estimated), the highest label, and
     whether all values are finite and all labels whole numbers from 0."""
