@@ -128,3 +128,84 @@ def test_recall_and_links_of_the_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = made(queries.queries()["op12_embedding_near_dedup"](spark, sf))
     assert got == brute(rows, 0.9)
+
+
+def shared(cells, a, b):
+    """Which pairs of rows have a cell in common."""
+    return ((cells[a][:, :, None] == cells[b][:, None, :]) & (cells[a] >= 0)[:, :, None]).any(axis=(1, 2))
+
+
+def test_a_vector_is_compared_in_a_few_cells_only():
+    """Pairs at the threshold share a cell, though each vector meets few others."""
+    rng = np.random.default_rng(7)
+    n, wide = 20000, 64
+    unit = hnsw._as_unit(rng.standard_normal((n, wide)))
+    aside = rng.standard_normal((n // 2, wide))
+    aside -= np.einsum("ij,ij->i", aside, unit[::2])[:, None] * unit[::2]
+    unit[1::2] = 0.9001 * unit[::2] + np.sqrt(1 - 0.9001**2) * hnsw._as_unit(aside)
+    unit = unit[rng.permutation(n)].astype(np.float32)
+    nodes = hnsw.shard_count(1_000_000)
+    cells = hnsw.audited(unit[:nodes], unit[nodes : nodes + hnsw.AUDIT], 1_000_000, 0.9).of(unit)
+    assert (np.bincount(cells[cells >= 0]).astype(float) ** 2).sum() / 2 < 0.02 * n * n
+    a, b = np.concatenate([np.add(np.nonzero(unit[i : i + 500] @ unit.T >= 0.9), [[i], [0]]) for i in range(0, n, 500)], axis=1)
+    a, b = a[a < b], b[a < b]
+    assert len(a) == n // 2 and shared(cells, a, b).mean() > 0.985
+
+
+def test_a_dense_group_is_not_parted_by_its_landmarks():
+    """Half of the landmarks are near copies of each other: one of them is kept."""
+    rng = np.random.default_rng(8)
+    unit = rng.standard_normal((12000, 64))
+    unit[::2] = unit[0] + 0.1 * rng.standard_normal((6000, 64))
+    unit = hnsw._as_unit(unit).astype(np.float32)
+    found = hnsw.audited(unit[:2000], unit[2000:6000], 2_000_000, 0.9)
+    dense = unit[np.arange(6000, 12000, 2)]
+    assert (found.graph.unit @ dense[0] >= 0.9).sum() < 10 and len(found.graph.unit) > 100
+    cells = found.of(dense)
+    assert shared(cells, np.arange(1000), np.arange(1000, 2000)).mean() > 0.99
+    assert (cells >= 0).sum() < 2 * len(cells)
+
+
+@pytest.mark.parametrize("outright", [1 << 17, 16])
+def test_cells_blocks_passes_and_a_graph_of_landmarks(spark, monkeypatch, outright):
+    """Over many cells, some of them split, shuffled in passes; landmarks searched through their layers."""
+    for name, value in (("LEAST", 256), ("AUDIT", 600), ("COPY_COST", 1), ("OUTRIGHT", outright), ("BLOCK", 128),
+                        ("TASK_BYTES", 1 << 15), ("PASS_LEAST", 100)):
+        monkeypatch.setattr(hnsw, name, value)
+    made_of = []
+    monkeypatch.setattr(hnsw, "audited", lambda *x, f=hnsw.audited: made_of.append(f(*x)) or made_of[-1])
+    rng = np.random.default_rng(9)
+    rows = groups(2500, 32, 9)
+    near = rng.standard_normal(32)
+    rows += [(10000 + i, (near + 0.1 * rng.standard_normal(32)).tolist()) for i in range(300)]
+    rows += rows[:50] + [(None, rows[60][1])]
+    got, want = made(hnsw.near_duplicates(frame(spark, rows))), brute(rows, 0.9)
+    graph = made_of[0].graph
+    assert len(graph.unit) > 16 and made_of[0].count < len(graph.unit) and bool(graph.layers) == (outright == 16)
+    most = {}
+    for v, n, _, _ in want:
+        most[v] = max(n, most.get(v, 0))
+    assert len(got) == len(want) and all(n <= most[v] for v, n, _, _ in got)
+    assert sum(r[1] for r in got) >= 0.99 * sum(r[1] for r in want)
+    assert np.mean([a[2] == b[2] for a, b in zip(got, want)]) > 0.99
+
+
+def test_links_of_a_group_are_summed_where_they_are_found(spark, monkeypatch):
+    """Written are a sum for each node and the links that span the group, not its pairs."""
+    kept = []
+    monkeypatch.setattr(hnsw, "decided", lambda links, *x, f=hnsw.decided: kept.append(links) or f(links, *x))
+    rng = np.random.default_rng(10)
+    near = rng.standard_normal(32)
+    rows = [(i, (near + 0.05 * rng.standard_normal(32)).tolist()) for i in range(400)]
+    assert made(hnsw.near_duplicates(frame(spark, rows))) == brute(rows, 0.9)
+    assert kept[0].count() <= 2 * 400
+
+
+def test_cosines_at_the_threshold_are_decided_in_double(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(hnsw, "decided", lambda links, *x, f=hnsw.decided: kept.append(links.where("kind = 2").count()) or f(links, *x))
+    rows = [(1, [1.0, 0.0]), (2, [3.0, 4.0]), (3, [-0.6 - 1e-7, 0.8]), (4, [3.0, 4.0 + 1e-6]), (5, [3.0 + 1e-6, 4.0]),
+            (6, [-1.0, 0.0]), (7, [3.0, -4.0])]
+    for threshold in (0.6, 0.28):
+        assert made(hnsw.near_duplicates(frame(spark, rows, T.DoubleType()), threshold)) == brute(rows, threshold, float)
+    assert min(kept) > 0
